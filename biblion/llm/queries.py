@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from biblion.llm import bpe
+from biblion.llm import bpe, quality
 from biblion.llm.base import table
 
 
@@ -19,5 +20,14 @@ def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, vocabulary_path())
 
 
-QUERIES = {"op1_bpe_encode_decode": op1_bpe_encode_decode}
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), ~quality.held_out(F.col("doc_id")))
+    return quality.score(docs, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+QUERIES = {
+    "op1_bpe_encode_decode": op1_bpe_encode_decode,
+    "op3_quality": op3_quality,
+}
 ORACLE_SQL: dict[str, str] = {}
