@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblion.llm import bpe, quality
+from biblion.llm import bpe, chat, mixing, quality
 from biblion.llm.base import table
 
 
@@ -20,14 +20,26 @@ def op1_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, vocabulary_path())
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(table(spark, sf_dir, "conversations"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"), ~quality.held_out(F.col("doc_id")))
     return quality.score(docs, model).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_bpe_encode_decode": op1_bpe_encode_decode,
+    "op2_chat_format": op2_chat_format,
     "op3_quality": op3_quality,
+    "op8_mix": op8_mix,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op2_chat_format": chat.ORACLE,
 }
-ORACLE_SQL: dict[str, str] = {}
