@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblion.llm import bpe, chat, mixing, quality
+from biblion.llm import bpe, chat, mixing, quality, substring
 from biblion.llm.base import table
 
 
@@ -34,11 +34,16 @@ def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.deduplicated(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bpe_encode_decode": op1_bpe_encode_decode,
     "op2_chat_format": op2_chat_format,
     "op3_quality": op3_quality,
     "op8_mix": op8_mix,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_chat_format": chat.ORACLE,
