@@ -33,73 +33,23 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from biblion.llm.hashing import OTHER_BASE, WORD_BASE, hashed_words, mixed, rolled, words_of
+
 LENGTH = 50
 #: Bytes of text that a block holds on average.
 BLOCK_BYTES = 8_000_000
 #: Buckets for each block; more blocks, more buckets.
 SPREAD = 4
 
-_BLANK = np.zeros(256, bool)
-_BLANK[[32, *range(9, 14)]] = True
-#: Odd multipliers of the two polynomials over bytes and over words.
-_BYTE_BASE, _WORD_BASE, _OTHER_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
-_M64 = (1 << 64) - 1
-
-
-class Powers:
-    """Powers of an odd base modulo 2**64 and of its inverse."""
-
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            n = max(n, 2 * len(self.up))
-            self.up, self.down = (np.cumprod(np.r_[np.uint64(1), np.full(n - 1, b, np.uint64)], dtype=np.uint64) for b in (self.base, self.inverse))
-        return self.up, self.down
-
-
-_POWERS: dict[int, Powers] = {}
-
-
-def powers(base: int) -> Powers:
-    return _POWERS.setdefault(base, Powers(base))
-
-
-def mixed(x: np.ndarray) -> np.ndarray:
-    """A bijection that spreads every bit over all."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def words_of(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Where the words of a text begin and end."""
-    solid = ~_BLANK[np.frombuffer(raw, np.uint8)]
-    edges = np.flatnonzero(np.diff(solid, prepend=False, append=False))
-    return edges[::2], edges[1::2]
-
-
-def rolled(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The polynomial hash of values[start:end] for each pair, from running sums."""
-    up, down = powers(base).upto(len(values) + 1)
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[: len(values)], dtype=np.uint64, out=total[1:])
-    return (total[ends] - total[starts]) * down[starts]
-
 
 def windows(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Two hashes of each window of ``length`` words of a text."""
-    starts, ends = words_of(raw)
+    word, starts, _ = hashed_words(raw)
     n = len(starts) - length + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    text = np.frombuffer(raw, np.uint8).astype(np.uint64) + np.uint64(1)
-    # the length of a word is part of its hash
-    word = mixed(rolled(text, _BYTE_BASE, starts, ends) + (ends - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
     at = np.arange(n)
-    return mixed(rolled(word, _WORD_BASE, at, at + length)), mixed(rolled(mixed(word + np.uint64(1)), _OTHER_BASE, at, at + length))
+    return mixed(rolled(word, WORD_BASE, at, at + length)), mixed(rolled(mixed(word + np.uint64(1)), OTHER_BASE, at, at + length))
 
 
 def removed(marked: np.ndarray, n_words: int, length: int) -> np.ndarray:
@@ -116,7 +66,7 @@ def _borders(docs: DataFrame, key: str, text: str) -> tuple[list[int], int]:
     blocks = max(32, math.ceil((size.b or 0) / BLOCK_BYTES))
     if not size.n:
         return [], 1
-    found = docs.agg(F.percentile_approx(key, [i / blocks for i in range(1, blocks)], max(10_000, 20 * blocks))).first()[0]
+    found = docs.agg(F.percentile_approx(key, [i / blocks for i in range(1, blocks)], max(10_000, 4 * blocks))).first()[0]
     return sorted(set(found)), blocks
 
 
@@ -232,7 +182,7 @@ def _cut(length: int, buckets: int, with_text: bool):
             starts, ends = words_of(raw)
             gone = removed(marked[at : at + n], len(starts), length)
             at += n
-            words = raw.split()if not gone.any() else [raw[s:e] for s, e in zip(starts[~gone].tolist(), ends[~gone].tolist(), strict=True)]
+            words = raw.split() if not gone.any() else [raw[s:e] for s, e in zip(starts[~gone].tolist(), ends[~gone].tolist(), strict=True)]
             kept = b" ".join(words)
             out["doc_id"].append(i)
             out["n_words"].append(len(starts))
