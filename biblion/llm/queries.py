@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from biblion.llm import bpe, chat, minhash, mixing, quality, substring
+from biblion.llm import bpe, chat, forest, minhash, mixing, quality, substring
 from biblion.llm.base import table
 
 
@@ -42,6 +42,10 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.deduplicated(table(spark, sf_dir, "documents"))
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.grouped(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_bpe_encode_decode": op1_bpe_encode_decode,
     "op2_chat_format": op2_chat_format,
@@ -49,6 +53,7 @@ QUERIES = {
     "op6_minhash": op6_minhash,
     "op8_mix": op8_mix,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_embedding_dedup": op10_embedding_dedup,
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_chat_format": chat.ORACLE,
