@@ -1,11 +1,60 @@
-"""From raw documents to training tokens."""
+"""From raw documents to training tokens, in five stages.
 
-STAGES: list = []
+Each stage takes (spark, docs, sf_dir) and works on all that the one before it
+kept; between stages the rows are written as Parquet and read again.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from biblion.llm import bpe, lines, minhash, mixing, quality
+from biblion.llm.base import cut, table
+from biblion.llm.queries import vocabulary_path
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier predicts to be good."""
+    return quality.accepted(docs, quality.fit(docs, table(spark, sf_dir, "labels"), ~quality.held_out(F.col("doc_id"))))
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated chunks of lines go; n_chars follows the text."""
+    return lines.deduplicated(docs, with_text=True).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-copies (five words, similarity 0.8) stays."""
+    return minhash.representatives(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return mixing.mixed(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The tokens of each document: their number and digests."""
+    return bpe.digests(docs.select("doc_id", "source", "text"), vocabulary_path())
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("line dedup", drop_lines),
+    ("MinHash near-dedup", drop_near_copies),
+    ("mixing sources to target weights", mix_sources),
+    ("BPE encoding and decoding", encode),
+]
+
+#: A trained classifier and a sampling stage have no SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = cut(docs)
     return docs
