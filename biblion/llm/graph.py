@@ -16,10 +16,10 @@ def components(edges: DataFrame) -> DataFrame:
     loops vanish.  Minima are taken with partial aggregation, so a vertex with
     very many links is no hot group, and tables are written after each round.
     """
-    edges = cut(edges.select("a", "b").filter("a <> b").distinct())
+    edges = cut(edges.select("a", "b").filter("a <> b"))
     labels = None
     while True:
-        both = edges.union(edges.select("b", "a"))
+        both = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
         step = cut(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to")))
         if labels is None:
             labels = step.select(F.col("a").alias("id"), F.col("to").alias("component"))

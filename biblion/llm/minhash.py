@@ -10,8 +10,8 @@ copies is one row.  In a bucket every class is paired with the bucket's first
 in a random order only: a star, as many edges as members.  Candidate pairs are
 confirmed on the full sets of their texts.  Since a star may miss a link
 between two of its points, further rounds take, in each bucket that still holds
-several components, one class of each under another random order, until a round
-confirms no new link.
+several components, one class of each under some more random orders, until a
+round confirms no new link.
 
 With 36 bands of 6 bins a pair of similarity 0.8 shares no bucket with a
 probability of 0.00002.
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from biblion.llm.base import cut, fresh
@@ -38,6 +38,8 @@ from biblion.llm.graph import components
 from biblion.llm.hashing import hashed_words, mixed
 
 BANDS, ROWS = 36, 6
+#: Random orders that a further round tries at once.
+ORDERS = 4
 BINS = BANDS * ROWS
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -138,37 +140,53 @@ def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _star(members: DataFrame, turn: int) -> DataFrame:
-    """Pairs (a < b) of each member of a bucket with the bucket's first in random order number ``turn``."""
-    first = F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("o"), "doc_id"))["doc_id"]
+def _star(members: DataFrame, order: Column) -> DataFrame:
+    """Pairs (a < b) of each member of a bucket with the bucket's first in ``order``."""
+    first = F.min(F.struct(order.alias("o"), "doc_id"))["doc_id"]
     centre = members.groupBy("bucket").agg(first.alias("centre"), F.count("*").alias("n")).filter("n > 1").select("bucket", "centre")
     pairs = members.select("bucket", "doc_id").join(centre, "bucket").filter("doc_id <> centre")
     return pairs.select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct()
 
 
-def links(docs: DataFrame, classes: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame | None:
-    """Confirmed links a, b between class representatives; None without any."""
+def labelled(docs: DataFrame, classes: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame | None:
+    """id and component of the class representatives that are linked with others; None without any."""
     keys = sketches.join(classes.select(F.col("rep").alias("doc_id"), "h1", "h2", "n_shingles"), ["doc_id", "h1", "h2", "n_shingles"], "left_semi")
     keys = keys.select("doc_id", F.explode("bands").alias("bucket")).distinct()
     shared = keys.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     members = cut(keys.join(shared, "bucket"))
-    involved = members.select("doc_id").distinct()
-    texts = cut(docs.join(involved, "doc_id"))
-    tested = cut(_star(members, 0))
-    found = cut(confirmed(tested, texts, words, percent))
-    if found.isEmpty():
-        return None
-    turn = 0
-    while True:
+    texts = cut(docs.join(members.select("doc_id").distinct(), "doc_id"))
+    # the smallest id as the first centre: most members then have their label after one round
+    tested = cut(_star(members, F.col("doc_id")))
+    new, labels, turn = cut(confirmed(tested, texts, words, percent)), None, 0
+    while not new.isEmpty():
         turn += 1
-        labels = components(found)
-        told = members.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        one = told.groupBy("bucket", "component").agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("o"), "doc_id"))["doc_id"].alias("doc_id"))
-        pairs = cut(_star(one, turn).join(tested, ["a", "b"], "left_anti"))
+        labels = merged(labels, new)
+        # only buckets that hold several components can hide a link
+        own = labels.select(F.col("id").alias("doc_id"), "component")
+        told = members.select("bucket", "doc_id").join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        several = told.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
+        members = cut(told.join(several, "bucket"))
+        # some orders at once: a copy of each bucket with one class of each component, for every order
+        orders = members.withColumn("turn", F.explode(F.array(*(F.lit(ORDERS * turn + k) for k in range(ORDERS)))))
+        order = F.xxhash64("doc_id", "turn")
+        one = orders.groupBy("bucket", "turn", "component").agg(F.min(F.struct(order.alias("o"), "doc_id"))["doc_id"].alias("doc_id"))
+        one = one.select(F.xxhash64("bucket", "turn").alias("bucket"), "turn", "doc_id")
+        pairs = cut(_star(one, order).join(tested, ["a", "b"], "left_anti"))
+        tested = tested.unionByName(pairs)
         new = cut(confirmed(pairs, texts, words, percent))
-        if new.isEmpty():
-            return found
-        tested, found = tested.unionByName(pairs), found.unionByName(new)
+    return labels
+
+
+def merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
+    """The labels after further links: components of components."""
+    if labels is None:
+        return components(edges)
+    for side in ("a", "b"):
+        own = labels.select(F.col("id").alias(side), F.col("component").alias("to"))
+        edges = edges.join(own, side, "left").withColumn(side, F.coalesce("to", side)).drop("to")
+    moved = components(edges).withColumnRenamed("component", "to")
+    old = labels.join(moved.withColumnRenamed("id", "component"), "component", "left").select("id", F.coalesce("to", "component").alias("component"))
+    return cut(old.unionByName(moved.join(labels, "id", "left_anti").select("id", F.col("to").alias("component"))))
 
 
 def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -178,12 +196,13 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     full = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     sets = ["h1", "h2", "n_shingles"]
     classes = cut(full.groupBy(sets).agg(F.min("doc_id").alias("rep")))
-    found = links(docs, classes, full, words, percent)
+    labels = labelled(docs, classes, full, words, percent)
     # rows with one id link the classes that they belong to
-    twins = full.groupBy("doc_id").agg(F.min(F.struct(sets)).alias("x"), F.max(F.struct(sets)).alias("y")).filter("x <> y").select("doc_id")
-    same = full.join(twins, "doc_id").join(classes, sets).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).filter("a <> b")
-    edges = same if found is None else found.unionByName(same)
-    labels = components(edges).select(F.col("id").alias("rep"), "component")
+    twins = cut(full.groupBy("doc_id").agg(F.min(F.struct(sets)).alias("x"), F.max(F.struct(sets)).alias("y")).filter("x <> y").select("doc_id"))
+    if labels is None or not twins.isEmpty():
+        same = full.join(twins, "doc_id").join(classes, sets).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+        labels = merged(labels, same)
+    labels = labels.withColumnRenamed("id", "rep")
     told = cut(classes.join(labels, "rep", "left").select(*sets, F.coalesce("component", "rep").alias("component")))
     rows = sketches.select("doc_id", *sets).join(told.withColumn("real", F.lit(True)), sets, "left")
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
