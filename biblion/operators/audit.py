@@ -44,22 +44,25 @@ def _issue(value: Column, issue: str) -> Column:
 _NONE = "array<struct<value:string,issue:string>>"
 
 
+def _row_issues(c: Category) -> Column:
+    """array<struct<field, value, issue>> of one category."""
+    values = X.multi_values(F.col(c.category_id))
+    joined, n = F.array_join(values, "; "), F.size(values)
+    none = F.array().cast(_NONE)
+    invalid = F.transform(F.filter(values, lambda v: ~v.isin(list(c.allowed))), lambda v: F.struct(v.alias("value"), F.lit("invalid_value").alias("issue")))
+    fine = F.concat(
+        F.when(F.lit(c.required) & (n == 0), _issue(F.lit(""), "required_missing")).otherwise(none),
+        invalid,
+        F.when(F.lit(c.selection == "single") & (n > 1), _issue(joined, "single_selection_has_multiple_values")).otherwise(none),
+    )
+    off = F.when(n > 0, _issue(joined, "inapplicable_category_has_value")).otherwise(none)
+    found = F.when(applies(c, row_audit=True), fine).otherwise(off)
+    return F.transform(found, lambda i: F.struct(F.lit(c.category_id).alias("field"), i["value"].alias("value"), i["issue"].alias("issue")))
+
+
 def row_issues(df: DataFrame, key: str, categories: Sequence[Category]) -> DataFrame:
     """key, field, value, issue: what is wrong with each row's tags."""
-    parts = []
-    for c in categories:
-        values = X.multi_values(F.col(c.category_id))
-        joined, n = F.array_join(values, "; "), F.size(values)
-        none = F.array().cast(_NONE)
-        invalid = F.transform(F.filter(values, lambda v, c=c: ~v.isin(list(c.allowed))), lambda v: F.struct(v.alias("value"), F.lit("invalid_value").alias("issue")))
-        fine = F.concat(
-            F.when(F.lit(c.required) & (n == 0), _issue(F.lit(""), "required_missing")).otherwise(none),
-            invalid,
-            F.when(F.lit(c.selection == "single") & (n > 1), _issue(joined, "single_selection_has_multiple_values")).otherwise(none),
-        )
-        off = F.when(n > 0, _issue(joined, "inapplicable_category_has_value")).otherwise(none)
-        found = F.when(applies(c, row_audit=True), fine).otherwise(off)
-        parts.append(F.transform(found, lambda i, c=c: F.struct(F.lit(c.category_id).alias("field"), i["value"].alias("value"), i["issue"].alias("issue"))))
+    parts = [_row_issues(c) for c in categories]
     return df.select(key, F.explode(F.concat(*parts)).alias("i")).select(key, "i.*")
 
 
@@ -133,21 +136,23 @@ def cleaned_values(c: Column, label: Label) -> Column:
     return F.array_distinct(values)
 
 
+def _told_values(label: Label) -> Column:
+    """array<struct<label_id, value, status>> of one label's cell."""
+
+    def told(v: Column) -> Column:
+        good = v.isin(list(label.allowed)) if label.mode == "controlled_fixed" and label.allowed else F.lit(True)
+        out = X.canonical_value(v) if label.mode == "controlled_auto" else v
+        return F.struct(F.lit(label.label_id).alias("label_id"), F.when(good, out).otherwise(v).alias("value"), F.when(good, "valid").otherwise("invalid").alias("status"))
+
+    return F.transform(X.label_values(F.col(label.label_id)), told)
+
+
 def value_counts(df: DataFrame, labels: Sequence[Label]) -> DataFrame:
     """label_id, value, paper_count, status; fixed labels count what they allow, from 0.
 
     Two source values that become one value in one paper count twice.
     """
-    parts = []
-    for label in labels:
-        values = X.label_values(F.col(label.label_id))
-
-        def told(v: Column, label: Label = label) -> Column:
-            good = v.isin(list(label.allowed)) if label.mode == "controlled_fixed" and label.allowed else F.lit(True)
-            out = X.canonical_value(v) if label.mode == "controlled_auto" else v
-            return F.struct(F.lit(label.label_id).alias("label_id"), F.when(good, out).otherwise(v).alias("value"), F.when(good, "valid").otherwise("invalid").alias("status"))
-
-        parts.append(F.transform(values, told))
+    parts = [_told_values(x) for x in labels]
     counts = df.select(F.explode(F.concat(*parts)).alias("v")).select("v.*").groupBy("label_id", "value", "status").agg(F.count("*").alias("paper_count"))
     fixed = [(x.label_id, v, "valid") for x in labels if x.mode == "controlled_fixed" for v in x.allowed]
     if not fixed:
