@@ -99,7 +99,8 @@ def tier(anchor: str) -> Column:
 
 def matches_long(df: DataFrame, key: str) -> DataFrame:
     """One row for each topic, term and field that matched."""
-    return df.select(key, F.explode("topic_hits").alias("h")).select(key, "h.topic_id", "h.kind", "h.group_id", "h.value", "h.field")
+    # outer, so that no filter is inferred that would work out all matches once more
+    return df.select(key, F.explode_outer("topic_hits").alias("h")).filter("h IS NOT NULL").select(key, "h.topic_id", "h.kind", "h.group_id", "h.value", "h.field")
 
 
 def merged_matches(df: DataFrame, key: str, ordinal: str) -> DataFrame:
