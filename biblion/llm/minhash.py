@@ -161,11 +161,12 @@ def labelled(docs: DataFrame, classes: DataFrame, sketches: DataFrame, words: in
     while not new.isEmpty():
         turn += 1
         labels = merged(labels, new)
-        # only buckets that hold several components can hide a link
+        # only buckets that hold several components can hide a link, and of two members the one pair is tested
         own = labels.select(F.col("id").alias("doc_id"), "component")
         told = members.select("bucket", "doc_id").join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        several = told.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
-        members = cut(told.join(several, "bucket"))
+        several = told.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).filter("x <> y AND n > 2").select("bucket")
+        # dealt evenly, whatever the sizes of buckets
+        members = cut(told.join(several, "bucket").repartition("bucket", "doc_id"))
         # some orders at once: a copy of each bucket with one class of each component, for every order
         orders = members.withColumn("turn", F.explode(F.array(*(F.lit(ORDERS * turn + k) for k in range(ORDERS)))))
         order = F.xxhash64("doc_id", "turn")
