@@ -10,8 +10,8 @@ copies is one row.  In a bucket every class is paired with the bucket's first
 in a random order only: a star, as many edges as members.  Candidate pairs are
 confirmed on the full sets of their texts.  Since a star may miss a link
 between two of its points, further rounds take, in each bucket that still holds
-several components, one class of each under some more random orders, until a
-round confirms no new link.
+several components, one class of each under a random order of the bucket's own,
+until a round confirms no new link.
 
 With 36 bands of 6 bins a pair of similarity 0.8 shares no bucket with a
 probability of 0.00002.
@@ -38,8 +38,6 @@ from biblion.llm.graph import components
 from biblion.llm.hashing import hashed_words, mixed
 
 BANDS, ROWS = 36, 6
-#: Random orders that a further round tries at once.
-ORDERS = 4
 BINS = BANDS * ROWS
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -167,11 +165,9 @@ def labelled(docs: DataFrame, classes: DataFrame, sketches: DataFrame, words: in
         several = told.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).filter("x <> y AND n > 2").select("bucket")
         # dealt evenly, whatever the sizes of buckets
         members = cut(told.join(several, "bucket").repartition("bucket", "doc_id"))
-        # some orders at once: a copy of each bucket with one class of each component, for every order
-        orders = members.withColumn("turn", F.explode(F.array(*(F.lit(ORDERS * turn + k) for k in range(ORDERS)))))
-        order = F.xxhash64("doc_id", "turn")
-        one = orders.groupBy("bucket", "turn", "component").agg(F.min(F.struct(order.alias("o"), "doc_id"))["doc_id"].alias("doc_id"))
-        one = one.select(F.xxhash64("bucket", "turn").alias("bucket"), "turn", "doc_id")
+        # an order of each bucket's own, so that the centres differ and few tests repeat
+        order = F.xxhash64("doc_id", "bucket", F.lit(turn))
+        one = members.groupBy("bucket", "component").agg(F.min(F.struct(order.alias("o"), "doc_id"))["doc_id"].alias("doc_id"))
         pairs = cut(_star(one, order).join(tested, ["a", "b"], "left_anti"))
         tested = tested.unionByName(pairs)
         new = cut(confirmed(pairs, texts, words, percent))
