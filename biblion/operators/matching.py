@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from biblion.functions import text as X
 
 EXCLUDED_TIER = 999
+FIELDS = ("title", "abstract", "title_or_abstract")
 
 
 @dataclass(frozen=True)
@@ -37,29 +38,69 @@ class TopicSpec:
 
 
 def spec_of(contract: dict) -> TopicSpec:
-    """The topics of a contract, given as lists or as mappings by id."""
+    """The topics of a contract."""
+    structure = contract.get("topic_structure") or {}
+    found = []
+    for x in structure.get("main_topics") or []:
+        if isinstance(x, dict) and str(x.get("topic_id") or "").strip():
+            found.append(Topic(str(x["topic_id"]).strip(), all_terms(x), field_of(x)))
+    found += [Topic(g["main_topic_id"], g["terms"], g["field"], "secondary", g["secondary_topic_id"]) for g in secondary_groups(structure)]
+    return TopicSpec(found, str(structure.get("anchor_topic_id") or "").strip())
 
-    def items(value) -> list[dict]:
-        if isinstance(value, dict):
-            return [{"topic_id": k, **(v if isinstance(v, dict) else {"terms": v})} for k, v in value.items()]
-        return [x for x in value or [] if isinstance(x, dict)]
 
-    found = [Topic(str(x["topic_id"]).strip(), _unique(x.get("terms")), x.get("field") or "title_or_abstract") for x in items(contract.get("main_topics")) if str(x.get("topic_id") or "").strip()]
-    for x in items(contract.get("secondary_topics")):
-        of = str(x.get("main_topic_id") or "").strip()
-        if of:
-            found.append(Topic(of, _unique(x.get("terms")), x.get("field") or "title_or_abstract", "secondary", x.get("group_id") or f"{of}_secondary"))
-    return TopicSpec(found, str(contract.get("anchor_topic_id") or "").strip())
+def field_of(x: dict, default: str = "title") -> str:
+    field = str(x.get("field") or default).strip()
+    return field if field in FIELDS else default
 
 
-def _unique(terms) -> list[str]:
+def all_terms(x: dict) -> list[str]:
+    """The terms of a topic for matching, those for retrieval included."""
+    return unique_terms([t for key in ("matching_terms", "retrieval_terms", "terms") for t in (x[key] if isinstance(x.get(key), list) else [])])
+
+
+def unique_terms(terms) -> list[str]:
+    """Terms without blanks around them, the first of those that differ in case only."""
     seen: dict[str, str] = {}
     for term in terms if isinstance(terms, list) else []:
-        if str(term).strip():
+        if str(term or "").strip():
             seen.setdefault(str(term).strip().casefold(), str(term).strip())
     return list(seen.values())
 
 
+def given_groups(structure: dict) -> list[tuple[str, object]]:
+    """Main topic and group of each secondary group, as given: one list, or by main topic lists of groups or of terms."""
+    given = structure.get("secondary_topics")
+    if isinstance(given, list):
+        return [(str(g.get("main_topic_id") or "").strip(), g) for g in given if isinstance(g, dict)]
+    flat: list[tuple[str, object]] = []
+    for topic, groups in given.items() if isinstance(given, dict) else ():
+        several = isinstance(groups, list) and any(isinstance(g, dict) for g in groups)
+        flat += [(str(topic).strip(), g) for g in (groups if several else [groups])]
+    return flat
+
+
+def secondary_groups(structure: dict) -> list[dict]:
+    """The groups of terms that may stand for a main topic, numbered within it."""
+    mains = [x for x in structure.get("main_topics") or [] if isinstance(x, dict)]
+    fields = {str(x.get("topic_id") or "").strip(): field_of(x) for x in mains}
+    counts: dict[str, int] = {}
+    found = []
+    for topic, g in given_groups(structure):
+        counts[topic] = counts.get(topic, 0) + 1
+        named = isinstance(g, dict)
+        terms = all_terms(g) if named else unique_terms(g)
+        if not topic or not terms:
+            continue
+        own = str((g.get("secondary_topic_id") or g.get("topic_id") or g.get("id") or "") if named else "").strip() or f"{topic}_secondary_{counts[topic]}"
+        label = str(g.get("label") or "").strip() or own if named else f"Secondary replacement for {topic}"
+        default = fields.get(topic, "title")
+        made = {"main_topic_id": topic, "secondary_topic_id": own, "label": label, "field": field_of(g, default) if named else default, "terms": terms}
+        if named and unique_terms(g.get("retrieval_terms")):
+            made["retrieval_terms"] = unique_terms(g["retrieval_terms"])
+        found.append(made)
+    return found
+
+
 def _fields(topic: Topic) -> list[str]:
     return ["title", "abstract"] if topic.field not in ("title", "abstract") else [topic.field]
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from biblion.functions import text as X
-from biblion.operators import audit, matching, model, papers, state
+from biblion.operators import audit, availability, matching, model, papers, seeds, state
 from biblion.operators.audit import Category, Label
 from biblion.operators.matching import Topic, TopicSpec
 
@@ -413,6 +413,98 @@ def _client():
     return model.Static(lambda prompt: '{"anchor_present": %s}' % ("true" if prompt.endswith(" en") else "false"))
 
 
+CONTRACT = {
+    "topic_id": "rights",
+    "research_topic": {"title": "Thanea attion", "description": "Eriner and anea of the license"},
+    "topic_structure": {
+        "anchor_topic_id": "rights",
+        "anchor_reason": "all papers have it",
+        "main_topics": [
+            {"topic_id": "rights", "label": "Rights", "terms": ["rights reserved", "thanedble anea"], "field": "title"},
+            {"topic_id": "license", "label": "License", "terms": ["apache license"], "field": "title_or_abstract"},
+        ],
+        "secondary_topics": {"license": ["version"]},
+    },
+    "scope": {"include_criteria": ["version"], "exclude_criteria": ["menu"], "boundary_rules": []},
+    "rule_based_screening": {"include_terms": ["rights", "thane"], "exclude_terms": ["cookie"], "exclude_wins": True},
+    "candidate_screening": {"missing_abstract_policy": "review", "borderline_policy": "review", "human_review_policy": "none"},
+    "tagging": {"fallback_policy": {}, "categories": {"lang": {"values": ["en", "fr"]}}},
+    "collection": {"allowed_providers": ["recorded"], "preferred_provider": "recorded"},
+}
+
+
+def _sql_list(words) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]::VARCHAR[]"
+
+
+def _sql_tokens(key: str) -> str:
+    return f"list_distinct(list_filter(string_split({key}, ' '), lambda w: (len(w) >= 3 OR w = 'ai') AND NOT list_contains({_sql_list(seeds.STOPWORDS)}, w)))"
+
+
+def _sql_shared(tokens: str, words) -> str:
+    return f"len(list_intersect({tokens}, {_sql_list(words)}))"
+
+
+def _sql_held(terms) -> str:
+    return "(" + " + ".join(f"contains(k, '{seeds.plain(t)}')::INT" for t in terms) + ")"
+
+
+_WORDS = {"titled": ["thanea", "attion"], "wanted": ["rights", "thane"], "researched": ["thanea", "attion", "eriner", "anea", "license"], "scoped": ["version", "menu"]}
+_TERMS = ["thanea", "attion", "eriner", "anea", "license", "rights", "reserved", "thanedble", "apache", "version"]
+_TITLE_KEY = f"trim(regexp_replace(lower({_TITLE}), '[^a-z0-9]+', ' ', 'g'))"
+
+
+@query(f"""WITH d AS (SELECT doc_id, n_chars AS c, (1990 + doc_id % 40)::INT AS y, text, trim(regexp_replace(lower({_TITLE} || ' ' || text || ' ' || source), '[^a-z0-9]+', ' ', 'g')) AS k FROM documents),
+t AS (SELECT *, {_sql_tokens('k')} AS w FROM d),
+n AS (SELECT *, {', '.join(f"{_sql_shared('w', v)} AS {k}" for k, v in _WORDS.items())}, {_sql_held(['rights', 'thane'])} AS i, {_sql_held(['cookie'])} AS e, {_sql_held(seeds.REVIEW_EVIDENCE)} AS r, greatest(0, 2025 - y) AS age FROM t)
+SELECT doc_id, i > 0 OR wanted > 0 OR titled > 0 AS on_topic, round(30 * titled + 18 * wanted + 6 * researched + 2 * scoped + least(180, 60 * i) - 120 * e - CASE WHEN i > 0 OR wanted > 0 OR titled > 0 THEN 0 ELSE 120 END
++ least(8, 1.2 * ln(1 + c)) + least(6, 1.5 * ln(1 + c / greatest(1, 2025 - y + 1))) + CASE WHEN age <= 2 THEN 15 WHEN age <= 5 THEN 12 WHEN age <= 10 THEN 8 WHEN age <= 20 THEN 4 ELSE 1 END
++ CASE WHEN text <> '' THEN 5 ELSE 0 END + least(12, 4 * r), 3) AS score FROM n""")
+def seed_score(spark, sf_dir):
+    rows = as_papers(spark, sf_dir).select("doc_id", "title", "abstract", F.col("provider").alias("venue"), F.col("n_chars").alias("cited_by_count"), (1990 + F.col("doc_id") % 40).cast("int").alias("year"))
+    return seeds.scored(rows, CONTRACT, 2025).select("doc_id", "on_topic", F.round("review_score", 3).alias("score"))
+
+
+@query(f"""WITH d AS (SELECT doc_id, text, {_TITLE_KEY} AS tk, {_sql_tokens(_TITLE_KEY)} AS tw, {_sql_tokens(_KEY)} AS xw FROM documents),
+m AS (SELECT doc_id, text, tk, list_intersect(tw, {_sql_list(_TERMS)}) AS t, list_intersect(xw, {_sql_list(_TERMS)}) AS x FROM d)
+SELECT doc_id, CASE WHEN trim(text) = '' OR text IS NULL THEN 'no_text'
+WHEN NOT (len(t) >= 2 OR (len(t) > 0 AND ({' OR '.join(f"contains(' ' || tk || ' ', ' {p} ')" for p in seeds.phrases(CONTRACT))}))) THEN 'title_off_topic'
+WHEN NOT (len(x) >= 2 OR list_has_any(t, x)) THEN 'text_off_topic' ELSE '' END AS why FROM m""")
+def topic_eligibility(spark, sf_dir):
+    rows = as_papers(spark, sf_dir).withColumnRenamed("abstract", "text")
+    return seeds.eligible(rows, CONTRACT).select("doc_id", "why")
+
+
+@query(f"""WITH d AS (SELECT doc_id, {_TITLE} AS title, {_sql_shared(_sql_tokens(_TITLE_KEY), _TERMS)} AS t, {_sql_shared(_sql_tokens(_KEY), _TERMS)} AS x,
+row_number() OVER (PARTITION BY CASE WHEN trim({_TITLE}) <> '' THEN lower(trim({_TITLE})) ELSE 'paper_' || doc_id END ORDER BY doc_id) AS w FROM documents)
+SELECT doc_id, x AS matches, 10 * t + 5 * x AS score FROM d WHERE w = 1 AND x >= 2 AND NOT contains(lower(title), 'protocol') AND NOT regexp_matches(lower(title), '(^|[^a-z0-9_])reviews?($|[^a-z0-9_])|meta-?\\s?analys[ie]s|scoping study')
+ORDER BY matches DESC, score DESC, doc_id LIMIT 20""")
+def calibration_topk(spark, sf_dir):
+    rows = as_papers(spark, sf_dir).select("doc_id", F.lit("").alias("doi"), F.lit("").alias("paper_id"), "title", "abstract", F.col("abstract").alias("text"), F.lit("").alias("scope_decision"))
+    return seeds.calibration_papers(rows, CONTRACT, 20, "doc_id").select("doc_id", F.col("matches").cast("long").alias("matches"), F.col("score").cast("long").alias("score"))
+
+
+def _answers(urls: DataFrame) -> DataFrame:
+    ok = F.col("url").endswith("0")
+    return urls.select("url", ok.alias("ok"), F.when(ok, "text/html").otherwise("").alias("content_type"), F.col("url").alias("final_url"), F.when(ok, "").otherwise("HEAD: HTTP 404").alias("error"))
+
+
+@query("""SELECT l.doc_id::VARCHAR AS provider_id, CASE WHEN l.doc_id % 7 = 0 THEN 'verified' WHEN quality <> 1 THEN 'skipped_not_included' WHEN l.doc_id % 11 = 0 THEN 'candidate_missing'
+WHEN l.doc_id % 13 = 0 THEN 'not_available' WHEN l.doc_id % 10 = 0 OR d.n_chars % 10 = 0 THEN 'verified' ELSE 'unverified' END AS status,
+CASE WHEN l.doc_id % 7 = 0 THEN 'known' WHEN quality <> 1 OR l.doc_id % 11 = 0 OR l.doc_id % 13 = 0 THEN '' WHEN l.doc_id % 10 <> 0 AND d.n_chars % 10 = 0 THEN 'http://b/' || d.n_chars ELSE 'http://a/' || l.doc_id END AS url
+FROM labels l JOIN documents d USING (doc_id)""")
+def availability_join(spark, sf_dir):
+    docs = as_papers(spark, sf_dir).filter("doc_id % 11 <> 0")  # so many candidates are unknown
+    place = lambda url: F.struct(F.lit("provider").alias("source"), url.alias("url"), F.lit("pdf").alias("kind"), F.lit("").alias("license"), F.lit("").alias("is_open_access"))
+    places = F.array(place(F.concat(F.lit("http://a/"), "doc_id")), place(F.concat(F.lit("http://b/"), "n_chars")))
+    made = docs.select(F.lit("").alias("doi"), F.col("doc_id").cast("string").alias("provider_id"), F.col("doc_id").alias("ordinal"), F.when(F.col("doc_id") % 13 == 0, F.array().cast(availability.LOCATIONS)).otherwise(places).alias("full_text_locations"))
+    screening = _screening_rows(spark, sf_dir).withColumn("paper_id", F.col("provider_id"))
+    told = {c: F.lit("") for c in availability.ANSWER} | {"full_text_availability_status": F.lit("verified"), "full_text_url": F.lit("known")}
+    existing = screening.filter("ordinal % 7 = 0").withColumns(told)
+    rows = availability.verified(made, screening, "ordinal", _answers, existing)
+    return rows.select("provider_id", F.col("full_text_availability_status").alias("status"), F.col("full_text_url").alias("url"))
+
+
 # without SQL: parsing and fuzzy matching
 
 

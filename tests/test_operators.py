@@ -60,8 +60,8 @@ def test_matching_and_cascade(spark):
     assert rows(matching.matches_long(m, "n").select("n", "topic_id", "field"), "n", "topic_id", "field")[:3] == [(1, "a", "title"), (1, "b", "title"), (2, "a", "title")]
     c = matching.cascade(m, SPEC, F.col("n") > 1, F.lit(0)).orderBy("n").collect()
     assert [(r.screening_rule, r.screening_decision) for r in c] == [("tier0_title", "include"), ("local_include", "include"), ("needs_llm", "pending"), ("anchor_missing", "exclude")]
-    spec = matching.spec_of({"anchor_topic_id": "a", "main_topics": {"a": {"terms": ["x", "X"]}}, "secondary_topics": [{"main_topic_id": "a", "terms": ["y"]}]})
-    assert [(t.topic_id, list(t.terms), t.kind, t.group_id) for t in spec.topics] == [("a", ["x"], "main", ""), ("a", ["y"], "secondary", "a_secondary")]
+    spec = matching.spec_of({"topic_structure": {"anchor_topic_id": "a", "main_topics": [{"topic_id": "a", "terms": ["x", "X"]}], "secondary_topics": [{"main_topic_id": "a", "terms": ["y"]}]}})
+    assert [(t.topic_id, list(t.terms), t.kind, t.group_id) for t in spec.topics] == [("a", ["x"], "main", ""), ("a", ["y"], "secondary", "a_secondary_1")]
 
 
 def test_audits(spark):
