@@ -160,3 +160,37 @@ def export_rows(df: DataFrame, fit: str | None, tags: Sequence[str]) -> DataFram
         df = df.filter(F.arrays_overlap(X.multi_values(F.col(fit)), F.array(F.lit("core"), F.lit("adjacent"))))
     first = X.first_value(*(F.get(X.multi_values(F.col(c)), 0) for c in tags))
     return df.withColumn("category", F.when(first != "", first).otherwise(F.raise_error(F.lit("a row has no category"))))
+
+
+def canonical(rows: DataFrame, told: Sequence[str] = ()) -> DataFrame:
+    """Papers of what ``exported`` gives: the candidate's cells, else those of the screening, and notes.
+
+    ``told`` names cells of the screening that are noted where they aren't empty.
+    """
+    has = rows.schema["candidate"].dataType.names
+    own = lambda c: F.col(f"candidate.{c}").cast("string") if c in has else F.lit("")
+    else_own = lambda c: X.first_value(own(c), F.col(c)) if c in rows.columns else X.text_of(own(c))
+    always = [(k, own(c)) for k, c in (("provider", "provider"), ("provider_id", "provider_id"), ("source_rank", "rank"), ("retrieval_date", "retrieval_date"))]
+    notes = [F.concat(F.lit(f"{k}="), X.text_of(c)) for k, c in always]
+    where = [(c, F.col(c).cast("string")) for c in told if c in rows.columns]
+    where += [(k, own(c)) for k, c in (("source_query", "query"), ("source_query_reason", "query_reason"), ("dedupe_key", "dedupe_key"))]
+    where.append(("duplicate_count", F.nullif(own("duplicate_count"), F.lit("0"))))
+    notes += [F.when(X.text_of(c) != "", F.concat(F.lit(f"{k}="), c)) for k, c in where]
+    cells = {"paper_id": X.text_of(F.col("paper_id"))} | {c: else_own(c) for c in ("title", "year", "doi")}
+    cells |= {c: X.text_of(own(c)) for c in ("abstract", "authors", "venue", "url")}
+    cells |= {"source": F.concat(F.lit("collected:"), X.text_of(own("provider"))), "full_text_path": F.lit(""), "notes": F.concat_ws("; ", *notes)}
+    return rows.select(*(v.alias(k) for k, v in cells.items()))
+
+
+def full_text_places(df: DataFrame, urls: Sequence[Column], url: Column) -> DataFrame:
+    """``df`` with full_text_url, pdf_url and url from URLs in order of preference.
+
+    They are the first two that differ; without a URL of its own a row takes
+    the third, else the last.
+    """
+    given = F.array(*(F.trim(X.text_of(u)) for u in [*urls, url]))
+    found = F.array_distinct(F.filter(given, lambda u: u != ""))
+    own = F.trim(X.text_of(url))
+    rest = F.coalesce(F.get(found, 2), F.when(F.size(found) > 0, F.element_at(found, -1)), F.lit(""))
+    at = lambda n: F.coalesce(F.get(found, n), F.lit(""))
+    return df.withColumns({"full_text_url": at(0), "pdf_url": at(1), "url": F.when(own != "", own).otherwise(rest)})

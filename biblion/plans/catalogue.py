@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from biblion.functions import text as X
-from biblion.operators import audit, availability, matching, model, papers, seeds, state
+from biblion.operators import audit, availability, matching, model, papers, reviews, seeds, state
 from biblion.operators.audit import Category, Label
 from biblion.operators.matching import Topic, TopicSpec
 
@@ -505,6 +505,67 @@ def availability_join(spark, sf_dir):
     return rows.select("provider_id", F.col("full_text_availability_status").alias("status"), F.col("full_text_url").alias("url"))
 
 
+_REVIEW_LABELS = [Label("lang", allowed=["en", "fr"], mappings={"de": "en"}, dropped=["es"]), Label("source", "controlled_fixed", allowed=["src1", "src2", "web"], required=True), Label("quotes", "evidence_quote")]
+_LANGS = "CASE lang WHEN 'de' THEN 'review_value_mapped' WHEN 'es' THEN 'review_value_dropped' ELSE 'invalid_review_value' END"
+_QUALITY = """(SELECT doc_id::VARCHAR AS paper_id, 'venue' AS field, '' AS "value", 'recommended_metadata_missing' AS issue, 'warning' AS severity FROM documents WHERE doc_id % 5 = 0
+UNION ALL SELECT doc_id::VARCHAR, 'title', '', 'required_metadata_missing', 'error' FROM documents WHERE trim(""" + _TITLE + f""") = ''
+UNION ALL SELECT doc_id::VARCHAR, 'lang', lang, {_LANGS}, 'warning' FROM documents WHERE lang NOT IN ('en', 'fr')
+UNION ALL SELECT doc_id::VARCHAR, 'source', source, 'invalid_review_value', 'error' FROM documents WHERE source NOT IN ('src1', 'src2', 'web')
+UNION ALL SELECT doc_id::VARCHAR, 'quotes', '', 'quote_missing_section', 'warning' FROM documents WHERE doc_id % 3 = 0)"""
+
+
+def _reviewed(spark, sf_dir) -> DataFrame:
+    rows = as_papers(spark, sf_dir)
+    quotes = F.to_json(F.array(F.struct(F.lit("x").alias("quote"), F.when(F.col("doc_id") % 3 == 0, "").otherwise("s").alias("section"))))
+    return rows.select(F.col("doc_id").cast("string").alias("paper_id"), "title", F.lit("2020").alias("year"), F.lit("d").alias("doi"), F.lit("A").alias("authors"), F.when(F.col("doc_id") % 5 == 0, "").otherwise("V").alias("venue"), "lang", F.col("provider").alias("source"), quotes.alias("quotes"))
+
+
+@query(f"SELECT * FROM {_QUALITY} WHERE issue <> ''")
+def review_quality(spark, sf_dir):
+    return reviews.issues(_reviewed(spark, sf_dir), _REVIEW_LABELS).drop("detail")
+
+
+@query(f"SELECT DISTINCT paper_id FROM {_QUALITY} WHERE severity = 'error'")
+def problem_papers(spark, sf_dir):
+    return reviews.problem_papers(reviews.issues(_reviewed(spark, sf_dir), _REVIEW_LABELS), _REVIEW_LABELS)
+
+
+@query(f"""WITH u AS (SELECT doc_id, lang, source FROM documents WHERE doc_id::VARCHAR NOT IN (SELECT paper_id FROM {_QUALITY} WHERE severity = 'error'))
+SELECT doc_id::VARCHAR AS paper_id, 'lang' AS label_id, CASE lang WHEN 'de' THEN 'en' ELSE lang END AS "values", 0 AS n_quotes FROM u WHERE lang IN ('en', 'fr', 'de')
+UNION ALL SELECT doc_id::VARCHAR, 'source', source, 0 FROM u UNION ALL SELECT doc_id::VARCHAR, 'quotes', '', 1 FROM u""")
+def review_evidence(spark, sf_dir):
+    rows = _reviewed(spark, sf_dir)
+    found = reviews.evidence(rows, reviews.issues(rows, _REVIEW_LABELS), _REVIEW_LABELS)
+    return found.select("paper_id", "label_id", F.array_join("values", "; ").alias("values"), F.size("quotes").alias("n_quotes"))
+
+
+@query("""SELECT l.doc_id, CASE WHEN quality = 1 THEN 'include' WHEN d.n_chars > 1000 THEN d.lang ELSE 'review' END AS decision,
+CASE WHEN quality = 1 THEN 'deterministic_include' WHEN d.n_chars > 1000 THEN 'llm_screened' ELSE 'pending_llm_full_text' END AS status FROM labels l JOIN documents d USING (doc_id)""")
+def finalized_screening(spark, sf_dir):
+    good = F.col("screening_decision") == "include"
+    rows = _screening_rows(spark, sf_dir).withColumns({"screening_decision": F.when(good, "include").otherwise("review"), "screening_status": F.when(good, "deterministic_include").otherwise("pending_llm_full_text")})
+    known = as_papers(spark, sf_dir).select(F.lit("").alias("doi"), F.col("doc_id").cast("string").alias("provider_id"), "lang", "n_chars", F.col("doc_id").alias("ordinal"))
+    places = known.select("doi", "provider_id", F.when(F.col("n_chars") > 1000, "verified").otherwise("unverified").alias("full_text_availability_status"))
+    done = reviews.finalized(rows, known, places, "ordinal", lambda df: df.select("ordinal", F.col("lang").alias("screening_decision")))
+    return done.select(F.col("ordinal").alias("doc_id"), F.col("screening_decision").alias("decision"), F.col("screening_status").alias("status"))
+
+
+@query(f"""SELECT l.doc_id::VARCHAR AS paper_id, {_TITLE.replace('text', 'd.text')} AS title, 'collected:' || d.source AS source, 'provider=' || d.source || '; provider_id=' || d.doc_id || '; source_rank=; retrieval_date=; title_relevance_tier=' || toxic AS notes
+FROM labels l JOIN documents d USING (doc_id) WHERE quality = 1""")
+def canonical_papers(spark, sf_dir):
+    known = as_papers(spark, sf_dir).select(F.lit("").alias("doi"), F.col("doc_id").cast("string").alias("provider_id"), "provider", "title", F.col("doc_id").alias("ordinal"))
+    rows = papers.exported(known, _screening_rows(spark, sf_dir).withColumn("paper_id", F.col("provider_id")), "ordinal")
+    return papers.canonical(rows, ["title_relevance_tier"]).select("paper_id", "title", "source", "notes")
+
+
+@query("""WITH f AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN trim(url) ELSE '' END AS a, 'http://b/' || page_id % 3 AS b FROM pages)
+SELECT page_id, CASE WHEN a <> '' THEN a ELSE b END AS full_text_url, CASE WHEN a <> '' THEN b WHEN b <> 'http://b/1' THEN 'http://b/1' ELSE '' END AS pdf_url FROM f""")
+def full_text_places(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").withColumn("a", F.when(F.col("page_id") % 2 == 0, F.col("url")))
+    other = F.concat(F.lit("http://b/"), (F.col("page_id") % 3).cast("string"))
+    return papers.full_text_places(rows, [F.col("a"), other, F.lit("http://b/1")], F.lit("")).select("page_id", "full_text_url", "pdf_url")
+
+
 # without SQL: parsing and fuzzy matching
 
 
