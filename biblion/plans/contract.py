@@ -239,3 +239,33 @@ def reviewed_contract(contract: dict, review: dict, completed: dict[str, list[st
             del policy[name]
             said.append(f"no fallback for {name}")
     return checked(merged), said
+
+
+MODES = ("controlled_fixed", "controlled_auto", "free_text", "evidence_quote")
+CAPS = ("max_values_per_paper", "max_words_per_value", "max_items_per_paper", "max_words_per_item")
+
+
+def review_labels(contract: dict) -> list[Label]:
+    """The labels of a contract's review.
+
+    Values that are listed, or the main topics, are fixed; a label without is
+    automatic, unless its mode says otherwise.
+    """
+    found: dict[str, Label] = {}
+    for raw, told in ((contract.get("review") or {}).get("labels") or {}).items():
+        name, at = label_of(raw), f"review.labels.{raw}"
+        if not name or name in found:
+            raise ValueError(f"{at} is empty or there twice.")
+        for cap in CAPS:
+            if told.get(cap) not in (None, "") and not (isinstance(told[cap], int) and told[cap] > 0):
+                raise ValueError(f"{at}.{cap} must be a positive number.")
+        if told.get("values_from") == "topic_structure.main_topics":
+            mode, values = "controlled_fixed", labels_of([t.get("topic_id") for t in contract["topic_structure"]["main_topics"]], at)
+        else:
+            values = [] if told.get("values") in (None, "auto") else labels_of(told["values"], f"{at}.values")
+            mode = told.get("value_mode") or ("controlled_fixed" if values else "controlled_auto")
+        selection = (told.get("selection") or "multi") if mode.startswith("controlled") else "multi"
+        if mode not in MODES or selection not in ("single", "multi") or (mode == "controlled_fixed" and not values):
+            raise ValueError(f"{at} has no such mode or selection, or is fixed without values.")
+        found[name] = Label(name, mode, tuple(values), selection=selection, required=bool(told.get("required")))
+    return list(found.values())

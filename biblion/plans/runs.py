@@ -95,3 +95,38 @@ def run(plan: Sequence[str], functions: dict[str, Callable[[], StepResult]], man
         if result.status != "succeeded":
             return result.status
     return "succeeded"
+
+
+MAIN = ["normalize", "screen_scope", "full_text", "tagging_config", "tagging_rules", "tag", "audit", "export"]
+COLLECT = ["plan_search", "fetch", "deduplicate", "screen_titles", "verify_full_text", "backfill", "export_included"]
+CALIBRATE = ["select_calibration", "calibration_full_text", "calibrate_contract"]
+BOOTSTRAP = ["generate_contract", "fetch_reviews", "review_full_text", "refine_contract"]
+REVIEW = ["label_values", "validate_labels", "coverage_report", "evidence_map", "write_sections", "edit_sections", "assemble"]
+
+
+def _before(plan: list[str], step: str, *new: str) -> list[str]:
+    at = plan.index(step)
+    return plan[:at] + [x for x in new if x not in plan] + plan[at:]
+
+
+def main_plan(calibrate: bool = False, review_categories: bool = False, extract_labels: bool = False, review_values: bool = False, write_review: bool = False) -> list[str]:
+    """The steps of a tagging run with what is asked for besides.
+
+    Labels of reviews are extracted while papers are tagged, so their
+    configuration comes before; a review is written after the export.
+    """
+    plan = list(MAIN)
+    if calibrate:
+        plan = _before(plan, "tagging_config", "calibrate_contract")
+    if review_categories:
+        plan = _before(plan, "tagging_config", "review_categories")
+    if extract_labels or review_values or write_review:
+        at = plan.index("full_text") + 1
+        plan = _before(plan[:at] + ["filter_reviews"] + plan[at:], "tag", "review_config")
+    if write_review or (review_values and not extract_labels):
+        plan += _before(REVIEW, "validate_labels", "review_values") if review_values else REVIEW
+    return plan
+
+
+def collection_plan(with_contract: bool = False) -> list[str]:
+    return [*BOOTSTRAP, *COLLECT] if with_contract else list(COLLECT)

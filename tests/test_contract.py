@@ -6,7 +6,7 @@ import pytest
 from biblion.operators import availability, matching, seeds
 from biblion.operators.audit import Label
 from biblion.plans import contract as C
-from biblion.plans import retrieval
+from biblion.plans import ontology, retrieval, runs
 from biblion.plans.catalogue import CONTRACT
 from pyspark.sql import functions as F
 
@@ -122,3 +122,50 @@ def test_availability(spark):
     assert got[1].full_text_availability_error == "HEAD: OSError: refused | GET: OSError: refused"
     again = availability.verified(made, rows, "o", check, availability.verified(made, rows, "o", check).withColumn("full_text_url", F.lit("old"))).orderBy("o").collect()
     assert [r.full_text_url for r in again] == ["old"] * 6 + [""]
+
+
+def test_weak_categories():
+    cats = {
+        "Study Type": {"values": ["cohort", "survey"]},
+        "study_design": {"values": ["cohort", "other"]},
+        "paper_type": {"values": ["method", "tool", "x"], "applies_when": {"category_id": "dimension", "values": ["method", "y"]}},
+        "fine": {"values": ["a_b", "c"]},
+        "odd": {"values": ["A b", "c", "unclear"]},
+        "none": {"values": ["unknown"]},
+    }
+    found = [(i.code, i.category_id, i.values) for i in ontology.issues(changed("tagging", "categories", to=cats))]
+    assert found == [
+        ("non_snake_category_id", "Study Type", ()),
+        ("boilerplate_category_id", "Study Type", ()),
+        ("boilerplate_category_id", "study_design", ()),
+        ("too_few_values", "study_design", ("cohort",)),
+        ("catchall_values", "study_design", ("other",)),
+        ("meta_category_id", "paper_type", ()),
+        ("meta_values", "paper_type", ("method", "tool")),
+        ("meta_dependency", "paper_type", ("dimension",)),
+        ("broad_dependency_values", "paper_type", ("method",)),
+        ("catchall_values", "odd", ("unclear",)),
+        ("non_snake_values", "odd", ("A b",)),
+        ("too_few_values", "none", ()),
+        ("catchall_values", "none", ("unknown",)),
+    ]
+    assert ontology.issues(CONTRACT)[0].code == "too_few_categories"
+    assert [i.code for i in ontology.warnings(changed("tagging", "categories", to=cats))] == ["boilerplate_category_id", "boilerplate_values"] * 2
+
+
+def test_labels_of_a_review():
+    told = {"Topics": {"values_from": "topic_structure.main_topics", "required": True}, "m": {"values": ["A", "a", "b c"]}, "n": {"values": "auto", "selection": "single"}, "q": {"value_mode": "evidence_quote"}}
+    got = C.review_labels({**CONTRACT, "review": {"labels": told}})
+    assert [(x.label_id, x.mode, x.allowed, x.selection, x.required) for x in got] == [("topics", "controlled_fixed", ("rights", "license"), "multi", True), ("m", "controlled_fixed", ("a", "b_c"), "multi", False), ("n", "controlled_auto", (), "single", False), ("q", "evidence_quote", (), "multi", False)]
+    for bad in ({"value_mode": "other"}, {"value_mode": "controlled_fixed"}, {"max_words_per_item": 0}, {"values": "x"}):
+        with pytest.raises(ValueError):
+            C.review_labels({**CONTRACT, "review": {"labels": {"x": bad}}})
+
+
+def test_plans():
+    assert runs.main_plan() == runs.MAIN
+    full = runs.main_plan(True, True, write_review=True, review_values=True)
+    assert full[:9] == ["normalize", "screen_scope", "full_text", "filter_reviews", "calibrate_contract", "review_categories", "tagging_config", "tagging_rules", "review_config"]
+    assert full[-9:] == ["export", "label_values", "review_values", *runs.REVIEW[1:]]
+    assert runs.main_plan(extract_labels=True)[-1] == "export"
+    assert runs.collection_plan(True)[4] == "plan_search"
