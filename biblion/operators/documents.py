@@ -36,6 +36,21 @@ def references(df: DataFrame, cited: Sequence[str] = ()) -> DataFrame:
     return best.withColumn("label", label).orderBy(F.lower("label"), F.lower("year"), F.lower("title"), "paper_id")
 
 
+def section_papers(sections: DataFrame, papers: DataFrame) -> DataFrame:
+    """section_id, at and the columns of each citable paper of a section (paper_ids), in the section's order."""
+    rows = sections.select("section_id", F.posexplode("paper_ids").alias("at", "paper_id"))
+    known = citable(papers).dropDuplicates(["paper_id"])
+    return rows.join(known, "paper_id").orderBy("section_id", "at")
+
+
+def edited_sections(drafts: DataFrame, edited: DataFrame) -> DataFrame:
+    """The edited sections (section_id, text); an id that either side lacks is an error."""
+    both = drafts.select("section_id", F.lit(True).alias("drafted")).join(edited.select("section_id", F.struct("text").alias("told")), "section_id", "full")
+    said = F.concat(F.lit("editing lost or added section "), "section_id")
+    wrong = F.col("drafted").isNull() | F.col("told").isNull()
+    return both.select("section_id", F.when(wrong, F.raise_error(said).cast("string")).otherwise(F.col("told.text")).alias("text"))
+
+
 def repaired(text: str, papers: Sequence[dict]) -> str:
     """A citation that no paper has is replaced if one paper alone has its year; else it is an error."""
     known = {(p["label"], p["year"]) for p in papers}

@@ -67,3 +67,14 @@ def topped_up(start: DataFrame, fetch: Callable[[int], DataFrame | None], enough
             return rows, "nothing_new"
         rows = rows.unionByName(new, allowMissingColumns=True)
     return rows, "enough" if enough(rows) else "rounds"
+
+
+def fetch_counts(df: DataFrame) -> DataFrame:
+    """kind (all, tier or query), name, candidates and duplicates_removed of fetched candidates, in one pass.
+
+    Columns: retrieval_tier, retrieval_query_id, in_fetch_duplicate_count (null is 1).
+    """
+    rows = df.select(F.col("retrieval_tier").cast("string").alias("t"), F.col("retrieval_query_id").cast("string").alias("q"), (F.coalesce(F.col("in_fetch_duplicate_count"), F.lit(1)) - 1).alias("d"))
+    sets = rows.groupingSets([[], ["t"], ["q"]], "t", "q").agg(F.grouping_id().alias("g"), F.count("*").alias("candidates"), F.coalesce(F.sum("d"), F.lit(0)).alias("duplicates_removed"))
+    kind = F.when(F.col("g") == 3, "all").when(F.col("g") == 1, "tier").otherwise("query")
+    return sets.select(kind.alias("kind"), F.coalesce(F.when(F.col("g") == 1, F.col("t")).when(F.col("g") == 2, F.col("q")), F.lit("")).alias("name"), "candidates", "duplicates_removed")

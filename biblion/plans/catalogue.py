@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from biblion.functions import text as X
-from biblion.operators import audit, availability, matching, model, papers, reviews, seeds, state
+from biblion.operators import audit, availability, documents, matching, model, papers, reviews, seeds, state
 from biblion.operators.audit import Category, Label
 from biblion.operators.matching import Topic, TopicSpec
 
@@ -566,6 +566,21 @@ def full_text_places(spark, sf_dir):
     return papers.full_text_places(rows, [F.col("a"), other, F.lit("http://b/1")], F.lit("")).select("page_id", "full_text_url", "pdf_url")
 
 
+@query("""WITH d AS (SELECT (n_chars % 3)::VARCHAR AS t, source AS q, doc_id % 4 AS d FROM documents)
+SELECT 'all' AS kind, '' AS name, count(*) AS candidates, sum(d)::BIGINT AS duplicates_removed FROM d UNION ALL SELECT 'tier', t, count(*), sum(d)::BIGINT FROM d GROUP BY t UNION ALL SELECT 'query', q, count(*), sum(d)::BIGINT FROM d GROUP BY q""")
+def fetch_counts(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents")
+    return state.fetch_counts(rows.select((F.col("n_chars") % 3).alias("retrieval_tier"), F.col("source").alias("retrieval_query_id"), (F.col("doc_id") % 4 + 1).alias("in_fetch_duplicate_count")))
+
+
+@query("""WITH s AS (SELECT conv_id AS section_id, list(turn ORDER BY turn) AS ids FROM conversations GROUP BY 1), p AS (SELECT section_id, generate_subscripts(ids, 1) - 1 AS place, unnest(ids) AS doc_id FROM s)
+SELECT section_id, place::INT AS place, doc_id::VARCHAR AS paper_id FROM p JOIN documents USING (doc_id) WHERE n_chars % 2 = 0""")
+def section_papers(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("section_id")).agg(F.transform(F.array_sort(F.collect_list("turn")), lambda t: t.cast("string")).alias("paper_ids"))
+    known = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("paper_id"), F.lit("T").alias("title"), F.when(F.col("n_chars") % 2 == 0, "2020").otherwise("n.d.").alias("year"), F.lit("A").alias("authors"), F.lit("d").alias("doi"))
+    return documents.section_papers(turns, known).select("section_id", F.col("at").alias("place"), "paper_id")
+
+
 # without SQL: parsing and fuzzy matching
 
 

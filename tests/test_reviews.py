@@ -1,6 +1,7 @@
 """Review labels, evidence, papers made of candidates."""
 
-from biblion.operators import papers, reviews
+import pytest
+from biblion.operators import documents, papers, reviews
 from biblion.operators.audit import Label
 from pyspark.sql import functions as F
 
@@ -78,3 +79,12 @@ def test_canonical_and_places(spark):
     df = spark.createDataFrame([("a", "b", "c", None), ("a", "a", "", ""), (None, None, None, None), ("a", "b", "c", "u")], "x string, y string, z string, url string")
     got = papers.full_text_places(df, [F.col("x"), F.col("y"), F.col("z")], F.col("url")).collect()
     assert [(g.full_text_url, g.pdf_url, g.url) for g in got] == [("a", "b", "c"), ("a", "", "a"), ("", "", ""), ("a", "b", "u")]
+
+
+def test_edited_sections(spark):
+    drafts = spark.createDataFrame([("a",), ("b",)], "section_id string")
+    edited = spark.createDataFrame([("b", "B"), ("a", None)], "section_id string, text string")
+    assert sorted(tuple(r) for r in documents.edited_sections(drafts, edited).collect()) == [("a", None), ("b", "B")]
+    for wrong in (edited.limit(1), edited.unionByName(spark.createDataFrame([("c", "C")], "section_id string, text string"))):
+        with pytest.raises(Exception, match="lost or added"):
+            documents.edited_sections(drafts, wrong).collect()
