@@ -10,8 +10,9 @@ copies is one row.  In a bucket every class is paired with the bucket's first
 in a random order only: a star, as many edges as members.  Candidate pairs are
 confirmed on the full sets of their texts.  Since a star may miss a link
 between two of its points, further rounds take, in each bucket that still holds
-several components, one class of each under a random order of the bucket's own,
-until a round confirms no new link.
+several components, one class of each, those first that share the most buckets
+with others (a text that many others derive from), in an order of the bucket's
+own, until two rounds in a row confirm no new link.
 
 With 36 bands of 6 bins a pair of similarity 0.8 shares no bucket with a
 probability of 0.00002.
@@ -39,6 +40,8 @@ from biblion.llm.hashing import hashed_words, mixed
 
 BANDS, ROWS = 36, 6
 BINS = BANDS * ROWS
+#: Rounds without a new link before the search ends.
+QUIET = 1
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -155,23 +158,34 @@ def labelled(docs: DataFrame, classes: DataFrame, sketches: DataFrame, words: in
     texts = cut(docs.join(members.select("doc_id").distinct(), "doc_id"))
     # the smallest id as the first centre: most members then have their label after one round
     tested = cut(_star(members, F.col("doc_id")))
-    new, labels, turn = cut(confirmed(tested, texts, words, percent)), None, 0
-    while not new.isEmpty():
+    new, labels, turn, quiet = cut(confirmed(tested, texts, words, percent)), None, 0, 0
+    while True:
+        if not new.isEmpty():
+            labels, quiet = merged(labels, new), 0
+        elif (quiet := quiet + 1) > QUIET:
+            return labels
         turn += 1
-        labels = merged(labels, new)
         # only buckets that hold several components can hide a link, and of two members the one pair is tested
-        own = labels.select(F.col("id").alias("doc_id"), "component")
-        told = members.select("bucket", "doc_id").join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        several = told.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).filter("x <> y AND n > 2").select("bucket")
+        told = members.select("bucket", "doc_id")
+        if labels is None:
+            told = told.withColumn("component", F.col("doc_id"))
+        else:
+            own = labels.select(F.col("id").alias("doc_id"), "component")
+            told = told.join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+        several = told.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).filter("x <> y AND n > 2").select("bucket", "n")
         # dealt evenly, whatever the sizes of buckets
         members = cut(told.join(several, "bucket").repartition("bucket", "doc_id"))
-        # an order of each bucket's own, so that the centres differ and few tests repeat
-        order = F.xxhash64("doc_id", "bucket", F.lit(turn))
-        one = members.groupBy("bucket", "component").agg(F.min(F.struct(order.alias("o"), "doc_id"))["doc_id"].alias("doc_id"))
-        pairs = cut(_star(one, order).join(tested, ["a", "b"], "left_anti"))
+        if members.isEmpty():
+            return labels
+        # a text that many others derive from shares the most buckets with them: such texts come first, later
+        # rounds in an order of each bucket's own, so that the centres differ and few tests repeat
+        weight = members.groupBy("doc_id").agg(F.sum("n").alias("weight"))
+        chance = F.lit(1.0) if turn == 1 else 0.5 + F.pmod(F.xxhash64("doc_id", "bucket", F.lit(turn)), F.lit(1000)) / 1000
+        ordered = members.join(weight, "doc_id").withColumn("o", -F.col("weight") * chance)
+        one = ordered.groupBy("bucket", "component").agg(F.min(F.struct("o", "doc_id")).alias("m")).select("bucket", "m.*")
+        pairs = cut(_star(one, F.col("o")).join(tested, ["a", "b"], "left_anti"))
         tested = tested.unionByName(pairs)
         new = cut(confirmed(pairs, texts, words, percent))
-    return labels
 
 
 def merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:

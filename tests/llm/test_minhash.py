@@ -112,3 +112,19 @@ def test_components(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     assert {r.id: r.component for r in components(df).collect()} == want
     assert components(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("sizes", [[60], [150, 150]])
+def test_texts_that_derive_from_one(spark, sizes):
+    # each differs from its source in places of its own: linked with the source only; sources form a chain
+    rnd, rows = random.Random(len(sizes)), []
+    source = [f"b{i}" for i in range(200)]
+    for f, size in enumerate(sizes):
+        new = set(rnd.sample(range(200), 8))
+        source = [f"s{f}_{k}" if k in new else w for k, w in enumerate(source)]
+        for m in range(size):
+            away = set(rnd.sample(range(200), 9))
+            rows.append((1000 * f + m, " ".join(f"v{f}_{m}_{k}" if k in away else w for k, w in enumerate(source))))
+        rows.append((1000 * f + size, " ".join(source)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert got(df, 2, 80) == brute(rows, 2, 80)
