@@ -104,8 +104,8 @@ def sketched(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, one, two, keys = [], [], [], []
-            for t in batch.column(1).to_pylist():
-                s = shingles(t, words)
+            for t in batch.column(1):  # one text at a time, not all of a batch
+                s = shingles(t.as_py(), words)
                 n.append(len(s))
                 one.append(int(np.bitwise_xor.reduce(mixed(s + np.uint64(1))).view(np.int64)))
                 two.append(int(mixed(s + np.uint64(2)).sum(dtype=np.uint64).view(np.int64)))
