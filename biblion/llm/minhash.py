@@ -12,7 +12,10 @@ confirmed on the full sets of their texts.  Since a star may miss a link
 between two of its points, further rounds take, in each bucket that still holds
 several components, one class of each, those first that share the most buckets
 with others (a text that many others derive from), in an order of the bucket's
-own, until two rounds in a row confirm no new link.
+own, until two rounds in a row confirm no new link, two at most.  Then every pair of a bucket
+that no round has settled is compared: its largest component and the rest are
+dealt into blocks, and each pair of blocks is a task of its own, so no link of a
+bucket is left out and no task holds more than two blocks.
 
 With 36 bands of 6 bins a pair of similarity 0.8 shares no bucket with a
 probability of 0.00002.
@@ -40,8 +43,10 @@ from biblion.llm.hashing import hashed_words, mixed
 
 BANDS, ROWS = 36, 6
 BINS = BANDS * ROWS
-#: Rounds without a new link before the search ends.
-QUIET = 1
+#: Rounds without a new link before the stars end, and weighted or random rounds at most: the last pass compares what they leave.
+QUIET, STARS = 1, 2
+#: Classes and bytes of text that a block of the last pass should hold.
+BLOCK, BLOCK_BYTES = 1000, 8_000_000
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
@@ -149,6 +154,77 @@ def _star(members: DataFrame, order: Column) -> DataFrame:
     return pairs.select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct()
 
 
+def _compared(words: int, percent: int):
+    """Of two blocks of a bucket, or one: links that unite components."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        bucket, one, two = (k.as_py() for k in key)
+        sets = [shingles(t.as_py(), words) for t in rows.column("text")]
+        some = np.array([k for k, s in enumerate(sets) if len(s)], np.int64)
+        sets = [sets[k] for k in some]
+        ids, own, label = (np.asarray(rows.column(c))[some] for c in ("doc_id", "own", "component"))
+        label = label.copy()  # united with each link that is found
+        size = np.array([len(s) for s in sets])
+        at = np.r_[0, np.cumsum(size)]
+        known, number = np.unique(np.concatenate(sets), return_inverse=True) if sets else (some, some)
+        sets = [number[at[k] : at[k + 1]] for k in range(len(sets))]
+        # a pair counts in the first bucket that both are in
+        earlier = [np.asarray(x.values) for x in rows.column("buckets").take(pa.array(some))]
+        earlier = [x[x < bucket] for x in earlier]
+        owner, flat = np.repeat(np.arange(len(earlier)), [len(x) for x in earlier]), np.concatenate([np.zeros(0, np.int64), *earlier])
+        buckets, flat = np.unique(flat, return_inverse=True)
+        seen, mark = np.zeros(len(buckets), bool), np.zeros(len(known), np.int32)
+        out = []
+        for k in range(len(sets)):
+            # each pair once; pairs within a block have a task of their own
+            other = np.arange(len(sets)) > k if one == two else own != own[k]
+            other &= (np.arange(len(sets)) > k) & (label != label[k])
+            other &= 100 * np.minimum(size, size[k]) >= percent * np.maximum(size, size[k])
+            if not other.any():
+                continue
+            seen[flat[owner == k]] = True
+            other[owner[seen[flat]]] = False
+            seen[:] = False
+            rest = np.flatnonzero(other)
+            if not len(rest):
+                continue
+            mark[sets[k]] = 1
+            both = np.add.reduceat(mark[np.concatenate([sets[j] for j in rest])], np.r_[0, np.cumsum(size[rest])[:-1]]).astype(np.int64)
+            mark[sets[k]] = 0
+            for j in rest[100 * both >= percent * (size[k] + size[rest] - both)]:
+                if label[j] != label[k]:
+                    out.append((ids[k], ids[j]))
+                    label[label == label[j]] = label[k]
+        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+
+    return run
+
+
+def unsettled(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between the components of each bucket, of all its pairs (members: bucket, doc_id, component)."""
+    sized = members.select("bucket", "doc_id", "component").join(texts.groupBy("doc_id").agg(F.sum(F.octet_length("text")).alias("bytes")), "doc_id")
+    parts = sized.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
+    most = F.max(F.struct("n", "bytes", "component")).alias("most")
+    each = parts.groupBy("bucket").agg(most, F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+
+    def blocks(n: Column, size: Column) -> Column:
+        return F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("int")
+
+    # pairs within the largest component are linked already: its blocks (numbers from "rest" on) meet those of the rest only
+    each = each.select("bucket", F.col("most.component").alias("largest"), blocks(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("rest"), blocks(F.col("most.n"), F.col("most.bytes")).alias("large"))
+    # buckets of the same members are one
+    same = members.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("x"))
+    each = each.join(same.groupBy("n", "s", "x").agg(F.min("bucket").alias("bucket")).select("bucket"), "bucket")
+    told = cut(members.select("bucket", "doc_id", "component").join(each, "bucket"))
+    inside, chance = F.col("component") == F.col("largest"), F.xxhash64("doc_id", "bucket")
+    told = told.withColumn("own", F.when(inside, F.col("rest") + F.pmod(chance, F.col("large"))).otherwise(F.pmod(chance, F.col("rest"))).cast("int"))
+    told = told.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(inside, F.col("rest")).otherwise(F.col("rest") + F.col("large")) - 1)))
+    told = told.select("bucket", "doc_id", "component", "own", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
+    lists = told.groupBy("doc_id").agg(F.collect_set("bucket").alias("buckets"))
+    rows = told.join(texts.join(lists, "doc_id"), "doc_id")
+    return rows.groupBy("bucket", "one", "two").applyInArrow(_compared(words, percent), "a long, b long")
+
+
 def labelled(docs: DataFrame, classes: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame | None:
     """id and component of the class representatives that are linked with others; None without any."""
     keys = sketches.join(classes.select(F.col("rep").alias("doc_id"), "h1", "h2", "n_shingles"), ["doc_id", "h1", "h2", "n_shingles"], "left_semi")
@@ -162,8 +238,8 @@ def labelled(docs: DataFrame, classes: DataFrame, sketches: DataFrame, words: in
     while True:
         if not new.isEmpty():
             labels, quiet = merged(labels, new), 0
-        elif (quiet := quiet + 1) > QUIET:
-            return labels
+        else:
+            quiet += 1
         turn += 1
         # only buckets that hold several components can hide a link, and of two members the one pair is tested
         told = members.select("bucket", "doc_id")
@@ -177,6 +253,9 @@ def labelled(docs: DataFrame, classes: DataFrame, sketches: DataFrame, words: in
         members = cut(told.join(several, "bucket").repartition("bucket", "doc_id"))
         if members.isEmpty():
             return labels
+        if quiet > QUIET or turn > STARS:
+            last = cut(unsettled(members, texts, words, percent))
+            return labels if last.isEmpty() else merged(labels, last)
         # a text that many others derive from shares the most buckets with them: such texts come first, later
         # rounds in an order of each bucket's own, so that the centres differ and few tests repeat
         weight = members.groupBy("doc_id").agg(F.sum("n").alias("weight"))

@@ -128,3 +128,17 @@ def test_texts_that_derive_from_one(spark, sizes):
         rows.append((1000 * f + size, " ".join(source)))
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
     assert got(df, 2, 80) == brute(rows, 2, 80)
+
+
+def test_crowded_buckets(spark):
+    # form letters: most pairs lie just under the threshold and share buckets with very many others
+    rnd, rows = random.Random(4), []
+    for i in range(300):
+        words = [f"f{k}" for k in range(230)]
+        for k in range(29):
+            words += [f"slot{k}", f"c{k}_{rnd.randrange(6)}", f"end{k}"]
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    want = brute(rows, 2, 80)
+    assert 20 < sum(not x[3] for x in want) < 280
+    assert got(df, 2, 80) == want
