@@ -225,6 +225,11 @@ def unsettled(members: DataFrame, texts: DataFrame, words: int, percent: int) ->
     return rows.groupBy("bucket", "one", "two").applyInArrow(_compared(words, percent), "a long, b long")
 
 
+def _order(turn: int) -> Column:
+    """The order of a round in a bucket: weighted in the first, then random and of the bucket's own."""
+    return -F.col("weight") if turn == 1 else F.xxhash64("doc_id", "bucket", F.lit(turn))
+
+
 def labelled(docs: DataFrame, classes: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame | None:
     """id and component of the class representatives that are linked with others; None without any."""
     keys = sketches.join(classes.select(F.col("rep").alias("doc_id"), "h1", "h2", "n_shingles"), ["doc_id", "h1", "h2", "n_shingles"], "left_semi")
@@ -259,8 +264,7 @@ def labelled(docs: DataFrame, classes: DataFrame, sketches: DataFrame, words: in
         # a text that many others derive from shares the most buckets with them: such texts come first, later
         # rounds in an order of each bucket's own, so that the centres differ and few tests repeat
         weight = members.groupBy("doc_id").agg(F.sum("n").alias("weight"))
-        chance = F.lit(1.0) if turn == 1 else 0.5 + F.pmod(F.xxhash64("doc_id", "bucket", F.lit(turn)), F.lit(1000)) / 1000
-        ordered = members.join(weight, "doc_id").withColumn("o", -F.col("weight") * chance)
+        ordered = members.join(weight, "doc_id").withColumn("o", _order(turn))
         one = ordered.groupBy("bucket", "component").agg(F.min(F.struct("o", "doc_id")).alias("m")).select("bucket", "m.*")
         pairs = cut(_star(one, F.col("o")).join(tested, ["a", "b"], "left_anti"))
         tested = tested.unionByName(pairs)

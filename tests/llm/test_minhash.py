@@ -142,3 +142,14 @@ def test_crowded_buckets(spark):
     want = brute(rows, 2, 80)
     assert 20 < sum(not x[3] for x in want) < 280
     assert got(df, 2, 80) == want
+
+
+def test_light_texts_come_first_too(spark):
+    rows = [(b, d, 100 if d else 1) for b in range(200) for d in range(4)]
+    df = spark.createDataFrame(rows, "bucket long, doc_id long, weight long")
+
+    def first(turn):
+        told = df.withColumn("o", minhash._order(turn)).selectExpr("*", "min(struct(o, doc_id)) OVER (PARTITION BY bucket) AS m")
+        return told.filter("m.doc_id = 0 AND doc_id = 0").count()
+
+    assert first(1) == 0 and 20 < first(2) < 80
