@@ -29,7 +29,7 @@ DAYS, DAYS_A, DAYS_B = 73_049, 271, 270
 _LEFT, _RIGHT = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 #: What is looked for, by kind; the first that fits at a place counts.
 KINDS = {
-    "secret": r"(?i:password|passwd|pwd|secret|api[_-]?key|token)\s?[=:]\s?[\"']?[A-Za-z0-9_+/-]{8,128}",
+    "secret": r"(?i:password|passwd|pwd|secret|api[_-]?key|token)\s?[=:]\s?[\"']?[A-Za-z0-9_+/.-]{8,}",
     "key": r"(?:AKIA|ASIA)[A-Z0-9]{16}",
     "email": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
@@ -119,13 +119,28 @@ def _let(value: Column, use) -> Column:
 
 
 def card(s: Column, key: str) -> Column:
-    def made(body: Column) -> Column:
-        check = (10 - luhn(F.concat(body, F.lit("0"))) % 10) % 10
-        return _refilled(s, F.concat(body, check.cast("string")))
+    """The longest valid run of whole digit groups is replaced: a verification number or date may stand before or behind."""
+
+    def runs(groups: Column) -> Column:
+        def from_(i: Column) -> Column:
+            before = -F.length(F.array_join(F.slice(groups, F.lit(1), i - 1), ""))
+            parts = F.transform(F.sequence(i, F.size(groups)), lambda j: F.regexp_replace(F.array_join(F.slice(groups, i, j - i + 1), ""), "[ -]$", ""))
+            return F.transform(parts, lambda x: F.struct(F.length(_digits(x)).alias("n"), before.alias("before"), x.alias("part")))
+
+        each = F.flatten(F.transform(F.sequence(F.lit(1), F.size(groups)), from_))
+        return F.filter(each, lambda x: (x["n"] >= 13) & (luhn(_digits(x["part"])) % 10 == 0))
+
+    def replaced(best: Column) -> Column:
+        def made(body: Column) -> Column:
+            check = (10 - luhn(F.concat(body, F.lit("0"))) % 10) % 10
+            new = _refilled(best["part"], F.concat(body, check.cast("string")))
+            return F.concat(F.substr(s, F.lit(1), -best["before"]), new, F.substr(s, F.length(best["part"]) - best["before"] + 1))
+
+        digits = _digits(best["part"])
+        body = feistel(F.substr(digits, F.lit(1), F.length(digits) - 1), ALPHABETS["0-9"], key, "card")
+        return F.when(best.isNotNull(), _let(body, made)).otherwise(s)
 
-    digits = _digits(s)
-    body = feistel(F.substr(digits, F.lit(1), F.length(digits) - 1), ALPHABETS["0-9"], key, "card")
-    return F.when(luhn(digits) % 10 == 0, _let(body, made)).otherwise(s)
+    return _let(F.array_max(runs(F.regexp_extract_all(s, F.lit("[0-9]+[ -]?"), F.lit(0)))), replaced)
 
 
 def remainder97(s: Column) -> Column:
