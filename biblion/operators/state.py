@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,19 +54,25 @@ def checked_once(df: DataFrame, url: str, check: Callable[[DataFrame], DataFrame
     return df.join(check(df.select(url).filter(F.col(url) != "").distinct()), url, "left")
 
 
-def topped_up(start: DataFrame, fetch: Callable[[int], DataFrame | None], enough: Callable[[DataFrame], bool], key: str, ordinal: str, write: Callable[[DataFrame, int], DataFrame], rounds: int = 20) -> tuple[DataFrame, str]:
-    """Fetch, keep what is unseen, write, until there is enough, nothing new, or no more to fetch."""
+def topped_up(start: DataFrame, fetch: Callable[[int], DataFrame | None], enough: Callable[[DataFrame], bool], key: str, ordinal: str, write: Callable[[DataFrame, int], DataFrame], rounds: int | None = None) -> tuple[DataFrame, str]:
+    """Fetch, keep what is unseen, write, until there is enough, nothing new, or no more to fetch; ``rounds``, if given, ends it before."""
+    # lineage ends each round: in the checkpoint folder if there is one
+    kept = start.sparkSession.sparkContext.getCheckpointDir() is not None
+
+    def held(df: DataFrame) -> DataFrame:
+        return df.checkpoint() if kept else df.localCheckpoint()
+
     rows = start
-    for n in range(1, rounds + 1):
+    for n in count(1) if rounds is None else range(1, rounds + 1):
         if enough(rows):
             return rows, "enough"
         found = fetch(n)
         if found is None:
             return rows, "exhausted"
-        new = write(unseen(found, rows, key, ordinal), n)
+        new = held(write(unseen(found, rows, key, ordinal), n))
         if new.isEmpty():
             return rows, "nothing_new"
-        rows = rows.unionByName(new, allowMissingColumns=True)
+        rows = held(rows.unionByName(new, allowMissingColumns=True))
     return rows, "enough" if enough(rows) else "rounds"
 
 

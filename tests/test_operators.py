@@ -167,3 +167,11 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r.k for r in spark.table("seen").collect()) == ["a", "b"]
+
+
+def test_top_up_goes_on_until_there_is_enough(spark):
+    def frame(k):
+        return spark.createDataFrame([(k, k)], "k long, o long").coalesce(1)
+
+    out, why = state.topped_up(frame(0), frame, lambda d: d.count() >= 23, "k", "o", lambda d, n: d)
+    assert why == "enough" and sorted(r.k for r in out.collect()) == list(range(23))
