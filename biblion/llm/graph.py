@@ -5,28 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from biblion.llm.base import cut
+from biblion.llm.base import cut, dropped
+
+#: Rounds that the last call of ``components`` took; for tests.
+last_rounds = 0
 
 
 def components(edges: DataFrame) -> DataFrame:
     """id and component (the smallest id reachable) of every id in the links ``a``, ``b``.
 
-    Each round every vertex is replaced by the smallest of itself and its
-    neighbours, in the links and in the labels found so far; links that become
-    loops vanish.  Minima are taken with partial aggregation, so a vertex with
-    very many links is no hot group, and tables are written after each round.
+    Vertices are contracted in a random order of their own, the hash of the
+    id: each vertex goes to the first of itself and its neighbours, then from
+    there once more, and links that become loops vanish.  The order of the ids
+    plays no part, so a chain of ascending ids needs no more rounds than any
+    other graph: their number grows with the logarithm of the vertices.  Minima
+    are taken with partial aggregation, so a vertex with very many links is no
+    hot group.  Tables are written after each round and removed when they have
+    been read for the last time.
+
+    Defined cases: null ends and loops are no links; repeated links count
+    once; without links there are no rows.
     """
-    edges = cut(edges.select("a", "b").filter("a <> b"))
-    labels = None
+    global last_rounds
+    edges = cut(edges.select("a", "b").filter("a <> b").distinct())
+    labels, last_rounds = None, 0
     while True:
-        both = edges.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")).select("e.*")
-        step = cut(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to")))
+        last_rounds += 1
+        both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        place = lambda c: F.struct(F.xxhash64(c).alias("o"), F.col(c).alias("v"))
+        first = both.groupBy("a").agg(F.least(place("a"), F.min(place("b")))["v"].alias("to"))
+        once = cut(first)
+        step = cut(once.join(once.select(F.col("a").alias("to"), F.col("to").alias("next")), "to").select("a", F.col("next").alias("to")))
         if labels is None:
-            labels = step.select(F.col("a").alias("id"), F.col("to").alias("component"))
+            new = cut(step.select(F.col("a").alias("id"), F.col("to").alias("root")))
         else:
-            there = step.select(F.col("a").alias("component"), "to")
-            labels = cut(labels.join(there, "component", "left").select("id", F.coalesce("to", "component").alias("component")))
+            there = step.select(F.col("a").alias("root"), "to")
+            new = cut(labels.join(there, "root", "left").select("id", F.coalesce("to", "root").alias("root")))
+            dropped(labels)
+        labels = new
         moved = edges.join(step, "a").select(F.col("to").alias("a"), "b").join(step.select(F.col("a").alias("b"), F.col("to").alias("other")), "b")
-        edges = cut(moved.select("a", F.col("other").alias("b")).filter("a <> b").distinct())
+        fewer = cut(moved.select(F.least("a", "other").alias("a"), F.greatest("a", "other").alias("b")).filter("a <> b").distinct())
+        dropped(edges, once, step)
+        edges = fewer
         if edges.isEmpty():
-            return labels
+            dropped(edges)
+            smallest = labels.groupBy("root").agg(F.min("id").alias("component"))
+            out = cut(labels.join(smallest, "root").select("id", "component"))
+            dropped(labels)
+            return out

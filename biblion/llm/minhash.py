@@ -6,16 +6,17 @@ bin borrows that of the first filled bin in its own random order (optimal
 densification).  Bands of bins are bucket keys.
 
 Sets that are equal form one class before anything is bucketed, so a group of
-copies is one row.  In a bucket every class is paired with the bucket's first
-in a random order only: a star, as many edges as members.  Candidate pairs are
-confirmed on the full sets of their texts.  Since a star may miss a link
-between two of its points, further rounds take, in each bucket that still holds
-several components, one class of each, those first that share the most buckets
-with others (a text that many others derive from), in an order of the bucket's
-own, until two rounds in a row confirm no new link, two at most.  Then every pair of a bucket
-that no round has settled is compared: its largest component and the rest are
-dealt into blocks, and each pair of blocks is a task of its own, so no link of a
-bucket is left out and no task holds more than two blocks.
+copies is one row.  Every bucket is a star: each class is paired with one
+centre, that which shares the most buckets with others (a text that many
+others derive from), as many edges as members.  Pairs are confirmed on the full
+sets, in the JVM, where the members of a crowded centre are dealt by salt.
+
+A star may miss a link between two of its points.  So the buckets that still
+hold several components after the stars are compared in full: the largest
+component of such a bucket and the rest are dealt into blocks by size, and each
+pair of blocks that sizes allow a link between is a task of its own, which
+passes on only links that unite components.  No link of a bucket is left out,
+and no task holds more than two blocks.
 
 With 36 bands of 6 bins a pair of similarity 0.8 shares no bucket with a
 probability of 0.00002.
@@ -29,7 +30,6 @@ columns play no part.
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,15 +37,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from biblion.llm.base import cut, fresh
+from biblion.llm.base import cut, dropped, fresh
 from biblion.llm.graph import components
 from biblion.llm.hashing import hashed_words, mixed
 
 BANDS, ROWS = 36, 6
 BINS = BANDS * ROWS
-#: Rounds without a new link before the stars end, and weighted or random rounds at most: the last pass compares what they leave.
-QUIET, STARS = 1, 2
-#: Classes and bytes of text that a block of the last pass should hold.
+#: Members of a centre, or of a bucket, that one task joins: more are dealt by salt.
+DEALT = 4096
+#: Classes and bytes of hashes that a block of the last pass should hold.
 BLOCK, BLOCK_BYTES = 1000, 8_000_000
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -120,155 +120,136 @@ def sketched(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(run, "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those pairs a, b whose sets have 100 * intersection >= percent * union."""
+def hashes(texts: DataFrame, words: int) -> DataFrame:
+    """doc_id and its set, where it isn't empty: the sorted hashes of its shingles (of doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: OrderedDict[str, np.ndarray] = OrderedDict()
+        for batch in batches:
+            for at in range(0, len(batch), 256):
+                some = batch.slice(at, 256)
+                sets = [shingles(t.as_py(), words).view(np.int64) for t in some.column(1)]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "set"])
 
-        def of(text: str) -> np.ndarray:
-            if text not in known:
-                if len(known) >= 64:
-                    known.popitem(last=False)
-                known[text] = shingles(text, words)
-            return known[text]
+    return texts.select("doc_id", "text").mapInArrow(run, "doc_id long, set array<long>").filter(F.size("set") > 0)
 
-        for batch in batches:
-            linked = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                s, t = of(x), of(y)
-                both = len(np.intersect1d(s, t, assume_unique=True))
-                linked.append(100 * both >= percent * (len(s) + len(t) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+def stars(members: DataFrame) -> DataFrame:
+    """a, b, salt: each class of a bucket (a) with its centre (b); members: doc_id, weight, buckets (of bucket, n)."""
+    each = members.select("doc_id", "weight", F.explode("buckets").alias("at")).select("doc_id", "weight", "at.bucket", "at.n")
+    order = F.struct((-F.col("weight")).alias("o"), "doc_id")
+    centre = each.groupBy("bucket").agg(F.min(order)["doc_id"].alias("centre"))
+    pairs = each.select("doc_id", "bucket", "n").join(centre, "bucket").filter("doc_id <> centre")
+    pairs = pairs.groupBy(F.col("doc_id").alias("a"), F.col("centre").alias("b")).agg(F.max("n").alias("n"))
+    return pairs.select("a", "b", F.pmod(F.xxhash64("a"), F.ceil(F.col("n") / DEALT)).alias("salt"))
 
 
-def _star(members: DataFrame, order: Column) -> DataFrame:
-    """Pairs (a < b) of each member of a bucket with the bucket's first in ``order``."""
-    first = F.min(F.struct(order.alias("o"), "doc_id"))["doc_id"]
-    centre = members.groupBy("bucket").agg(first.alias("centre"), F.count("*").alias("n")).filter("n > 1").select("bucket", "centre")
-    pairs = members.select("bucket", "doc_id").join(centre, "bucket").filter("doc_id <> centre")
-    return pairs.select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct()
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those pairs a, b whose sets have 100 * intersection >= percent * union.
 
+    The sets of the members are shuffled; the centres' are repeated once a salt.
+    """
+    heads = pairs.select("b", "salt").distinct().join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b")
+    told = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a").join(heads, ["b", "salt"])
+    both = F.size(F.array_intersect("x", "y"))
+    return told.filter(both * (100 + percent) >= (F.size("x") + F.size("y")) * percent).select("a", "b")
 
-def _compared(words: int, percent: int):
+
+def _compared(percent: int):
     """Of two blocks of a bucket, or one: links that unite components."""
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         bucket, one, two = (k.as_py() for k in key)
-        sets = [shingles(t.as_py(), words) for t in rows.column("text")]
-        some = np.array([k for k, s in enumerate(sets) if len(s)], np.int64)
-        sets = [sets[k] for k in some]
-        ids, own, label = (np.asarray(rows.column(c))[some] for c in ("doc_id", "own", "component"))
+        rows = rows.combine_chunks()
+        some = rows.take(pa.compute.sort_indices(rows.column("doc_id"))).combine_chunks()
+        ids, own, label = (np.asarray(some.column(c)) for c in ("doc_id", "own", "component"))
         label = label.copy()  # united with each link that is found
-        size = np.array([len(s) for s in sets])
+        column = some.column("set").combine_chunks()
+        size = np.asarray(pa.compute.list_value_length(column)).astype(np.int64)
         at = np.r_[0, np.cumsum(size)]
-        known, number = np.unique(np.concatenate(sets), return_inverse=True) if sets else (some, some)
-        sets = [number[at[k] : at[k + 1]] for k in range(len(sets))]
+        known, number = np.unique(np.asarray(column.flatten()), return_inverse=True)
         # a pair counts in the first bucket that both are in
-        earlier = [np.asarray(x.values) for x in rows.column("buckets").take(pa.array(some))]
-        earlier = [x[x < bucket] for x in earlier]
-        owner, flat = np.repeat(np.arange(len(earlier)), [len(x) for x in earlier]), np.concatenate([np.zeros(0, np.int64), *earlier])
+        lists = some.column("buckets").combine_chunks()
+        owner, flat = np.repeat(np.arange(len(some)), np.asarray(pa.compute.list_value_length(lists))), np.asarray(lists.flatten())
+        owner, flat = owner[flat < bucket], flat[flat < bucket]
         buckets, flat = np.unique(flat, return_inverse=True)
-        seen, mark = np.zeros(len(buckets), bool), np.zeros(len(known), np.int32)
+        of = np.searchsorted(owner, np.arange(len(some) + 1))
+        seen, mark = np.zeros(len(buckets), bool), np.zeros(len(known), bool)
         out = []
-        for k in range(len(sets)):
-            # each pair once; pairs within a block have a task of their own
-            other = np.arange(len(sets)) > k if one == two else own != own[k]
-            other &= (np.arange(len(sets)) > k) & (label != label[k])
+        place = np.arange(len(some))
+        for k in range(len(some)):
+            other = (place > k) & (label != label[k])
+            if one != two:  # pairs within a block have a task of their own
+                other &= own != own[k]
             other &= 100 * np.minimum(size, size[k]) >= percent * np.maximum(size, size[k])
             if not other.any():
                 continue
-            seen[flat[owner == k]] = True
+            seen[flat[of[k] : of[k + 1]]] = True
             other[owner[seen[flat]]] = False
             seen[:] = False
-            rest = np.flatnonzero(other)
-            if not len(rest):
-                continue
-            mark[sets[k]] = 1
-            both = np.add.reduceat(mark[np.concatenate([sets[j] for j in rest])], np.r_[0, np.cumsum(size[rest])[:-1]]).astype(np.int64)
-            mark[sets[k]] = 0
-            for j in rest[100 * both >= percent * (size[k] + size[rest] - both)]:
+            mark[number[at[k] : at[k + 1]]] = True
+            for j in np.flatnonzero(other).tolist():
                 if label[j] != label[k]:
-                    out.append((ids[k], ids[j]))
-                    label[label == label[j]] = label[k]
+                    both = int(np.count_nonzero(mark[number[at[j] : at[j + 1]]]))
+                    if 100 * both >= percent * (int(size[k]) + int(size[j]) - both):
+                        out.append((ids[k], ids[j]))
+                        label[label == label[j]] = label[k]
+            mark[number[at[k] : at[k + 1]]] = False
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     return run
 
 
-def unsettled(members: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links between the components of each bucket, of all its pairs (members: bucket, doc_id, component)."""
-    sized = members.select("bucket", "doc_id", "component").join(texts.groupBy("doc_id").agg(F.sum(F.octet_length("text")).alias("bytes")), "doc_id")
-    parts = sized.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"))
-    most = F.max(F.struct("n", "bytes", "component")).alias("most")
-    each = parts.groupBy("bucket").agg(most, F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+def unsettled(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the components of each bucket (members: doc_id, component, n, buckets), of all its pairs."""
+    each = members.select("doc_id", "component", "n", F.explode("buckets.bucket").alias("bucket"))
+    parts = each.groupBy("bucket", "component").agg(F.count("*").alias("n"), F.sum(F.col("n") * 8).alias("bytes"))
+    total = parts.groupBy("bucket").agg(F.max(F.struct("n", "bytes", "component")).alias("most"), F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.count("*").alias("components"))
+    # buckets of the same members are one; of two members the one pair was tested
+    one, two = F.xxhash64("doc_id"), F.xxhash64(F.lit(1), "doc_id")
+    same = each.groupBy("bucket").agg(F.count("*").alias("k"), F.sum(one.cast("decimal(38,0)")).alias("s"), F.bit_xor(two).alias("x"))
+    same = same.groupBy("k", "s", "x").agg(F.min("bucket").alias("bucket")).select("bucket")
 
     def blocks(n: Column, size: Column) -> Column:
         return F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("int")
 
     # pairs within the largest component are linked already: its blocks (numbers from "rest" on) meet those of the rest only
-    each = each.select("bucket", F.col("most.component").alias("largest"), blocks(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("rest"), blocks(F.col("most.n"), F.col("most.bytes")).alias("large"))
-    # buckets of the same members are one
-    same = members.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.xxhash64("doc_id").cast("decimal(38,0)")).alias("s"), F.bit_xor(F.xxhash64(F.lit(1), "doc_id")).alias("x"))
-    each = each.join(same.groupBy("n", "s", "x").agg(F.min("bucket").alias("bucket")).select("bucket"), "bucket")
-    told = cut(members.select("bucket", "doc_id", "component").join(each, "bucket"))
+    shape = total.filter("components > 1 AND n > 2").join(same, "bucket")
+    shape = cut(shape.select("bucket", F.col("most.component").alias("largest"), blocks(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("rest"), blocks(F.col("most.n"), F.col("most.bytes")).alias("large")))
+    told = each.join(shape, "bucket")
     inside, chance = F.col("component") == F.col("largest"), F.xxhash64("doc_id", "bucket")
     told = told.withColumn("own", F.when(inside, F.col("rest") + F.pmod(chance, F.col("large"))).otherwise(F.pmod(chance, F.col("rest"))).cast("int"))
-    told = told.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(inside, F.col("rest")).otherwise(F.col("rest") + F.col("large")) - 1)))
-    told = told.select("bucket", "doc_id", "component", "own", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
-    lists = told.groupBy("doc_id").agg(F.collect_set("bucket").alias("buckets"))
-    rows = told.join(texts.join(lists, "doc_id"), "doc_id")
-    return rows.groupBy("bucket", "one", "two").applyInArrow(_compared(words, percent), "a long, b long")
+    told = told.withColumn("last", F.when(inside, F.col("rest")).otherwise(F.col("rest") + F.col("large")) - 1)
+    # one row a class until the texts have come: the buckets that are open and its blocks there
+    open_ = told.groupBy("doc_id", "component").agg(F.collect_list(F.struct("bucket", "own", "last")).alias("tasks"))
+    rows = open_.join(sets, "doc_id").select("doc_id", "component", "set", F.col("tasks.bucket").alias("buckets"), F.explode("tasks").alias("t"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("t.last"))))
+    own = F.col("t.own")
+    rows = rows.select("doc_id", "component", "set", "buckets", F.col("t.bucket").alias("bucket"), own.alias("own"), F.least(own, "other").alias("one"), F.greatest(own, "other").alias("two"))
+    return rows.groupBy("bucket", "one", "two").applyInArrow(_compared(percent), "a long, b long")
 
 
-def _order(turn: int) -> Column:
-    """The order of a round in a bucket: weighted in the first, then random and of the bucket's own."""
-    return -F.col("weight") if turn == 1 else F.xxhash64("doc_id", "bucket", F.lit(turn))
-
-
-def labelled(docs: DataFrame, classes: DataFrame, sketches: DataFrame, words: int, percent: int) -> DataFrame | None:
+def labelled(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame | None:
     """id and component of the class representatives that are linked with others; None without any."""
-    keys = sketches.join(classes.select(F.col("rep").alias("doc_id"), "h1", "h2", "n_shingles"), ["doc_id", "h1", "h2", "n_shingles"], "left_semi")
-    keys = keys.select("doc_id", F.explode("bands").alias("bucket")).distinct()
-    shared = keys.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = cut(keys.join(shared, "bucket"))
-    texts = cut(docs.join(members.select("doc_id").distinct(), "doc_id"))
-    # the smallest id as the first centre: most members then have their label after one round
-    tested = cut(_star(members, F.col("doc_id")))
-    new, labels, turn, quiet = cut(confirmed(tested, texts, words, percent)), None, 0, 0
-    while True:
-        if not new.isEmpty():
-            labels, quiet = merged(labels, new), 0
-        else:
-            quiet += 1
-        turn += 1
-        # only buckets that hold several components can hide a link, and of two members the one pair is tested
-        told = members.select("bucket", "doc_id")
-        if labels is None:
-            told = told.withColumn("component", F.col("doc_id"))
-        else:
-            own = labels.select(F.col("id").alias("doc_id"), "component")
-            told = told.join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
-        several = told.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n")).filter("x <> y AND n > 2").select("bucket", "n")
-        # dealt evenly, whatever the sizes of buckets
-        members = cut(told.join(several, "bucket").repartition("bucket", "doc_id"))
-        if members.isEmpty():
-            return labels
-        if quiet > QUIET or turn > STARS:
-            last = cut(unsettled(members, texts, words, percent))
-            return labels if last.isEmpty() else merged(labels, last)
-        # a text that many others derive from shares the most buckets with them: such texts come first, later
-        # rounds in an order of each bucket's own, so that the centres differ and few tests repeat
-        weight = members.groupBy("doc_id").agg(F.sum("n").alias("weight"))
-        ordered = members.join(weight, "doc_id").withColumn("o", _order(turn))
-        one = ordered.groupBy("bucket", "component").agg(F.min(F.struct("o", "doc_id")).alias("m")).select("bucket", "m.*")
-        pairs = cut(_star(one, F.col("o")).join(tested, ["a", "b"], "left_anti"))
-        tested = tested.unionByName(pairs)
-        new = cut(confirmed(pairs, texts, words, percent))
+    keys = classes.select(F.col("rep").alias("doc_id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")).groupBy("doc_id", "bucket").agg(F.max("n").alias("size"))
+    shared = keys.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    members = cut(keys.join(shared, "bucket").groupBy("doc_id").agg(F.max("size").alias("n"), F.sum("n").alias("weight"), F.collect_list(F.struct("bucket", "n")).alias("buckets")))
+    # texts are hashed once more, but only those that share a bucket
+    sets = cut(hashes(docs.join(members.select("doc_id"), "doc_id", "left_semi"), words))
+    new = cut(confirmed(stars(members), sets, percent))
+    labels = None if new.isEmpty() else components(new)
+    dropped(new)
+    told = members.select("doc_id", "n", "buckets")
+    if labels is None:
+        told = told.withColumn("component", F.col("doc_id"))
+    else:
+        own = labels.select(F.col("id").alias("doc_id"), "component")
+        told = told.join(own, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    told = cut(told)
+    last = cut(unsettled(told, sets, percent))
+    if not last.isEmpty():
+        labels = merged(labels, last)
+    dropped(last, told, sets, members)
+    return labels
 
 
 def merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
@@ -289,18 +270,21 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     sketches = cut(sketched(docs, "doc_id", "text", words))
     full = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     sets = ["h1", "h2", "n_shingles"]
-    classes = cut(full.groupBy(sets).agg(F.min("doc_id").alias("rep")))
-    labels = labelled(docs, classes, full, words, percent)
+    # equal sets have equal bands
+    classes = cut(full.groupBy(sets).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
+    labels = labelled(docs, classes, words, percent)
+    classes = classes.drop("bands")
     # rows with one id link the classes that they belong to
     twins = cut(full.groupBy("doc_id").agg(F.min(F.struct(sets)).alias("x"), F.max(F.struct(sets)).alias("y")).filter("x <> y").select("doc_id"))
-    if labels is None or not twins.isEmpty():
+    if not twins.isEmpty():
         same = full.join(twins, "doc_id").join(classes, sets).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
         labels = merged(labels, same)
-    labels = labels.withColumnRenamed("id", "rep")
-    told = cut(classes.join(labels, "rep", "left").select(*sets, F.coalesce("component", "rep").alias("component")))
-    rows = sketches.select("doc_id", *sets).join(told.withColumn("real", F.lit(True)), sets, "left")
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
-    rows = rows.select("doc_id", "n_shingles", own.alias("component_id"))
+    if labels is None:
+        told = classes.withColumn("component", F.col("rep"))
+    else:
+        told = classes.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(*sets, F.coalesce("component", "rep").alias("component"))
+    rows = sketches.select("doc_id", *sets).join(told.select(*sets, "component"), sets, "left").select("doc_id", "n_shingles", own.alias("component_id"))
     return rows.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 

@@ -4,7 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from biblion.llm import minhash
+from biblion.llm import graph, minhash
 from biblion.llm.base import table
 from biblion.llm.graph import components
 
@@ -114,6 +114,12 @@ def test_components(spark):
     assert components(df.limit(0)).collect() == []
 
 
+def test_a_long_chain_takes_few_rounds(spark):
+    df = spark.range(2000).selectExpr("id AS a", "id + 1 AS b")
+    assert {(r.id, r.component) for r in components(df).collect()} == {(i, 0) for i in range(2001)}
+    assert graph.last_rounds <= 12
+
+
 @pytest.mark.parametrize("sizes", [[60], [150, 150]])
 def test_texts_that_derive_from_one(spark, sizes):
     # each differs from its source in places of its own: linked with the source only; sources form a chain
@@ -144,12 +150,19 @@ def test_crowded_buckets(spark):
     assert got(df, 2, 80) == want
 
 
-def test_light_texts_come_first_too(spark):
-    rows = [(b, d, 100 if d else 1) for b in range(200) for d in range(4)]
-    df = spark.createDataFrame(rows, "bucket long, doc_id long, weight long")
-
-    def first(turn):
-        told = df.withColumn("o", minhash._order(turn)).selectExpr("*", "min(struct(o, doc_id)) OVER (PARTITION BY bucket) AS m")
-        return told.filter("m.doc_id = 0 AND doc_id = 0").count()
-
-    assert first(1) == 0 and 20 < first(2) < 80
+def test_dealt_stars_and_blocks(spark, monkeypatch):
+    # a popular centre with salts, and buckets of many blocks whose light members link among themselves only
+    monkeypatch.setattr(minhash, "DEALT", 5)
+    monkeypatch.setattr(minhash, "BLOCK", 12)
+    rnd, rows = random.Random(12), []
+    source = [f"b{i}" for i in range(200)]
+    for m in range(120):
+        away = set(rnd.sample(range(200), rnd.choice([6, 9, 12])))
+        words = [f"v{m}_{k}" if k in away else w for k, w in enumerate(source)]
+        rows.append((m, " ".join(words)))
+        if m % 3 == 0:
+            words[rnd.randrange(200)] = "other"
+            rows.append((1000 + m, " ".join(words)))
+    rows.append((5000, " ".join(source)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert got(df, 2, 80) == brute(rows, 2, 80)
