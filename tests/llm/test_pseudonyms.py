@@ -1,5 +1,7 @@
 import datetime
 import hashlib
+import hmac
+import random
 import re
 
 from biblion.llm import pseudonyms, queries
@@ -26,7 +28,7 @@ def feistel(s, alphabet, tweak):
     for i in range(1, pseudonyms.ROUNDS + 1):
         new = ""
         for j, c in enumerate(a, 1):
-            h = hashlib.sha256("|".join([KEY, tweak + alphabet[0], str(i), str(j), b]).encode()).hexdigest()
+            h = hmac.new(KEY.encode(), "|".join([tweak + alphabet[0], str(i), str(j), b]).encode(), hashlib.sha256).hexdigest()
             new += alphabet[(alphabet.index(c) + int(h[:12], 16)) % len(alphabet)]
         a, b = b, new
     return a + b
@@ -37,6 +39,30 @@ def permuted(s, tweak):
     return "".join(next((next(new[c]) for c in new if re.match(f"[{c}]", x)), x) for x in s)
 
 
+def radix(n, a, b, tweak):
+    left, right = divmod(n, b)
+
+    def h(*parts):
+        return int(hmac.new(KEY.encode(), "|".join([tweak, *map(str, parts)]).encode(), hashlib.sha256).hexdigest()[:12], 16)
+
+    for i in range(1, pseudonyms.ROUNDS + 1):
+        left = (left + h(i, "l", right)) % a
+        right = (right + h(i, "r", left)) % b
+    return left * b + right
+
+
+def plain_ssn(s):
+    area, group, serial = map(int, s.split("-"))
+    areas = [x for x in range(1, 900) if x != 666]
+    n = radix((areas.index(area) * 99 + group - 1) * 9999 + serial - 1, 898 * 99, 9999, "ssn")
+    return f"{areas[n // 9999 // 99]:03d}-{n // 9999 % 99 + 1:02d}-{n % 9999 + 1:04d}"
+
+
+def plain_date(day):
+    base = datetime.date(1900, 1, 1)
+    return base + datetime.timedelta(radix((day - base).days, 17, 4297, "date"))
+
+
 def texts(spark, values):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "doc_id long, text string")
     return [(r.text, r.n) for r in pseudonyms.pseudonymised(df, KEY, count="n").orderBy("doc_id").collect()]
@@ -59,7 +85,7 @@ def test_each_kind_keeps_its_format(spark):
     # against the plain version of the network
     assert new[2] == "+1" + permuted(" (988) 555-2485", "phone")
     assert new[3] == permuted("bosbt.42", "email") + "@mail8.example.com"
-    assert new[12] == permuted("123-45-6789", "ssn")
+    assert new[12] == plain_ssn("123-45-6789")
 
 
 def test_invalid_values_stay(spark):
@@ -70,7 +96,7 @@ def test_invalid_values_stay(spark):
 def test_permutations(spark):
     pins = [f"{i:03d}" for i in range(1000)]
     df = spark.createDataFrame([(p,) for p in pins], "p string")
-    out = [r[0] for r in df.select(pseudonyms.feistel(F.col("p"), "0123456789", KEY, "t")).collect()]
+    out = [r[0] for r in df.withColumn("key", pseudonyms.secret_key(spark, KEY)).select(pseudonyms.feistel(F.col("p"), "0123456789", F.col("key"), "t")).collect()]
     assert sorted(out) == pins and out != pins
     days = [str(datetime.date(1999, 1, 1) + datetime.timedelta(i)) for i in range(1500)]
     found = [t for t, _ in texts(spark, days)]
@@ -120,3 +146,46 @@ def test_long_secrets_and_cards_with_more_digits(spark):
     assert all(a != b for a, b in zip(found[1][0][6:].split("."), token.split("."), strict=True))
     new = found[5][0]
     assert luhn(new.replace(" ", "")) and [t for t, _ in found[2:5]] == [f"{new} 123", f"{new} 12/27", f"12 {new}"]
+
+
+def test_valid_numbers_stay_valid(spark):
+    rnd, valid = random.Random(6), re.compile(r"(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}")
+    old = sorted({f"{rnd.choice([x for x in range(1, 900) if x != 666]):03d}-{rnd.randrange(1, 100):02d}-{rnd.randrange(1, 10000):04d}" for _ in range(1500)} | {"665-99-9999", "667-01-0001", "001-01-0001", "899-99-9999"})
+    new = [t for t, _ in texts(spark, old)]
+    assert len(set(new)) == len(old) and all(valid.fullmatch(x) for x in new)
+    assert new == [plain_ssn(x) for x in old]
+
+
+def test_dates_against_the_plain_network(spark):
+    days = [datetime.date(1900, 1, 1) + datetime.timedelta(k) for k in range(0, 73_049, 61)] + [datetime.date(2099, 12, 31)]
+    assert [t for t, _ in texts(spark, map(str, days))] == [str(plain_date(d)) for d in days]
+    first = [d for d in days if d.day > 12]
+    found = [t for t, _ in texts(spark, [d.strftime("%m/%d/%Y") for d in first])]
+    read = [datetime.datetime.strptime(t, "%m/%d/%Y").date() for t in found]
+    assert len(set(read)) == len(first) and all(d.day > 12 for d in read)
+    for d, new in zip(first, read, strict=True):
+        want = plain_date(d)
+        while want.day <= 12:
+            want = plain_date(want)
+        assert want == new
+
+
+def test_values_of_any_length(spark):
+    name = "a.b-" * 60 + "z"
+    found = texts(spark, [f"{name}@x.org", f"a@{'sub.' * 12}example.com", "b@x." + "y" * 40, "password=" + "aB3" * 60])
+    assert [n for _, n in found] == [1] * 4 and found[0][0].endswith("@x.org") and len(found[0][0]) == len(name) + 6
+
+
+def test_every_card_in_a_row_of_groups(spark):
+    card = "4337 1665 9846 4399"
+    (one, _), = texts(spark, [card])
+    rows = [f"1234 {card} 99", f"{card} {card}", f"12 34 {card} 5678 90", "12 34 56 78 90 12 34 56", "1" * 40]
+    assert texts(spark, rows) == [(f"1234 {one} 99", 1), (f"{one} {one}", 2), (f"12 34 {one} 5678 90", 1), (rows[3], 0), (rows[4], 0)]
+
+
+def test_the_key_is_in_no_plan(spark):
+    df = spark.createDataFrame([(1, "123-45-6789")], "doc_id long, text string")
+    out = pseudonyms.pseudonymised(df, "TOPSECRETKEY")
+    out.collect()
+    for told in (out._jdf.queryExecution().toString(), out._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))):
+        assert "TOPSECRETKEY" not in told and "TOPSECRETKEY".encode().hex() not in told.lower()
