@@ -1,21 +1,31 @@
 """Line dedup by content-defined chunks, in DataFrame functions only.
 
-Lines are hashed, and a rolling hash over ``WINDOW`` neighbouring line hashes
-ends a chunk wherever it is a multiple of ``DIVISOR``; so borders depend on the
-lines around them alone and shift with them when lines are put in elsewhere.
-Chunks of at least ``LEAST`` lines that stand at several places, in one
-document or in several, are removed everywhere but at the first place
-(smallest id, then first line).
+Lines are hashed, and a polynomial hash rolls over ``WINDOW`` neighbouring line
+hashes.  A chunk ends where the rolling hash is smaller than before and no
+larger than behind, so borders depend on the lines around them alone and shift
+with them when lines are put in elsewhere; two borders are ``LEAST`` lines
+apart at least.  Within a run of one repeated line, where the rolling hash does
+not change, a chunk ends at every second line.  Chunks that stand at several
+places, in one document or in several, are removed everywhere but at the first
+place (smallest id, then first line).
 
 Places are counted by hash with partial aggregation, so a chunk that a third
 of all documents hold is one row a task there.  Only chunks whose hash repeats
-are compared, byte by byte: they are grouped and joined by their text itself.
+are compared, byte by byte, with the chunk at the hash's first place: joins on
+the hash read tables that were written before and feed nothing that needs their
+partitioning, so the adaptive skew join may split a frequent one.  Chunks that
+share a hash but differ are grouped by their text itself.
+
+Lines that stay although they repeat: documents of one line, and at the edges
+of a passage the lines up to its first border within (about ``WINDOW`` + 1) and
+from its last one on.
 
 Defined cases: a null text stays null and has no lines; an empty text is one
-empty line; chunks of blanks only are kept; rows with one id do not remove one
-another's chunks at the same place; rows without an id are kept whole and
-remove nothing; very long texts are taken whole; columns other than id and text
-stay as they are (``with_text``) or play no part.
+empty line; an empty table gives an empty table; chunks of blanks only are kept;
+rows with one id do not remove one another's chunks at the same place; rows
+without an id are kept whole and remove nothing; very long texts are taken
+whole; columns other than id and text stay as they are (``with_text``),
+whatever their names, or play no part.
 """
 
 from __future__ import annotations
@@ -23,10 +33,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from biblion.llm.base import cut, fresh
+from biblion.llm.base import cut, dropped, fresh
 
-WINDOW, DIVISOR, LEAST = 2, 3, 2
-MULTIPLIER = 31
+WINDOW, LEAST = 4, 2
+#: The rolling hash is a polynomial of this base modulo a prime.
+BASE, PRIME = 1_103_515_245, 2_147_483_647
 
 
 def line_hash(line: Column) -> Column:
@@ -34,75 +45,119 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
+def _rolled(h: Column, i: Column) -> Column:
+    """The hash of the lines before place ``i``; lines before the first count as 0."""
+    total = F.lit(0).cast("long")
+    for k in range(WINDOW, 0, -1):
+        line = F.when(i >= k, F.get(h, (i - k).cast("int"))).otherwise(0)
+        total = (total * BASE + line) % PRIME
+    return total
+
+
 def parted(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """doc_id, text, lines and starts (the places, from 0, of the first line of each chunk)."""
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    rows = rows.withColumn("lines", F.split("text", "\n")).withColumn("h", F.transform("lines", line_hash))
+    """doc_id, t (the text's hash), lines and starts (the places, from 0, of the first line of each chunk)."""
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    rows = rows.select("doc_id", F.xxhash64("text").alias("t"), F.split("text", "\n").alias("lines"))
+    rows = rows.withColumn("h", F.transform("lines", line_hash))
+    rows = rows.withColumn("r", F.transform(F.sequence(F.lit(0), F.size("h")), lambda i: _rolled(F.col("h"), i)))
+
+    def within(i: Column) -> Column:
+        """In a run of one line: the two lines before and the two from here on are equal."""
+        one = F.get("h", i)
+        return F.coalesce((i >= 2) & (F.get("h", i - 2) == one) & (F.get("h", i - 1) == one) & (F.get("h", i + 1) == one), F.lit(False))
 
     def begins(i: Column) -> Column:
-        rolled = sum((F.get("h", i - 1 - k) * MULTIPLIER**k for k in range(1, WINDOW)), F.get("h", i - 1))
-        return (i == 0) | ((i >= WINDOW) & (rolled % DIVISOR == 0))
+        low = (F.get("r", i) < F.get("r", i - 1)) & (F.get("r", i) <= F.get("r", i + 1)) & ~within(i - 1) & ~within(i + 1)
+        inner = (i >= LEAST) & (i <= F.size("h") - LEAST) & F.when(within(i), i % 2 == 0).otherwise(low)
+        return (i == 0) | inner
 
-    places = F.sequence(F.lit(0), F.size("lines") - 1)
-    return rows.withColumn("starts", F.when(F.col("text").isNotNull(), F.filter(places, begins))).drop("h")
+    places = F.sequence(F.lit(0), F.size("h") - 1)
+    return rows.withColumn("starts", F.filter(places, begins)).drop("h", "r")
 
 
 def chunks(rows: DataFrame) -> DataFrame:
-    """doc_id, start, n, chunk of each chunk that may go."""
+    """doc_id, t, start, n, chunk of each chunk that may go."""
     n = F.size("lines")
     each = F.transform("starts", lambda s, k: F.struct(s.alias("start"), (F.coalesce(F.get("starts", k + 1), n) - s).alias("n")))
     several = F.filter(each, lambda c: c["n"] >= LEAST)
-    out = rows.filter(F.col("doc_id").isNotNull()).select("doc_id", "lines", F.explode(several).alias("c"))
-    out = out.select("doc_id", F.col("c.start").alias("start"), F.col("c.n").alias("n"), F.array_join(F.slice("lines", F.col("c.start") + 1, F.col("c.n")), "\n").alias("chunk"))
+    out = rows.select("doc_id", "t", "lines", F.explode(several).alias("c"))
+    out = out.select("doc_id", "t", F.col("c.start").alias("start"), F.col("c.n").alias("n"), F.array_join(F.slice("lines", F.col("c.start") + 1, F.col("c.n")), "\n").alias("chunk"))
     return out.filter(F.col("chunk").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def repeated(rows: DataFrame) -> DataFrame:
-    """doc_id, start, n of every chunk that stands somewhere before, byte for byte."""
-    told = chunks(rows).select("doc_id", "start", "n", "chunk", F.xxhash64("chunk", "n").alias("h"))
-    hashes = told.groupBy("h").agg(F.min(F.struct("doc_id", "start")).alias("a"), F.max(F.struct("doc_id", "start")).alias("b"))
-    often = hashes.filter("a <> b").select("h")
+    """doc_id, t, start, n of every chunk that stands somewhere before, byte for byte."""
+    told = chunks(rows).withColumn("h", F.xxhash64("chunk", "n"))
+    place = F.struct("doc_id", "start")
+    hashes = told.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    # written, so that the join behind has nothing but an exchange on either side and can be split
+    often = cut(hashes.filter("first <> last").select("h", "first"))
     places = cut(told.join(often, "h"))
-    first = cut(places.groupBy("h", "chunk").agg(F.min(F.struct("doc_id", "start")).alias("first")))
-    same = places.join(first, ["h", "chunk"])
-    return same.filter(F.struct("doc_id", "start") != F.col("first")).select("doc_id", "start", "n", "h")
+    # rows with one id may both be at the first place: one row for each text there
+    first = cut(places.filter(place == F.col("first")).select("h", F.col("chunk").alias("one")).distinct())
+    single = cut(first.groupBy("h").agg(F.min("one").alias("one")))
+    same = cut(places.join(single, "h").select("doc_id", "t", "start", "n", "h", "first", (F.col("chunk") == F.col("one")).alias("same"), F.when(F.col("chunk") != F.col("one"), F.col("chunk")).alias("other")))
+    gone = same.filter(F.col("same") & (place != F.col("first"))).select("doc_id", "t", "start", "n")
+    # one hash, another text: hardly ever, and then told apart by the text itself
+    rest = same.filter(~F.col("same"))
+    own = rest.groupBy("h", "other").agg(F.min(place).alias("first"))
+    more = rest.drop("first").join(own, ["h", "other"]).filter(place != F.col("first"))
+    out = cut(gone.unionByName(more.select("doc_id", "t", "start", "n")))
+    dropped(often, places, first, single, same)
+    return out
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
     """doc_id, n_lines, n_removed, text; or, ``with_text``, the columns of ``docs`` with the kept text."""
-    gone = repeated(parted(docs, key, text)).groupBy("doc_id").agg(F.collect_set(F.struct("start", "n", "h")).alias("gone"))
-    names = [f for f in docs.columns if f != text]
-    marks = {x: fresh(x, docs.columns) for x in ("gone_id", "gone", "lines")}
-    gone = gone.select(F.col("doc_id").alias(marks["gone_id"]), F.col("gone").alias(marks["gone"]))
-    rows = docs.join(gone, docs[key] == gone[marks["gone_id"]], "left")
-    lines, away = F.split(text, "\n"), F.col(marks["gone"])
+    gone = repeated(parted(docs, key, text)).groupBy("doc_id", "t").agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("gone"))
+    marks = {x: fresh(x, docs.columns) for x in ("gone_id", "gone_t", "gone", "lines")}
+    away, lines = F.col(marks["gone"]), F.col(marks["lines"])
+    gone = gone.select(F.col("doc_id").alias(marks["gone_id"]), F.col("t").alias(marks["gone_t"]), F.col("gone").alias(marks["gone"]))
     # of rows with one id, each loses only the chunks that it has itself
-    own = F.filter(away, lambda g: F.xxhash64(F.array_join(F.slice(lines, g["start"] + 1, g["n"]), "\n"), g["n"]) == g["h"])
-    rows = rows.withColumn(marks["gone"], F.when(away.isNotNull(), own))
-    places = F.flatten(F.transform(away, lambda g: F.sequence(g["start"], g["start"] + g["n"] - 1)))
-    kept = F.filter(lines, lambda _, i: ~F.array_contains(F.col(marks["lines"]), i))
-    rows = rows.withColumn(marks["lines"], places)
-    new = F.when(F.size(marks["lines"]) > 0, F.array_join(kept, "\n")).otherwise(F.col(text))
+    rows = docs.join(gone, (docs[key] == gone[marks["gone_id"]]) & (F.xxhash64(docs[text]) == gone[marks["gone_t"]]), "left")
+    rows = rows.withColumn(marks["lines"], F.split(text, "\n"))
+
+    def until(end: Column, begin: Column) -> Column:
+        return F.slice(lines, begin + 1, F.greatest(end - begin, F.lit(0)))
+
+    def behind(k: Column) -> Column:
+        before = F.get(away, k - 1)
+        return F.when(k > 0, before["start"] + before["n"]).otherwise(0)
+
+    pieces = F.transform(away, lambda g, k: until(g["start"], behind(k)))
+    tail = until(F.size(lines), behind(F.size(away)))
+    new = F.when(away.isNull(), F.col(text)).otherwise(F.array_join(F.concat(F.flatten(pieces), tail), "\n"))
     if with_text:
         return rows.select(*[new.alias(text) if f == text else F.col(f) for f in docs.columns])
     n = F.when(F.col(text).isNotNull(), F.size(lines)).otherwise(0).cast("long")
-    return rows.select(F.col(names[names.index(key)]).alias("doc_id"), n.alias("n_lines"), F.greatest(F.coalesce(F.size(marks["lines"]), F.lit(0)), F.lit(0)).cast("long").alias("n_removed"), new.alias("text"))
+    removed = F.coalesce(F.aggregate(away, F.lit(0).cast("long"), lambda a, g: a + g["n"]), F.lit(0).cast("long"))
+    return rows.select(F.col(key).alias("doc_id"), n.alias("n_lines"), removed.alias("n_removed"), new.alias("text"))
 
 
-ORACLE = f"""
+ORACLE = """
 WITH d AS (
   SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
 h AS (
   SELECT *, list_transform(lines, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT) AS h FROM d),
+r AS (
+  SELECT *, list_transform(range(len(h) + 1), lambda i:
+    (((coalesce(CASE WHEN i >= 4 THEN h[i - 3] END, 0) % 2147483647 * 1103515245
+     + coalesce(CASE WHEN i >= 3 THEN h[i - 2] END, 0)) % 2147483647 * 1103515245
+     + coalesce(CASE WHEN i >= 2 THEN h[i - 1] END, 0)) % 2147483647 * 1103515245
+     + coalesce(CASE WHEN i >= 1 THEN h[i] END, 0)) % 2147483647) AS r FROM h),
+w AS (
+  SELECT *, list_transform(range(len(h) + 2), lambda i:
+    i >= 2 AND i < len(h) - 1 AND h[i - 1] = h[i] AND h[i] = h[i + 1] AND h[i + 1] = h[i + 2]) AS run FROM r),
 s AS (
-  SELECT *, list_filter(range(len(lines)), lambda i: i = 0 OR (i >= {WINDOW} AND (h[i] + {MULTIPLIER} * h[i - 1]) % {DIVISOR} = 0)) AS starts FROM h),
+  SELECT *, list_filter(range(len(h)), lambda i: i = 0 OR (i >= 2 AND i <= len(h) - 2 AND CASE WHEN run[i + 1] THEN i % 2 = 0
+    ELSE r[i + 1] < r[i] AND r[i + 1] <= r[i + 2] AND NOT run[i] AND NOT run[i + 2] END)) AS starts FROM w),
 c AS (
   SELECT doc_id, start, coalesce(lead(start) OVER (PARTITION BY doc_id ORDER BY start), len(lines)) AS stop, lines
   FROM (SELECT doc_id, lines, unnest(starts) AS start FROM s)),
 t AS (
   SELECT doc_id, start, stop - start AS n, array_to_string(lines[start + 1 : stop], chr(10)) AS chunk FROM c),
 k AS (
-  SELECT *, n >= {LEAST} AND regexp_matches(chunk, '[^ \\t\\n\\v\\f\\r]')
+  SELECT *, n >= 2 AND regexp_matches(chunk, '[^ \\t\\n\\v\\f\\r]')
             AND row_number() OVER (PARTITION BY chunk, n ORDER BY doc_id, start) > 1 AS gone FROM t)
 SELECT d.doc_id, len(d.lines)::BIGINT AS n_lines, coalesce(g.n_removed, 0)::BIGINT AS n_removed,
        CASE WHEN coalesce(g.n_removed, 0) = 0 THEN d.text ELSE coalesce(g.text, '') END AS text
