@@ -1,8 +1,10 @@
+import bisect
 import hashlib
 import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from biblion.llm import substring
 from biblion.llm.base import table
@@ -65,3 +67,26 @@ def test_edges(spark):
 def test_words_do_not_run_together():
     one, two = substring.windows(b"ab c", 2), substring.windows(b"a bc", 2)
     assert one[0][0] != two[0][0] and one[1][0] != two[1][0]
+
+
+def test_equal_first_hashes_are_told_apart(spark, monkeypatch):
+    """With a first hash of 3 bits only, the other half alone tells windows apart."""
+    u = np.uint64
+    a, b = np.array([5, 5, 5, 7, 5, 7], u), np.array([1, 2, 1, 1, 3, 9], u)
+    by, new = substring._sorted(a, b)
+    assert list(zip(a[by], b[by])) == sorted(zip(a, b)) and new.tolist() == [True, False, True, True, True, True]
+    known_a, known_b = np.array([5, 5, 7], u), np.array([2, 3, 9], u)
+    assert substring._member(a, b, known_a, known_b).tolist() == [False, True, False, False, True, True]
+    assert substring._member(a, b, known_a[:0], known_b[:0]).tolist() == [False] * 6
+
+
+def test_blocks_are_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(substring, "BLOCK_BYTES", 40_000)
+    rnd = random.Random(8)
+    rows = [(i, "w " * rnd.choice([5, 5, 5, 5, 2000])) if i < 300 else (i, "w " * 2000) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    borders, blocks = substring._borders(docs, "doc_id", "text")
+    size = defaultdict(int)
+    for i, t in rows:
+        size[bisect.bisect_left(borders, i)] += len(t)
+    assert blocks >= 15 and max(size.values()) < 100_000
