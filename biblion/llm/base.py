@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]+"
 
 
+#: Bytes of an Arrow batch, and rows of one that are Python objects at a time.
+BATCH_BYTES, AT_ONCE = 8_000_000, 256
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -48,6 +55,19 @@ def dropped(*tables: DataFrame | None) -> None:
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def bounded(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_BYTES in this session: texts can be long, and a batch is held several times over."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(re.sub("[^0-9-]", "", spark.conf.get(name))) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of AT_ONCE rows, for functions that make Python objects of them."""
+    for at in range(0, len(batch), AT_ONCE):
+        yield batch.slice(at, AT_ONCE)
+
+
 def tasks(spark: SparkSession) -> int:
     """The number of partitions that shuffles of this session use."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -6,17 +6,22 @@ fragments are encoded independently of one another (and remembered, since few
 distinct fragments make up most words), and their ids are concatenated.
 
 Rows never leave their partition: one Arrow pass, no shuffle, and a lost
-executor costs only its own partitions.  Memory is bounded by one Arrow batch
-and two dictionaries of at most ``REMEMBERED`` entries.
+executor costs only its own partitions.  Memory is bounded by one Arrow batch,
+the text at hand and two dictionaries of at most ``REMEMBERED`` entries.  A word
+of any length takes time in proportion to it (but for a logarithm): the places
+of each pair are kept by rank.
 
 Defined cases: a null text counts as empty; an empty text has no ids and
-decodes to the empty string; null ids decode to the empty string; repeated
-rows are encoded each; columns other than those named are left as they are.
+decodes to the empty string; null ids decode to the empty string; an empty
+table gives an empty table; very long texts and words are taken whole; of equal
+ranks the leftmost pair is merged first; repeated rows are encoded each; columns
+other than those named are left as they are, and replaced if their names clash.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import re
 from collections.abc import Iterable, Iterator
@@ -25,8 +30,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Words and fragments that a worker remembers before it starts anew.
-REMEMBERED = 600_000
+from biblion.llm.base import bounded, slices
+
+#: Words, and fragments, that a worker remembers; those asked for lately stay.
+REMEMBERED = 400_000
+#: Symbols of a fragment beyond which the places of pairs are kept by rank.
+LONG = 48
 END = "</w>"
 
 #: Beyond these characters the library's own normalizer and splitter are asked.
@@ -64,7 +73,8 @@ class WordBpe:
         self.rank = {pair: i for i, pair in enumerate(pairs)}
         self.inside = self.pairs_inside(model["vocab"])
         special = sorted((x["content"] for x in spec["added_tokens"]), key=len, reverse=True)
-        self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")")
+        self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
+        self.heads = {x[0] for x in special}
         library = Tokenizer.from_str(raw.decode())
         self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
         self.symbols = byte_symbols()
@@ -95,7 +105,9 @@ class WordBpe:
 
     def word(self, word: str) -> bytes:
         """The ids of a whole word in byte symbols, as little-endian 32-bit integers."""
-        return b"".join(map(self.parts.__getitem__, self.cut(word)))
+        parts = self.cut(word)
+        # a word of one fragment is remembered as a word
+        return self.fragment(parts[0]) if len(parts) == 1 else b"".join(map(self.parts.__getitem__, parts))
 
     def fragment(self, part: str) -> bytes:
         """Merge the lowest-ranked pair, the leftmost first, until none is left."""
@@ -104,6 +116,8 @@ class WordBpe:
             symbols = [*bare[:-1], bare[-1] + END]
         else:
             symbols = [*part]
+        if len(symbols) > LONG:
+            return b"".join([self.packed[self.ids[x]] for x in self.merged(symbols)])
         rank, none = self.rank.get, len(self.rank)
         while len(symbols) > 1:
             ranks = [rank(pair, none) for pair in zip(symbols, symbols[1:], strict=False)]
@@ -114,6 +128,45 @@ class WordBpe:
             symbols[i : i + 2] = [symbols[i] + symbols[i + 1]]
         return b"".join([self.packed[self.ids[x]] for x in symbols])
 
+    def merged(self, symbols: list[str]) -> list[str]:
+        """The same merges of many symbols: the places of each pair by rank, symbols linked to their neighbours."""
+        rank, n = self.rank.get, len(symbols)
+        before, behind = list(range(-1, n - 1)), list(range(1, n + 1))
+        places: dict[int, list[int]] = {}
+        for i in range(n - 1):
+            r = rank((symbols[i], symbols[i + 1]))
+            if r is not None:
+                places.setdefault(r, []).append(i)
+        ranks = list(places)
+        heapq.heapify(ranks)
+        while ranks:
+            now = heapq.heappop(ranks)
+            todo = sorted(places.pop(now))
+            for k, i in enumerate(todo):
+                j = behind[i]
+                if j >= n or symbols[i] is None or rank((symbols[i], symbols[j])) != now:
+                    continue  # merged otherwise meanwhile
+                symbols[i] += symbols[j]
+                symbols[j] = None
+                after = behind[i] = behind[j]
+                if after < n:
+                    before[after] = i
+                least = now
+                for left, right in ((before[i], i), (i, after)):
+                    if left >= 0 and right < n:
+                        r = rank((symbols[left], symbols[right]))
+                        if r is not None:
+                            if r not in places:
+                                places[r] = []
+                                heapq.heappush(ranks, r)
+                            places[r].append(left)
+                            least = min(least, r)
+                if least < now:  # a pair that comes first arose: the rest waits
+                    places[now] = places.get(now, []) + todo[k + 1 :]
+                    heapq.heappush(ranks, now)
+                    break
+        return [x for x in symbols if x is not None]
+
     def plain(self, text: str) -> bytes:
         """Ids of a text that holds no special token."""
         if text.isascii() or not _RARE.search(text):
@@ -124,7 +177,7 @@ class WordBpe:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if "<" not in text:
+        if self.special is None or not any(c in text for c in self.heads):
             return self.plain(text)
         split = self.special.split(text)
         return b"".join([self.packed[self.ids[x]] if k % 2 else self.plain(x) for k, x in enumerate(split) if x])
@@ -135,16 +188,20 @@ class WordBpe:
 
 
 class _Remembered(dict):
-    """Results of a function; emptied when there are too many."""
+    """Results of a function.  When there are too many, those not asked for since the last time go."""
 
     def __init__(self, of):
         super().__init__()
-        self.of = of
+        self.of, self.old = of, {}
 
     def __missing__(self, key: str) -> bytes:
-        if len(self) >= REMEMBERED:
+        if len(self) >= REMEMBERED // 2:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.of(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.of(key)
+        self[key] = value
         return value
 
 
@@ -172,14 +229,16 @@ def _texts(batch: pa.RecordBatch, name: str) -> list[str | None]:
 
 def _mapped(df: DataFrame, added: list[tuple[str, str, pa.DataType]], columns) -> DataFrame:
     """``df`` with columns that ``columns(batch)`` makes; they replace columns of the same name."""
+    bounded(df.sparkSession)
     names = {name for name, _, _ in added}
     kept = [c for c in df.columns if c not in names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = columns(batch)
-            old = [batch.column(batch.schema.get_field_index(c)) for c in kept]
-            yield pa.RecordBatch.from_arrays([*old, *(pa.array(x, kind) for x, (_, _, kind) in zip(made, added, strict=True))], names=[*kept, *names_in_order])
+        for whole in batches:
+            for batch in slices(whole):
+                made = columns(batch)
+                old = [batch.column(batch.schema.get_field_index(c)) for c in kept]
+                yield pa.RecordBatch.from_arrays([*old, *(pa.array(x, kind) for x, (_, _, kind) in zip(made, added, strict=True))], names=[*kept, *names_in_order])
 
     names_in_order = [name for name, _, _ in added]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in kept), *(f"`{n}` {t}" for n, t, _ in added)])

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from biblion.llm.base import cut, dropped, fresh
+from biblion.llm.base import bounded, cut, dropped, fresh, slices
 from biblion.llm.graph import components
 from biblion.llm.hashing import hashed_words, mixed
 
@@ -107,7 +107,7 @@ def sketched(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     """doc_id, n_shingles, h1 and h2 (128 bits that stand for the set), bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             n, one, two, keys = [], [], [], []
             for t in batch.column(1):  # one text at a time, not all of a batch
                 s = shingles(t.as_py(), words)
@@ -125,8 +125,7 @@ def hashes(texts: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                some = batch.slice(at, 256)
+            for some in slices(batch):
                 sets = [shingles(t.as_py(), words).view(np.int64) for t in some.column(1)]
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "set"])
 
@@ -266,6 +265,7 @@ def merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
 
 def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of each row."""
+    bounded(docs.sparkSession)
     docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketches = cut(sketched(docs, "doc_id", "text", words))
     full = sketches.filter("n_shingles > 0 AND doc_id IS NOT NULL")

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from biblion.llm.base import fresh
+from biblion.llm.base import bounded, fresh, slices
 
 FOR_DICTIONARY = 1000
 FOR_CURVE = 3000
@@ -175,13 +175,14 @@ def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
 
 def _mapped(docs: DataFrame, model: Model, text: str, keep_text: bool, flag: str | None = None) -> DataFrame:
+    bounded(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     new = [flag] if flag else ["score", "predicted"]
     kept = [f for f in docs.schema if f.name not in new and (keep_text or f.name != text)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = sent.value.scorer()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             at = batch.schema.get_field_index
             p = scorer.scores(batch.column(at(text)).to_pylist())
             says = pa.array((p >= 0.5).astype("i4"))

@@ -41,6 +41,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from biblion.llm.base import bounded, slices
 from biblion.llm.hashing import OTHER_BASE, WORD_BASE, hashed_words, mixed, rolled, words_of
 
 LENGTH = 50
@@ -96,7 +97,7 @@ def _dealt(docs: DataFrame, key: str, text: str, borders: list[int], blocks: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             ids = batch.column(0)
             block = np.searchsorted(sent.value, np.asarray(ids.fill_null(0), np.int64), side="left")
             block = np.where(np.asarray(ids.is_null()), -1 - np.arange(len(ids)) % blocks, block)
@@ -248,6 +249,7 @@ def _cut(length: int, buckets: int, with_text: bool):
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, with_text: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and the kept text) of each document."""
+    bounded(docs.sparkSession)
     docs = docs.select(key, text)
     borders, blocks = _borders(docs, key, text)
     buckets, parts = SPREAD * blocks, min(blocks, PARTITIONS)

@@ -1,4 +1,6 @@
 import hashlib
+import random
+import time
 
 import numpy as np
 import pytest
@@ -46,6 +48,49 @@ def test_equals_the_library_on_any_text(own, library, text):
     assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("letters", ["a", "ab", "etaoinshr", "abcdefghijklmnopqrstuvwxyz", "aé"])
+def test_long_words(own, library, letters):
+    rnd = random.Random(letters)
+    for n in (47, 48, 49, 50, 300, 5000):
+        text = "".join(rnd.choice(letters) for _ in range(n))
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_word_of_a_million_letters_takes_seconds(own):
+    began = time.process_time()
+    assert len(own.encode("a" * 1_000_000)) > 0
+    assert time.process_time() - began < 5
+
+
+def test_merges_in_any_order():
+    """Where a later pair comes first in rank, the plain rule (lowest rank, then leftmost) still holds."""
+    rnd = random.Random(2)
+    for _ in range(300):
+        toy = object.__new__(bpe.WordBpe)
+        pairs = list({(rnd.choice(["a", "b", "ab", "ba", "aa"]), rnd.choice(["a", "b", "ab", "bb"])) for _ in range(8)})
+        rnd.shuffle(pairs)
+        toy.rank = {p: i for i, p in enumerate(pairs)}
+        symbols = [rnd.choice("ab") for _ in range(30)]
+        want = list(symbols)
+        while True:
+            found = [(toy.rank[p], i) for i, p in enumerate(zip(want, want[1:])) if p in toy.rank]
+            if not found:
+                break
+            i = min(found)[1]
+            want[i : i + 2] = [want[i] + want[i + 1]]
+        assert toy.merged(list(symbols)) == want
+
+
+def test_remembered_words_stay(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 10)
+    asked = []
+    of = bpe._Remembered(lambda k: asked.append(k) or k.encode())
+    for i in range(100):
+        assert of["often"] == b"often" and of[str(i)] == str(i).encode()
+        assert len(of) + len(of.old) <= 10
+    assert asked.count("often") == 1
+
+
 def test_cuts_only_where_no_token_spans(own):
     pieces = own.cut("qzthe")
     assert "".join(pieces) == "qzthe" + bpe.END
