@@ -17,9 +17,10 @@ own: all its pairs are still compared, and no task holds more than two blocks.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, and rows without a label, link with nothing and are components of
-their own; vectors of different lengths never link; repeated rows count as
-vectors of their own; rows without an id link with nothing and have no
-component; other columns play no part.
+their own; vectors of different lengths never link; a cosine that equals the
+threshold links; repeated rows count as vectors of their own; rows without an id
+link with nothing and have no component; an empty table gives an empty table;
+other columns, whatever their names, play no part.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from biblion.llm.base import cut
+from biblion.llm.base import bounded, cut
 from biblion.llm.graph import components
 
 TREES = 8
@@ -103,6 +104,12 @@ def usable(vector: Column) -> Column:
     return F.coalesce(vector.isNotNull() & (F.size(vector) > 0) & finite & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
+def components_type(df: DataFrame, vector: str) -> str:
+    """The type in which vectors are kept as they are: floats as floats, all other numbers as doubles."""
+    kind = df.schema[vector].dataType.simpleString()
+    return kind if kind == "array<float>" else "array<double>"
+
+
 def matrix(column: pa.Array | pa.ChunkedArray, dims: int) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -198,7 +205,7 @@ def linked(classes: DataFrame, most: int, n: int, dims: int, threshold: float) -
         rnd = np.random.default_rng(7)
         trees = [grow(x, math.ceil(math.log2(most / LEAF)), rnd) for _ in range(TREES)]
     margin = SPILL * math.sqrt(max(0.0, 2 * (1 - threshold))) / math.sqrt(dims)
-    schema = "label string, v array<float>, rep long, times long, leaves array<int>"
+    schema = f"label string, v {classes.schema['v'].dataType.simpleString()}, rep long, times long, leaves array<int>"
     placed = classes.select("label", "v", "rep", "times").mapInArrow(_leaves(trees or [Tree()], margin, dims), schema)
     placed = placed.withColumn("leaf", F.explode("leaves"))
     counts = placed.groupBy("label", "leaf").agg(F.count("*").alias("n")).filter(F.col("n") > LEAF_MOST)
@@ -212,7 +219,8 @@ def linked(classes: DataFrame, most: int, n: int, dims: int, threshold: float) -
 
 def grouped(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label", threshold: float = 0.98) -> DataFrame:
     """vec_id, n_links, component_id, kept of each row."""
-    rows = df.select(F.col(key).cast("long").alias("id"), F.col(label).cast("string").alias("label"), F.col(vector).cast("array<float>").alias("v"))
+    bounded(df.sparkSession)
+    rows = df.select(F.col(key).cast("long").alias("id"), F.col(label).cast("string").alias("label"), F.col(vector).cast(components_type(df, vector)).alias("v"))
     good = cut(rows.filter(F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("v"))))
     classes = cut(good.groupBy("label", "v").agg(F.min("id").alias("rep"), F.count("*").alias("times")))
     shapes = classes.withColumn("dims", F.size("v")).groupBy("dims", "label").agg(F.count("*").alias("n")).groupBy("dims").agg(F.max("n").alias("most"), F.sum("n").alias("n")).orderBy("dims").collect()
@@ -232,6 +240,6 @@ def grouped(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label
     labels = components(edges).select(F.col("id").alias("vec_id"), F.col("component"))
     told = own.join(links, "rep", "left").select("vec_id", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     # one row for each row of the table, also where ids repeat
-    bad = df.filter(F.col(key).isNull() | F.col(label).isNull() | ~usable(F.col(vector).cast("array<float>"))).select(F.col(key).cast("long").alias("vec_id"), F.lit(0).cast("long").alias("n_links"))
+    bad = df.filter(F.col(key).isNull() | F.col(label).isNull() | ~usable(F.col(vector).cast(components_type(df, vector)))).select(F.col(key).cast("long").alias("vec_id"), F.lit(0).cast("long").alias("n_links"))
     out = told.unionByName(bad).join(labels, "vec_id", "left").withColumn("component_id", F.coalesce("component", "vec_id"))
     return out.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)).alias("kept"))

@@ -1,44 +1,53 @@
 """Approximate nearest neighbours by a hash-prefix forest.
 
 Every vector gets, in each tree, a long string of sign bits of random
-projections; a tree is the sorted array of these strings.  A query descends to
-the longest prefix that it shares with enough vectors, and then all trees
-ascend together to shorter prefixes, which bring more candidates, until a
-neighbour as near as the k-th best so far would have been missed by all trees
-with a probability of ``MISSED`` at most: two vectors at an angle t agree in a
-bit with probability 1 - t / pi, in a prefix of x bits with its x-th power.
-Where vectors cluster few candidates suffice; where they don't, the trees
-ascend nearly to the root.  Candidates are ranked by their exact distance.
-
-Vectors are dealt into blocks, each with sorted arrays of its own, and every
-query goes to every block (in chunks of ``CHUNK`` queries).  The descent gives
-the k best of all blocks; their k-th is the bound with which all blocks ascend.
-A block passes on its k best of each query.
+projections; a tree is the sorted array of these strings.  A query descends in
+every tree to the longest prefix that it shares with any string.  From there
+all trees ascend together, one bit at a time; each step brings the strings that
+share the shorter prefix.  The ascent ends as soon as a neighbour as near as
+the k-th best so far would have been missed by all trees with a probability of
+``MISSED`` at most: two vectors at an angle t agree in a bit with probability
+1 - t / pi, in a prefix of x bits with its x-th power.  Where vectors cluster
+few candidates suffice; where they don't, the trees ascend nearly to the root.
+Candidates are ranked by their exact distance on the vectors as they are.
+
+The strings are made once and written with the vectors.  A block of ``BLOCK``
+rows of that table has sorted arrays of its own and answers a chunk of at most
+``CHUNK`` queries, which is sent to all tasks: rows are shuffled nowhere, and a
+chunk has a fixed size.  The descent of all blocks gives the k best so far;
+with them each block ascends.  A block passes on its k best of each query.
+
+The centre of the projections is the mean of ``SAMPLE`` vectors; every row is
+indexed.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
-components take no part, nor do rows without an id; of rows with one id the
-one with the smallest vector counts; vectors of other lengths than the query's
-are no candidates; a query with fewer candidates gets them all; without
-candidates it has no rows; other columns play no part.
+components take no part, nor do rows without an id; every row but the query's
+own is a candidate, so rows with one id count each, and each of them that is a
+query is answered; vectors of other lengths than the query's are no candidates;
+a query with fewer candidates gets them all; without candidates, and in an empty
+table, there are no rows; ties go to the smaller id; other columns, whatever
+their names, play no part.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from biblion.llm.base import cut
-from biblion.llm.forest import matrix, usable
+from biblion.llm.base import bounded, cut, dropped, fresh
+from biblion.llm.forest import components_type, matrix, usable
 
 TREES, BITS = 16, 32
 MISSED = 0.05
-CHUNK = 2048
-#: Rows of a block at most; and the number of blocks at least.
-BLOCK, BLOCKS = 65_536, 32
+#: Queries that are sent at once, and those of them that a block answers together.
+CHUNK, TOGETHER = 16_384, 256
+#: Rows of a block at most.
+BLOCK = 65_536
 #: Vectors on which the centre of the projections is measured.
 SAMPLE = 10_000
 
@@ -58,8 +67,9 @@ def level_for(angle: float) -> int:
 
 
 class Forest:
-    def __init__(self, x: np.ndarray, centre: np.ndarray):
-        found = strings(x, centre)
+    """The sorted arrays of a block's strings."""
+
+    def __init__(self, found: np.ndarray):
         self.order = np.argsort(found, axis=1, kind="stable")
         self.sorted = np.take_along_axis(found, self.order, axis=1)
 
@@ -71,96 +81,202 @@ class Forest:
         pairs = [(np.searchsorted(s, a, "left"), np.searchsorted(s, b, "right")) for s, a, b in zip(self.sorted, first, last, strict=True)]
         return np.stack([a for a, _ in pairs]), np.stack([b for _, b in pairs])
 
-    def candidates(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """The rows in one query's ranges of all trees."""
-        hit = np.zeros(self.order.shape[1], bool)
-        for t, (a, b) in enumerate(zip(start.tolist(), end.tolist(), strict=True)):
-            if b > a:
-                hit[self.order[t, a:b]] = True
-        return np.flatnonzero(hit)
+    def descent(self, query: np.ndarray) -> int:
+        """The longest prefix that any query shares with any string: bits at most."""
+        best = 0
+        for s, q in zip(self.sorted, query, strict=True):
+            at = np.searchsorted(s, q)
+            for side in (np.maximum(at - 1, 0), np.minimum(at, len(s) - 1)):
+                least = int((s[side] ^ q).min())
+                best = max(best, BITS - least.bit_length())
+        return best
+
+
+class Best:
+    """The k best rows of a query so far: of this block, and of all blocks for the bound."""
+
+    def __init__(self, k: int, known: tuple[np.ndarray, np.ndarray, np.ndarray] | None):
+        self.k, self.rows, self.scores = k, np.zeros(0, np.int64), np.zeros(0)
+        self.at, self.bound, self.angles = known or (np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
+
+    def add(self, rows: np.ndarray, scores: np.ndarray, at: np.ndarray, ids: np.ndarray, angle) -> None:
+        if len(rows) > self.k:  # those beyond the k-th smallest score can't stay; ties do
+            near = scores <= np.partition(scores, self.k - 1)[self.k - 1]
+            rows, scores = rows[near], scores[near]
+        rows, scores = np.r_[self.rows, rows], np.r_[self.scores, scores]
+        by = np.lexsort((at[rows], ids[rows], scores))[: self.k]
+        self.rows, self.scores = rows[by], scores[by]
+        new = self.rows[~np.isin(at[self.rows], self.at)]
+        if len(new):
+            score = self.scores[np.isin(self.rows, new)]
+            all_scores, all_at, all_angles = np.r_[self.bound, score], np.r_[self.at, at[new]], np.r_[self.angles, angle(new)]
+            by = np.argsort(all_scores, kind="stable")[: self.k]
+            self.bound, self.at, self.angles = all_scores[by], all_at[by], all_angles[by]
+
+    def enough(self) -> int:
+        """The level at which the ascent may end; below 0 while fewer than k are known."""
+        return level_for(float(self.angles.max())) if len(self.angles) >= self.k else -1
+
+
+def answered(block: dict[str, np.ndarray], asked: dict[str, np.ndarray], k: int, centre: np.ndarray, known: dict | None, visited: list | None = None) -> tuple[list, list, list, list]:
+    """query (its place), row, score and angle of the k best candidates in a block.
+
+    Without ``known`` (the best of all blocks so far) the ascent ends when a
+    query has k candidates here; with it, when the bound says so.
+    """
+    forest, ids, at, x = Forest(block["s"]), block["id"], block["at"], block["v"]
+    length = np.linalg.norm(x - centre, axis=1)
+    out: tuple[list, list, list, list] = ([], [], [], [])
+    for start in range(0, len(asked["id"]), TOGETHER):
+        some = np.arange(start, min(start + TOGETHER, len(asked["id"])))
+        hashed, q = asked["s"][:, some], asked["v"][some]
+        seen = np.zeros((len(some), len(ids)), bool)
+        seen[asked["at"][some][:, None] == at[None, :]] = True  # the query's own row
+        best = [Best(k, known.get(int(i)) if known is not None else None) for i in some]
+        active = np.arange(len(some))
+        low, high = np.zeros((TREES, len(some)), np.int64), np.zeros((TREES, len(some)), np.int64)
+
+        def angle(i: int):
+            here = q[i] - centre
 
+            def of(rows: np.ndarray) -> np.ndarray:
+                cosine = ((x[rows] - centre) @ here) / np.maximum(length[rows] * np.linalg.norm(here), 1e-300)
+                return np.arccos(np.clip(cosine, -1, 1))
 
-def _nearest(k: int, centre: np.ndarray, ascend: bool):
-    """Of a block and a chunk of queries: the k best candidates of each query."""
+            return of
+
+        for level in range(forest.descent(hashed), -1, -1):
+            begin, end = forest.ranges(hashed[:, active], level)
+            going = []
+            for j, i in enumerate(active.tolist()):
+                parts = []
+                for t, (a, b, c, d) in enumerate(zip(begin[:, j].tolist(), low[:, i].tolist(), high[:, i].tolist(), end[:, j].tolist(), strict=True)):
+                    if b == c:  # nothing before
+                        if a < d:
+                            parts.append(forest.order[t, a:d])
+                    elif a < b or c < d:  # what the shorter prefix adds on either side
+                        parts += [forest.order[t, a:b], forest.order[t, c:d]]
+                if parts:
+                    fresh_rows = np.concatenate(parts)
+                    fresh_rows = np.unique(fresh_rows[~seen[i, fresh_rows]])
+                    if len(fresh_rows):
+                        seen[i, fresh_rows] = True
+                        gap = x[fresh_rows] - q[i]
+                        best[i].add(fresh_rows, np.sqrt((gap * gap).sum(axis=1)), at, ids, angle(i))
+                done = len(best[i].rows) >= k if known is None else level <= best[i].enough()
+                if not done:
+                    going.append(j)
+            low[:, active], high[:, active] = begin, end
+            active = active[going]
+            if not len(active):
+                break
+        if visited is not None:
+            visited += seen.sum(axis=1).tolist()
+        for i, b in zip(some.tolist(), best, strict=True):
+            out[0].extend([i] * len(b.rows))
+            out[1].extend(b.rows.tolist())
+            out[2].extend(b.scores.tolist())
+            out[3].extend(angle(i - start)(b.rows).tolist())
+    return out
+
+
+def _table(rows: pa.Table | pa.RecordBatch, dims: int) -> dict[str, np.ndarray]:
+    s = np.asarray(rows.column("s").combine_chunks().flatten() if isinstance(rows, pa.Table) else rows.column("s").flatten())
+    return {"id": np.asarray(rows.column("id")), "at": np.asarray(rows.column("at")), "v": matrix(rows.column("v"), dims), "s": s.reshape(-1, TREES).T.astype(np.uint64)}
+
+
+def _nearest(sent, k: int, centre: np.ndarray):
+    """Over blocks of rows: the k best candidates of each query of a chunk."""
     dims = len(centre)
 
-    def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"query_id": [], "vec_id": [], "score": [], "angle": []}
-        if len(rows) and len(queries):
-            rows = rows.take(pa.compute.sort_indices(rows.column("id")))
-            ids, x = np.asarray(rows.column("id")), matrix(rows.column("v"), dims)
-            asked, q = np.asarray(queries.column("query")), matrix(queries.column("qv"), dims)
-            forest, hashed = Forest(x, centre), strings(q, centre)
-            length = np.linalg.norm(x - centre, axis=1)
-            if ascend:
-                level = np.array([level_for(a) if a is not None else 0 for a in queries.column("angle").to_pylist()])
-            else:  # the longest prefix with k vectors besides the query itself
-                level = np.zeros(len(q), int)
-                for x_bits in range(1, BITS + 1):
-                    a, b = forest.ranges(hashed, x_bits)
-                    enough = (b - a).max(axis=0) > k
-                    level[enough] = x_bits
-                    if not enough.any():
-                        break
-            for x_bits in np.unique(level):
-                at = np.flatnonzero(level == x_bits)
-                start, end = forest.ranges(hashed[:, at], int(x_bits))
-                for j, i in enumerate(at):
-                    found = forest.candidates(start[:, j], end[:, j])
-                    found = found[ids[found] != asked[i]]
-                    if not len(found):
-                        continue
-                    gap = x[found] - q[i]
-                    score = np.sqrt((gap * gap).sum(axis=1))
-                    best = np.lexsort((ids[found], score))[:k]
-                    found, score = found[best], score[best]
-                    here = q[i] - centre
-                    cosine = ((x[found] - centre) @ here) / np.maximum(length[found] * np.linalg.norm(here), 1e-300)
-                    out["query_id"] += [int(asked[i])] * len(found)
-                    out["vec_id"] += ids[found].tolist()
-                    out["score"] += score.tolist()
-                    out["angle"] += np.arccos(np.clip(cosine, -1, 1)).tolist()
-        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        return pa.table({n: pa.array(v, kind) for (n, v), kind in zip(out.items(), kinds, strict=True)})
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+        held, n = [], 0
+        for batch in batches:
+            for start in range(0, len(batch), BLOCK):
+                part = batch.slice(start, BLOCK)
+                if n + len(part) > BLOCK:
+                    yield _table(pa.Table.from_batches(held), dims)
+                    held, n = [], 0
+                held.append(part)
+                n += len(part)
+        if n:
+            yield _table(pa.Table.from_batches(held), dims)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked, known = sent.value
+        for block in blocks(batches):
+            query, row, score, angle = answered(block, asked, k, centre, known)
+            yield pa.RecordBatch.from_arrays([pa.array(query, pa.int64()), pa.array(block["at"][row], pa.int64()), pa.array(block["id"][row], pa.int64()), pa.array(score, pa.float64()), pa.array(angle, pa.float64())], names=["query", "at", "vec_id", "score", "angle"])
 
     return run
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    order = Window.partitionBy("query").orderBy("score", "vec_id", "at")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def _searched(rows: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+def _indexed(rows: DataFrame, centre: np.ndarray) -> DataFrame:
+    """``rows`` with the strings of each vector, written."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                found = strings(matrix(batch.column(batch.schema.get_field_index("v")), len(centre)), centre).T.astype(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1, dtype=np.int32) * TREES), pa.array(found.ravel()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, "s"])
+
+    kind = rows.schema["v"].dataType.simpleString()
+    return cut(rows.mapInArrow(run, f"id long, at long, v {kind}, asks boolean, s array<long>"))
+
+
+def _searched(rows: DataFrame, k: int) -> DataFrame:
     """query_id, rank, vec_id, score among vectors of one length."""
-    n, asked = rows.count(), queries.count()
-    blocks, chunks = max(BLOCKS, math.ceil(n / BLOCK)), max(1, math.ceil(asked / CHUNK))
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").collect()
-    centre = np.array([r.v for r in sample], np.float64).mean(axis=0)
-    placed = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    placed = placed.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).select("block", "chunk", "id", "v")
-    spread = queries.select(F.col("id").alias("query"), F.col("v").alias("qv")).withColumn("chunk", F.pmod(F.hash("query"), F.lit(chunks))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    spark = rows.sparkSession
+    sample = rows.select("v").orderBy(F.xxhash64("at"), "at").limit(SAMPLE).toArrow()
+    centre = matrix(sample.column("v"), len(sample.column("v")[0])).mean(axis=0)
+    index = _indexed(rows, centre)
+    asking = index.filter("asks")
+    chunks = max(1, math.ceil(asking.count() / CHUNK))
+    out = None
+    for chunk in range(chunks):  # each of a bounded size
+        asked = _table(asking.filter(F.pmod(F.xxhash64("at"), F.lit(chunks)) == chunk).drop("asks").toArrow().sort_by("at"), len(centre))
+        if not len(asked["id"]):
+            continue
+        schema = "query long, at long, vec_id long, score double, angle double"
 
-    def search(spread: DataFrame, ascend: bool) -> DataFrame:
-        left, right = placed.groupBy("block", "chunk"), spread.groupBy("block", "chunk")
-        return _best(left.cogroup(right).applyInArrow(_nearest(k, centre, ascend), "query_id long, vec_id long, score double, angle double"), k)
+        def search(known: dict | None) -> DataFrame:
+            sent = spark.sparkContext.broadcast((asked, known))
+            return _best(index.drop("asks").mapInArrow(_nearest(sent, k, centre), schema), k)
 
-    first = search(spread.select("block", "chunk", "query", "qv"), False)
-    # no bound where fewer than k were found: then everything is a candidate
-    bound = first.groupBy("query_id").agg(F.when(F.count("*") == k, F.max("angle")).alias("angle"))
-    bound = cut(bound.withColumnRenamed("query_id", "query"))
-    return search(spread.join(bound, "query", "left").select("block", "chunk", "query", "qv", "angle"), True).select("query_id", "rank", "vec_id", "score")
+        first = cut(search(None).drop("rank"))
+        table, known = first.orderBy("query", "score").toArrow(), {}
+        query = np.asarray(table.column("query"))
+        border = np.searchsorted(query, np.arange(len(asked["id"]) + 1))
+        at, score, angle = (np.asarray(table.column(c)) for c in ("at", "score", "angle"))
+        for i in range(len(asked["id"])):
+            a, b = border[i], border[i + 1]
+            known[i] = (at[a:b], score[a:b], angle[a:b])
+        second = search(known).drop("rank")
+        ids = spark.createDataFrame(list(zip(range(len(asked["id"])), asked["id"].tolist(), strict=True)), "query long, query_id long")
+        best = _best(first.unionByName(second).dropDuplicates(["query", "at"]), k)
+        part = cut(best.join(ids, "query").select("query_id", "rank", "vec_id", "score"))
+        dropped(first)
+        out = part if out is None else out.unionByName(part)
+    dropped(index)
+    return out if out is not None else rows.selectExpr("id AS query_id", "0 AS rank", "id AS vec_id", "0D AS score").limit(0)
 
 
 def searched(df: DataFrame, asks: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row for which ``asks`` holds."""
-    rows = df.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<float>").alias("v"), F.coalesce(asks, F.lit(False)).alias("asks"))
-    rows = rows.filter(F.col("id").isNotNull() & usable(F.col("v")))
-    rows = cut(rows.groupBy("id").agg(F.min("v").alias("v"), F.max("asks").alias("asks")))
+    at = fresh("at", df.columns)
+    bounded(df.sparkSession)
+    rows = df.withColumn(at, F.monotonically_increasing_id())
+    rows = rows.select(F.col(key).cast("long").alias("id"), F.col(at).alias("at"), F.col(vector).cast(components_type(df, vector)).alias("v"), F.coalesce(asks, F.lit(False)).alias("asks"))
+    rows = cut(rows.filter(F.col("id").isNotNull() & usable(F.col("v"))))
     out = None
     for (dims,) in rows.select(F.size("v")).distinct().orderBy(F.size("v")).collect():
-        same = rows.filter(F.size("v") == dims)
-        part = _searched(same.select("id", "v"), same.filter("asks").select("id", "v"), k)
+        part = _searched(rows.filter(F.size("v") == dims), k)
         out = part if out is None else out.unionByName(part)
     if out is None:
         out = rows.selectExpr("id AS query_id", "0 AS rank", "id AS vec_id", "0D AS score")

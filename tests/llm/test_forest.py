@@ -38,12 +38,29 @@ def got(df):
 
 
 def test_table(spark):
-    df = table(spark, "/root/testdata", "check_s/embeddings")
+    df = table(spark, "/root/testdata/sf0.1", "embeddings")
     want = brute([tuple(r) for r in df.select("vec_id", "embedding", "label").collect()])
-    assert sum(x[1] for x in want) > 10_000
+    assert len(want) == df.count()
     assert got(df) == want
 
 
+@pytest.mark.parametrize("gap", [0.05, 0.18])
+def test_links_near_the_threshold(spark, gap):
+    # families around 3,000 centres, their members at cosines from 0.97 to 1: recall of links against brute force
+    rnd = np.random.default_rng(9)
+    centres = rnd.standard_normal((3000, 64))
+    rows = []
+    for k in range(9000):
+        c = centres[k % 3000]
+        noise = rnd.standard_normal(64)
+        rows.append((k, [float(v) for v in c + gap * rnd.uniform(0.3, 1) * noise * np.linalg.norm(c) / np.linalg.norm(noise)], k % 3000 % 3))
+    df = spark.createDataFrame(rows, SCHEMA)
+    found, want = got(df), brute([tuple(r) for r in df.collect()])
+    links, all_links = sum(x[1] for x in found), sum(x[1] for x in want)
+    assert 3000 < all_links and 0.99 * all_links <= links <= all_links
+    assert sum(a != b for a, b in zip(found, want, strict=True)) < 0.02 * len(want)
+
+
 @pytest.mark.parametrize("most", [1500, 60])
 def test_dense_spots_and_copies(spark, monkeypatch, most):
     monkeypatch.setattr(forest, "LEAF", 40)
@@ -59,6 +76,13 @@ def test_dense_spots_and_copies(spark, monkeypatch, most):
     assert got(df) == brute(rows)
 
 
+def test_doubles_keep_their_precision(spark):
+    # as floats the second would equal the first
+    rows = [(1, [1.0, 0.0], 1), (2, [1.0, 1e-9], 1), (3, [1e300, 1e299], 1), (4, [0.0, 1.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert got(df) == [(1, 2, 1, True), (2, 2, 1, False), (3, 2, 1, False), (4, 0, 4, True)]
+
+
 def test_edges(spark):
     a, nan, inf = [1.0, 2.0], float("nan"), float("inf")
     rows = [(1, a, 1), (2, a, None), (3, None, 1), (4, [], 1), (5, [0.0, 0.0], 1), (6, [1.0, None], 1), (7, [nan, 1.0], 1), (8, [inf, 1.0], 1), (9, a, 1), (9, a, 1), (None, a, 1), (10, [1.0, 2.0, 0.0], 1), (11, a, 2), (12, [1e-30, 2e-30], 1), (13, [1e30, 2e30], 2)]
