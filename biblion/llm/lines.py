@@ -92,7 +92,8 @@ def repeated(rows: DataFrame) -> DataFrame:
     hashes = told.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     # written, so that the join behind has nothing but an exchange on either side and can be split
     often = cut(hashes.filter("first <> last").select("h", "first"))
-    places = cut(told.join(often, "h"))
+    # a merge at every size: it is split where a hash is frequent, and its cost grows evenly
+    places = cut(told.join(often.hint("merge"), "h"))
     # rows with one id may both be at the first place: one row for each text there
     first = cut(places.filter(place == F.col("first")).select("h", F.col("chunk").alias("one")).distinct())
     single = cut(first.groupBy("h").agg(F.min("one").alias("one")))

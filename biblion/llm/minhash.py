@@ -46,7 +46,7 @@ BINS = BANDS * ROWS
 #: Members of a centre, or of a bucket, that one task joins: more are dealt by salt.
 DEALT = 4096
 #: Classes and bytes of hashes that a block of the last pass should hold.
-BLOCK, BLOCK_BYTES = 1000, 8_000_000
+BLOCK, BLOCK_BYTES = 600, 8_000_000
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
