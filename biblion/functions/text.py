@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import html
+import html.entities
+import json
 import re
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # They must be these for the results to be right.
 STOPWORDS = ["a", "an", "and", "are", "as", "by", "for", "from", "in", "into", "of", "on", "or", "the", "to", "with"]
@@ -97,9 +97,59 @@ def canonical_value(c: Column) -> Column:
     return F.array_join(tail_merged(tail_merged(chosen, "analysis"), "theoretical"), "_")
 
 
-@F.pandas_udf(T.StringType())
-def html_unescape(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: html.unescape(t) if t and "&" in t else t)
+def _entities() -> str:
+    """The named character references of HTML as a JSON object, from the standard library."""
+    return json.dumps(html.entities.html5)
+
+
+#: A reference as HTML reads it: numbers, or up to 32 characters of a name.
+REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+
+
+def html_unescape(c: Column) -> Column:
+    """Character references replaced, as HTML 5 reads them, in the JVM; a text without ``&`` is passed on."""
+    names = F.from_json(F.lit(_entities()), "map<string,string>")
+    # names that count without a semicolon, the longest first: what follows one stays as it is
+    bare = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+    head = "^(?:" + "|".join(bare) + ")"
+    wrong = F.create_map(*(F.lit(x) for k in range(0x80, 0xA0) for x in (k, html.unescape(f"&#{k};"))))
+
+    def numbered(n: Column) -> Column:
+        silent = n.isin(0xB, *range(1, 9), *range(0xE, 0x20), *range(0x7F, 0x80)) | n.between(0xFDD0, 0xFDEF) | ((n % 65536) >= 65534)
+        return (
+            F.when(n.isNull() | (n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), F.lit("\ufffd"))
+            .when(n == 0xD, F.lit("\r"))
+            .when(n.between(0x80, 0x9F), F.try_element_at(wrong, n.cast("int")))
+            .when(silent, F.lit(""))
+            .otherwise(_character(n))
+        )
+
+    def replaced(found: Column) -> Column:
+        name = F.substr(found, F.lit(2))
+        digits = F.regexp_extract(name, "^#0*([0-9]{1,9});?$", 1)
+        hexed = F.regexp_extract(name, "^#[xX]0*([0-9a-fA-F]{1,8});?$", 1)
+        zero = name.rlike("^#[xX]?0+;?$")
+        number = F.when(zero, 0).when(digits != "", digits.cast("bigint")).when(hexed != "", F.conv(hexed, 16, 10).cast("bigint"))
+        short = F.regexp_extract(name, head, 0)
+        known = F.try_element_at(names, name)
+        named = F.when(known.isNotNull(), known).when(short != "", F.concat(F.try_element_at(names, short), F.substr(name, F.length(short) + 1))).otherwise(found)
+        return F.when(name.startswith("#"), numbered(number)).otherwise(named)
+
+    # a text is its pieces between references and the references, one after another
+    found = F.regexp_extract_all(c, F.lit(REFERENCE), F.lit(0))
+    between = F.split(c, REFERENCE, -1)
+    joined = F.array_join(F.flatten(F.transform(between, lambda part, i: F.array(part, F.coalesce(replaced(F.get(found, i)), F.lit(""))))), "")
+    return F.when(c.contains("&"), joined).otherwise(c)
+
+
+def _character(n: Column) -> Column:
+    """The character of a code point, from its UTF-8 bytes."""
+    byte = lambda x: F.unhex(F.lpad(F.hex(x), 2, "0"))
+    low = lambda shift: (F.floor(n / 64**shift) % 64 + 128).cast("bigint")
+    one, three = byte(n), F.concat(byte((F.floor(n / 4096) + 224).cast("bigint")), byte(low(1)), byte(low(0)))
+    two = F.concat(byte((F.floor(n / 64) + 192).cast("bigint")), byte(low(0)))
+    four = F.concat(byte((F.floor(n / 262144) + 240).cast("bigint")), byte(low(2)), byte(low(1)), byte(low(0)))
+    return F.decode(F.when(n < 0x80, one).when(n < 0x800, two).when(n < 0x10000, three).otherwise(four), "UTF-8")
 
 
 def screening_text(c: Column, unescape: bool = True) -> Column:
@@ -317,3 +367,29 @@ def quotes(c: Column) -> Column:
     """A JSON list of quotes; anything else is an empty list."""
     found = F.from_json(c, "array<struct<quote:string,section:string,reason:string>>")
     return F.filter(F.coalesce(found, F.array().cast("array<struct<quote:string,section:string,reason:string>>")), lambda q: F.trim(text_of(q["quote"])) != "")
+
+
+# numbers of a run
+
+
+def review_pool(most: int) -> int:
+    """Candidates to fetch for so many review overviews: five times as many, ten more at least, 100 at most."""
+    if most < 1:
+        raise ValueError("most must be at least 1.")
+    return min(max(5 * most, most + 10), 100)
+
+
+def search_budget(most: int | None) -> int | None:
+    """Candidates to fetch for so many papers: four times as many, from 30 to 5,000."""
+    return None if most is None else min(max(30, 4 * most), 5000)
+
+
+def distinct_terms(values: Column) -> Column:
+    """How many different terms an array holds: slugs, blanks left out."""
+    filled = F.filter(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.trim(text_of(v)) != "")
+    return F.size(F.array_distinct(F.transform(filled, title_key)))
+
+
+def nested(record: Column, path: Sequence[str]) -> Column:
+    """The text at a path of a VARIANT; empty where an object on the way lacks it."""
+    return text_of(F.try_variant_get(record, "$" + "".join(f"['{p}']" for p in path), "string"))

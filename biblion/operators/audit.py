@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from biblion.functions import text as X
@@ -161,6 +161,78 @@ def value_counts(df: DataFrame, labels: Sequence[Label]) -> DataFrame:
     return counts.join(known, ["label_id", "value", "status"], "full").withColumn("paper_count", F.coalesce("paper_count", F.lit(0)))
 
 
+def _spelled(x: Label):
+    """A spelling with its slug and value; null where that isn't allowed."""
+
+    def told(v: Column) -> Column:
+        source = X.slug(v)
+        good = source.isin(list(x.allowed)) if x.mode == "controlled_fixed" and x.allowed else F.lit(True)
+        value = X.canonical_value(source) if x.mode == "controlled_auto" else source
+        return F.when(good, F.struct(F.lit(x.label_id).alias("label_id"), value.alias("value"), source.alias("source"), v.alias("form")))
+
+    return told
+
+
+def _placed(values: Column, name: str, of: str) -> Column:
+    """array<struct<name, value, i>>: values with their place."""
+    return F.transform(values, lambda v, i: F.struct(F.lit(of).alias(name), v.alias("value"), i.alias("i")))
+
+
+def surface_counts(df: DataFrame, labels: Sequence[Label]) -> DataFrame:
+    """label_id, value, source, form, count: the spellings of each valid value, and the slugs that it was made of."""
+    parts = []
+    for x in labels:
+        cell = F.col(x.label_id)
+        raw = F.filter(F.transform(F.split(X.text_of(cell), ";"), lambda v: F.trim(v)), lambda v: X.slug(v) != "")
+
+        parts.append(F.array_compact(F.transform(raw, _spelled(x))))
+    rows = df.select(F.explode(F.concat(*parts)).alias("v")).select("v.*")
+    return rows.groupBy("label_id", "value", "source", "form").agg(F.count("*").alias("count"))
+
+
+def label_summary(df: DataFrame, labels: Sequence[Label]) -> DataFrame:
+    """label_id, total_rows, empty_count, non_empty_count, valid_values, invalid_values of each label, in one pass and one join."""
+    one = df.agg(F.count("*").alias("total_rows"), *(F.count_if(F.size(X.label_values(F.col(x.label_id))) == 0).alias(f"e{k}") for k, x in enumerate(labels)))
+    rows = one.select("total_rows", F.explode(F.array(*(F.struct(F.lit(x.label_id).alias("label_id"), F.col(f"e{k}").alias("empty_count")) for k, x in enumerate(labels)))).alias("r"))
+    counts = value_counts(df, labels).groupBy("label_id").agg(F.count_if(F.col("status") == "valid").alias("valid_values"), F.count_if(F.col("status") == "invalid").alias("invalid_values"))
+    rows = rows.select("r.label_id", "total_rows", "r.empty_count", (F.col("total_rows") - F.col("r.empty_count")).alias("non_empty_count"))
+    zero = {c: F.coalesce(c, F.lit(0).cast("long")) for c in ("valid_values", "invalid_values")}
+    return rows.join(counts, "label_id", "left").withColumns(zero)
+
+
+def value_distribution(df: DataFrame, labels: Sequence[Label], ordinal: str, names: dict[str, dict[str, str]] | None = None) -> DataFrame:
+    """label_id, place, value, label, paper_count: cleaned values by count, ties by the row and place that they first stand at."""
+    parts = [_placed(cleaned_values(F.col(x.label_id), x), "label_id", x.label_id) for x in labels if x.controlled]
+    rows = df.select(ordinal, F.explode(F.concat(*parts)).alias("v")).select(ordinal, "v.*")
+    counts = rows.groupBy("label_id", "value").agg(F.count("*").alias("paper_count"), F.min(F.struct(F.col(ordinal), "i")).alias("first"))
+    # one row a value goes through the window
+    place = F.row_number().over(Window.partitionBy("label_id").orderBy(F.desc("paper_count"), "first"))
+    told = counts.select("label_id", place.alias("place"), "value", "paper_count")
+    return with_value_labels(told, names or {})
+
+
+def with_value_labels(df: DataFrame, names: dict[str, dict[str, str]]) -> DataFrame:
+    """``df`` (label_id, value) and ``label``: the name of each code, else the code itself."""
+    table = [(k, code, name or code) for k, codes in names.items() for code, name in codes.items() if code.strip()]
+    known = df.sparkSession.createDataFrame(table, "label_id string, value string, label string")
+    return df.join(known, ["label_id", "value"], "left").withColumn("label", F.coalesce("label", "value"))
+
+
+def tag_summary(df: DataFrame, columns: Sequence[str], ordinal: str) -> DataFrame:
+    """field, place, value, count: the values of tag columns as they stand, most common first, ties by first place."""
+    parts = [_placed(X.multi_values(F.col(c)), "field", c) for c in columns]
+    rows = df.select(ordinal, F.explode(F.concat(*parts)).alias("v")).select(ordinal, "v.*")
+    counts = rows.groupBy("field", "value").agg(F.count("*").alias("count"), F.min(F.struct(F.col(ordinal), "i")).alias("first"))
+    return counts.withColumn("place", F.row_number().over(Window.partitionBy("field").orderBy(F.desc("count"), "first"))).select("field", "place", "value", "count")
+
+
+def step_counts(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
+    """name, rows of a step: all of them, and those of each value of a column, in one pass."""
+    one = df.agg(F.count("*").alias("n"), *(F.count_if(F.col(column) == v).alias(f"n{k}") for k, v in enumerate(values)))
+    told = [F.struct(F.lit("all").alias("name"), F.col("n").alias("rows")), *(F.struct(F.lit(v).alias("name"), F.col(f"n{k}").alias("rows")) for k, v in enumerate(values))]
+    return one.select(F.explode(F.array(*told)).alias("r")).select("r.*")
+
+
 def useful(c: Column) -> Column:
     plain = X.clean_whitespace(c)
     return ~plain.isin("", "[]") & (F.lower(plain) != "unclear")
@@ -182,6 +254,16 @@ def missingness(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.filter((F.col("total") >= LEAST_ROWS_FOR_MISSINGNESS) & (F.col("empty") >= MUCH_MISSING * F.col("total")))
 
 
+def missingness_issues(df: DataFrame, labels: Sequence[Label]) -> DataFrame:
+    """field, value, issue, severity, detail: each invalid value that a label shows, and labels that are mostly empty."""
+    auto = [x.label_id for x in labels if x.mode == "controlled_auto"]
+    bad = value_counts(df, [x for x in labels if x.controlled]).filter("status = 'invalid'")
+    bad = bad.select(F.col("label_id").alias("field"), "value", F.lit("observed_invalid_value_summary").alias("issue"), F.when(F.col("label_id").isin(auto), "warning").otherwise("error").alias("severity"), F.concat(F.lit("count="), F.col("paper_count").cast("string")).alias("detail"))
+    much = missingness(df, [x.label_id for x in labels])
+    said = F.concat(F.col("empty").cast("string"), F.lit("_of_"), F.col("total").cast("string"), F.lit("_rows_empty"))
+    return bad.unionByName(much.select("field", F.lit("").alias("value"), F.lit("high_missingness").alias("issue"), F.lit("warning").alias("severity"), said.alias("detail")))
+
+
 def duplicate_ids(df: DataFrame, key: str) -> DataFrame:
     plain = F.trim(X.text_of(F.col(key)))
     return df.filter(plain != "").groupBy(plain.alias(key)).agg(F.count("*").alias("n")).filter("n > 1")

@@ -1,17 +1,21 @@
 """Whether full texts can be had: screening rows, candidates, earlier answers, and checks of locations.
 
-Every distinct URL is checked once, in parallel, and its answer is joined back.
+Locations are checked position by position: the next one of a row only if none
+before it answers.  Within a position every distinct URL is checked once, in
+parallel, and not at all if a position before has its answer.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from http.client import HTTPException
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from biblion.operators.papers import join_key, last_of
+from biblion.operators.state import held
 
 REUSABLE = ["verified", "provider_claim_only", "not_available", "unverified", "candidate_missing"]
 KEYS = ["key_doi", "key_id"]
@@ -34,7 +38,7 @@ def url_check(request: Callable[[], Request]) -> Callable[[DataFrame], DataFrame
                 for method in ("HEAD", "GET"):
                     try:
                         status, kind, final = ask(method, url)
-                    except (OSError, ValueError) as error:
+                    except (OSError, ValueError, HTTPException) as error:
                         wrong.append(f"{method}: {type(error).__name__}: {error}")
                         continue
                     if 200 <= status < 400:
@@ -48,6 +52,25 @@ def url_check(request: Callable[[], Request]) -> Callable[[DataFrame], DataFrame
     return lambda urls: urls.mapInPandas(run, "url string, ok boolean, content_type string, final_url string, error string")
 
 
+def answered(asked: DataFrame, row: str, check: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``asked`` (row, _at, url) with the answers of those locations that were tried, and ``checked``.
+
+    One round for each position; rows that have an answer take no part in the next.
+    """
+    known = told = None
+    places = [r._at for r in asked.select("_at").distinct().orderBy("_at").collect()]  # as many as a row has locations
+    for at in places:
+        now = asked.filter(F.col("_at") == at)
+        if told is not None:
+            now = now.join(told.filter("ok").select(row).distinct(), row, "left_anti")
+        urls = now.select("url").distinct()
+        new = held(check(urls if known is None else urls.join(known.select("url"), "url", "left_anti")))
+        known = new if known is None else known.unionByName(new)
+        now = now.join(known, "url", "left")
+        told = held(now if told is None else told.unionByName(now))
+    return told if told is not None else asked.join(check(asked.select("url").distinct()), "url", "left")
+
+
 def verified(candidates: DataFrame, screening: DataFrame, ordinal: str, check: Callable[[DataFrame], DataFrame], existing: DataFrame | None = None) -> DataFrame:
     """One row of availability for each screening row.
 
@@ -69,8 +92,8 @@ def verified(candidates: DataFrame, screening: DataFrame, ordinal: str, check: C
     rows = rows.withColumn("_state", state)
 
     asked = rows.filter("_state = 'asked'").select(ordinal, F.posexplode("_locations").alias("_at", "_l")).filter("coalesce(trim(_l.url), '') <> ''")
-    asked = asked.withColumn("url", F.col("_l.url"))
-    told = asked.join(check(asked.select("url").distinct()), "url", "left")
+    asked = held(asked.withColumn("url", F.col("_l.url")))
+    told = answered(asked, ordinal, check)
     # the first that answers; else the first of all, with the last error
     good = F.coalesce(F.col("ok"), F.lit(False))
     best = F.min(F.struct((~good).alias("bad"), F.col("_at").alias("at"), F.col("_l").alias("l"), F.col("content_type").alias("content_type"), F.col("final_url").alias("final")))

@@ -31,9 +31,12 @@ def normalized(df: DataFrame, ordinal: str) -> DataFrame:
     return rows.withColumns({"paper_id": X.first_value(F.col("paper_id"), made), "abstract_available": yes_no(F.col("abstract")), "full_text_available": yes_no(locator), "metadata_notes": notes})
 
 
-def matched_terms(normal: Column, terms: Sequence[str]) -> Column:
-    """The terms that a screening_text() holds: by a variant as whole words, or by most of their tokens."""
-    tokens = X.meaningful_tokens(normal)
+def matched_terms(normal: Column, terms: Sequence[str], tokens: Column | None = None) -> Column:
+    """The terms that a screening_text() holds: by a variant as whole words, or by most of their tokens.
+
+    ``tokens``: the meaningful tokens of the text, where a column holds them already.
+    """
+    tokens = X.meaningful_tokens(normal) if tokens is None else tokens
     hits = []
     for term in terms:
         found = X.token_overlap(tokens, term)
@@ -47,11 +50,14 @@ def scoped(df: DataFrame, include: Sequence[str], exclude: Sequence[str], exclud
     """scope_decision and the terms behind it; a row that matches nothing is included."""
     if text is None:
         text = F.concat_ws(" ", X.text_of(F.col("title")), X.text_of(F.col("abstract")))
-    normal = X.screening_text(text, unescape)
-    rows = df.withColumn("_normal", normal)
-    rows = rows.withColumns({"_in": matched_terms(F.col("_normal"), include), "_out": matched_terms(F.col("_normal"), exclude)})
+    wanted = sorted({t for term in [*include, *exclude] for t in X.term_tokens(term)})
+    # a text is normalized once and split once; of its tokens only those that terms ask for stay
+    rows = df.withColumn("_normal", X.screening_text(text, unescape))
+    asked = F.array(*map(F.lit, wanted)).cast("array<string>")
+    rows = rows.withColumn("_tokens", F.array_intersect(X.meaningful_tokens(F.col("_normal")), asked))
+    rows = rows.withColumns({"_in": matched_terms(F.col("_normal"), include, F.col("_tokens")), "_out": matched_terms(F.col("_normal"), exclude, F.col("_tokens"))})
     away = (F.size("_out") > 0) & (F.lit(exclude_wins) | (F.size("_in") == 0))
-    return rows.withColumns({"scope_decision": F.when(away, "exclude_or_route_elsewhere").otherwise("include"), "scope_matched_include_terms": F.array_join("_in", "; "), "scope_matched_exclude_terms": F.array_join("_out", "; ")}).drop("_normal", "_in", "_out")
+    return rows.withColumns({"scope_decision": F.when(away, "exclude_or_route_elsewhere").otherwise("include"), "scope_matched_include_terms": F.array_join("_in", "; "), "scope_matched_exclude_terms": F.array_join("_out", "; ")}).drop("_normal", "_tokens", "_in", "_out")
 
 
 def included(df: DataFrame, lenient: bool = False) -> DataFrame:
@@ -60,13 +66,43 @@ def included(df: DataFrame, lenient: bool = False) -> DataFrame:
     return df.filter(decision.isin("", "include") if lenient else decision == "include")
 
 
-def is_review(title: Column, kinds: Column | None = None) -> Column:
-    """A review by its title, or by a metadata list that says so."""
-    by_title = F.coalesce(title, F.lit("")).rlike(r"(?i)\breviews?\b|meta-?\s?analys[ie]s|\bscoping study\b")
-    if kinds is None:
-        return by_title
-    listed = F.transform(F.split(X.text_of(kinds), r"[;,|]"), X.slug)
-    return by_title | F.exists(listed, lambda k: k.contains("review") | k.contains("meta_analysis"))
+# What tells a review by its title, by its metadata, and a paper that isn't primary.
+REVIEW_TITLE = r"(?iU)\breviews?\b|\bmeta[-\s]?analys(?:is|es)\b"
+REVIEW_COLUMNS = ["type", "work_type", "publication_type", "publication_types", "article_type", "document_type", "paper_type"]
+REVIEW_KINDS = ["review", "meta_analysis"]
+CANDIDATE_REVIEW_TITLES = ["systematic review", "scoping review", "meta-analysis", "meta analysis", "literature review", "review and meta-analysis"]
+NOT_PRIMARY_TITLES = ["protocol", "study protocol", "trial protocol"]
+
+
+def is_review(title: Column, *kinds: Column) -> Column:
+    """A review by a word of its title, or because a list of metadata names just that kind."""
+    found = X.clean_whitespace(title).rlike(REVIEW_TITLE)
+    for listed in kinds:
+        names = F.transform(F.split(F.lower(X.clean_whitespace(listed)), "[;,|]"), lambda k: F.translate(F.trim(k), "- ", "__"))
+        found = found | F.arrays_overlap(names, F.array(*map(F.lit, REVIEW_KINDS)))
+    return found
+
+
+def review_papers(df: DataFrame) -> Column:
+    """is_review() by the title and all the metadata columns that a table has."""
+    return is_review(F.col("title"), *(F.col(c) for c in REVIEW_COLUMNS if c in df.columns))
+
+
+def is_review_candidate(title: Column, raw_type: Column | None = None) -> Column:
+    """The rule for candidates, another than for papers: phrases within the title, or the provider's type."""
+    low = F.lower(X.text_of(title))
+    found = F.lit(False)
+    for phrase in CANDIDATE_REVIEW_TITLES:
+        found = found | low.contains(phrase)
+    return found if raw_type is None else found | (F.lower(X.text_of(raw_type)) == "review")
+
+
+def is_not_primary(title: Column) -> Column:
+    low = F.lower(X.text_of(title))
+    found = F.lit(False)
+    for phrase in NOT_PRIMARY_TITLES:
+        found = found | low.contains(phrase)
+    return found
 
 
 def split(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:
@@ -100,6 +136,12 @@ def deduplicated(df: DataFrame, key: Column, has_abstract: Column, rank: Column,
     return out
 
 
+def dedupe_counts(df: DataFrame, key: Column) -> DataFrame:
+    """rows_in, groups, duplicates of a deduplication, in one row; keys meet as hashes of 128 bits."""
+    keys = df.groupBy(F.md5(key.cast("binary")).alias("k")).agg(F.count("*").alias("n"))
+    return keys.agg(F.sum("n").alias("rows_in"), F.count("*").alias("groups"), (F.sum("n") - F.count("*")).alias("duplicates"))
+
+
 def first_seen(items: Column, by) -> Column:
     """The items of an array whose key isn't empty and didn't stand before."""
     keyed = F.filter(items, lambda x: by(x) != "")
@@ -154,12 +196,38 @@ def best_then_fill(df: DataFrame, query: Column, score: Column, ordinal: str, mo
     return rows.orderBy("selected_pass", *order).limit(most).drop("_query", "_score", "_id", "_n")
 
 
-def export_rows(df: DataFrame, fit: str | None, tags: Sequence[str]) -> DataFrame:
-    """Rows that fit the topic, each with its first category."""
-    if fit is not None:
-        df = df.filter(F.arrays_overlap(X.multi_values(F.col(fit)), F.array(F.lit("core"), F.lit("adjacent"))))
-    first = X.first_value(*(F.get(X.multi_values(F.col(c)), 0) for c in tags))
-    return df.withColumn("category", F.when(first != "", first).otherwise(F.raise_error(F.lit("a row has no category"))))
+# Fixed values of the export's format.
+EXPORT_CORE = ["title", "categoric", "semantic", "paper_id", "year", "doi"]
+EXPORTED_FITS = ["core_topic", "adjacent_but_relevant"]
+
+
+def export_rows(df: DataFrame, fit: str | None = None, target: str | None = None, claim: str = "main_knowledge_claim") -> DataFrame:
+    """Six core columns and the tag columns of rows that fit the topic.
+
+    Tags are the columns behind the claim, without one all but id, title, year
+    and DOI.  The category is the first value of the fit, else of the target,
+    else of any tag; a row without one is an error.  Without the fit's column
+    every row is exported.
+    """
+    lacking = [c for c in ("paper_id", "title") if c not in df.columns]
+    if lacking:
+        raise ValueError("missing columns: " + ", ".join(lacking))
+    tags = df.columns[df.columns.index(claim) + 1 :] if claim in df.columns else [c for c in df.columns if c not in ("paper_id", "title", "year", "doi")]
+    cell = lambda c: X.text_of(F.col(c)) if c in df.columns else F.lit("")
+    first = lambda c: F.trim(F.substring_index(cell(c), ";", 1))
+    if fit in df.columns:
+        df = df.filter(F.arrays_overlap(X.multi_values(F.col(fit)), F.array(*map(F.lit, EXPORTED_FITS))))
+    category = X.first_value(*(first(c) for c in [fit, target, *tags] if c in df.columns), F.lit(""))
+    said = F.concat(F.lit("no tag value for paper_id="), cell("paper_id"))
+    core = {
+        "title": cell("title"),
+        "categoric": F.when(category != "", category).otherwise(F.raise_error(said).cast("string")),
+        "semantic": X.first_value(F.trim(cell(claim)), F.trim(cell("title"))),
+        "paper_id": cell("paper_id"),
+        "year": cell("year"),
+        "doi": cell("doi"),
+    }
+    return df.select(*(core[c].alias(c) for c in EXPORT_CORE), *(cell(c).alias(c) for c in tags if c not in EXPORT_CORE))
 
 
 def canonical(rows: DataFrame, told: Sequence[str] = ()) -> DataFrame:

@@ -13,21 +13,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from biblion.functions import text as X
-from biblion.operators.papers import included, is_review
+from biblion.operators.papers import exported, included, is_not_primary, is_review_candidate
 
 # They must be these for the results to be right.
-STOPWORDS = """about across after also among and are based application applications been being between both can could
-does evidence explores for from has have how impact into its may methods more not outcomes research settings that the
-their these this through use used using what when where which with within""".split()
-GENERIC = """abstract academic adaptive affects algorithmic analyses analysis analyzing application applications approach
-approaches aspect aspects assess assessing artificial automated based borderline chatbot chatbots chatgpt clearly deep
-directly discuss effect effects effectiveness evidence empirical exclude explore exploring focused focus generative impact
-impacts include implementation indicate indicates investigate investigates intelligent intelligence language large learning
-literature llm machine method methodologies methods meta model models outcome outcomes paper papers performance platform
-platforms processes only related relevant research role review reviews smart study studies studying subtopics summarizing
-support supported supporting systematic system systems technology technologies they title tool tools unrelated""".split()
+STOPWORDS = [
+    "about", "across", "after", "also", "among", "and", "are", "based", "application", "applications", "been", "being", "between", "both", "can",
+    "could", "does", "evidence", "explores", "for", "from", "has", "have", "how", "impact", "into", "its", "may", "methods", "more", "not",
+    "outcomes", "research", "settings", "that", "the", "their", "these", "this", "through", "use", "used", "using", "what", "when", "where", "which",
+    "with", "within",
+]
+GENERIC = [
+    "abstract", "academic", "adaptive", "affects", "algorithmic", "analyses", "analysis", "analyzing", "application", "applications", "approach",
+    "approaches", "aspect", "aspects", "assess", "assessing", "artificial", "automated", "based", "borderline", "chatbot", "chatbots", "chatgpt",
+    "clearly", "deep", "directly", "discuss", "effect", "effects", "effectiveness", "evidence", "empirical", "exclude", "explore", "exploring",
+    "focused", "focus", "generative", "impact", "impacts", "include", "implementation", "indicate", "indicates", "investigate", "investigates",
+    "intelligent", "intelligence", "language", "large", "learning", "literature", "llm", "machine", "method", "methodologies", "methods", "meta",
+    "model", "models", "outcome", "outcomes", "paper", "papers", "performance", "platform", "platforms", "processes", "only", "related", "relevant",
+    "research", "role", "review", "reviews", "smart", "study", "studies", "studying", "subtopics", "summarizing", "support", "supported",
+    "supporting", "systematic", "system", "systems", "technology", "technologies", "they", "title", "tool", "tools", "unrelated",
+]
+#: Words that say nothing of a topic when primary papers are chosen: another list than that of refinement.
+CALIBRATION_GENERIC = [
+    "academic", "adaptive", "affects", "algorithmic", "analyses", "analysis", "analyzing", "application", "applications", "approach", "approaches",
+    "aspects", "artificial", "automated", "based", "borderline", "chatbot", "chatbots", "chatgpt", "clearly", "deep", "directly", "discuss", "effect",
+    "effects", "evidence", "empirical", "exclude", "explore", "exploring", "focused", "generative", "impact", "impacts", "include", "implementation",
+    "intelligent", "intelligence", "language", "large", "learning", "literature", "llm", "machine", "method", "methodologies", "methods", "meta",
+    "model", "models", "outcome", "outcomes", "paper", "papers", "performance", "processes", "relevant", "research", "role", "review", "reviews",
+    "smart", "study", "studies", "studying", "systematic", "system", "systems", "technology", "technologies", "they", "tool", "tools", "unrelated",
+]
 REVIEW_EVIDENCE = ["systematic review", "scoping review", "rapid review", "umbrella review", "meta-analysis", "review", "overview", "survey"]
-NOT_PRIMARY = ["protocol", "study protocol", "trial protocol"]
 LEAST_TITLE_TOKENS = LEAST_TEXT_TOKENS = 2
 
 
@@ -127,21 +141,74 @@ def eligible(df: DataFrame, contract: dict, title: str = "title", text: str = "t
     return told.select(*df.columns, F.coalesce(why, F.lit("")).alias("why")).withColumn("eligible", F.col("why") == "")
 
 
+def calibration_terms(contract: dict) -> list[str]:
+    """Tokens of four letters and more of the contract that say something of its topic."""
+    words = words_of(_texts({**contract, "collection": {}}, ["include_criteria", "boundary_rules"]))
+    return [w for w in words if len(w) >= 4 and w not in CALIBRATION_GENERIC]
+
+
 def calibration_papers(df: DataFrame, contract: dict, most: int, ordinal: str, text: str = "text") -> DataFrame:
-    """The ``most`` primary papers whose texts hold most of the topic's words.
+    """The ``most`` primary papers in scope whose texts hold most of the topic's words.
 
     Of rows with one identity (DOI, id or title) the first counts, before
     reviews, protocols and papers without two of the words are left out.
     """
     if most < 1:
         raise ValueError("most must be at least 1.")
-    terms = specific_terms(contract)
+    terms = calibration_terms(contract)
     own = X.first_value(*(F.lower(F.trim(X.text_of(F.col(c)))) for c in ("doi", "paper_id", "title")))
-    rows = included(df, lenient=True).withColumn("_own", F.when(own != "", own).otherwise(F.concat(F.lit("paper_"), F.col(ordinal).cast("string"))))
+    rows = included(df).withColumn("_own", F.when(own != "", own).otherwise(F.concat(F.lit("paper_"), F.col(ordinal).cast("string"))))
     rows = rows.withColumn("_w", F.row_number().over(Window.partitionBy("_own").orderBy(ordinal))).filter("_w = 1")
-    protocol = F.lower(X.text_of(F.col("title"))).rlike("|".join(NOT_PRIMARY))
-    rows = rows.filter(~is_review(F.col("title")) & ~protocol)
-    n = {c: F.size(_shared(tokens(F.col(c)), terms)) for c in ("title", "abstract", text)}
+    rows = rows.filter(~is_review_candidate(F.col("title")) & ~is_not_primary(F.col("title")))
+    # tokens are worked out once, in columns of their own
+    rows = rows.withColumns({f"_{c}": tokens(F.col(c)) for c in ("title", "abstract", text)})
+    n = {c: F.size(_shared(F.col(f"_{c}"), terms)) for c in ("title", "abstract", text)}
     rows = rows.withColumn("matches", n[text]).filter(F.col("matches") >= LEAST_TEXT_TOKENS)
     rows = rows.withColumn("score", 10 * n["title"] + 4 * n["abstract"] + F.col("matches"))
     return rows.orderBy(F.desc("matches"), F.desc("score"), ordinal).limit(most).select(*df.columns, "matches", "score")
+
+
+def _primary(rows: DataFrame) -> DataFrame:
+    """What ``exported`` gives, with ``_kind``: a review, a paper that isn't primary, or a primary one."""
+    fields = {f.name: f.dataType.simpleString() for f in rows.schema["candidate"].dataType}
+    kind = None
+    if "raw_record" in fields:
+        raw = F.col("candidate.raw_record")
+        kind = F.try_variant_get(raw, "$.type", "string") if fields["raw_record"] == "variant" else F.get_json_object(raw.cast("string"), "$.type")
+    title = F.col("candidate.title")
+    return rows.withColumn("_kind", F.when(is_review_candidate(title, kind), "review").when(is_not_primary(title), "non_primary").otherwise("primary"))
+
+
+def selected_for_calibration(candidates: DataFrame, screening: DataFrame, ordinal: str, most: int) -> DataFrame:
+    """The first ``most`` included screening rows, by tier and rank, with their candidates, if they are primary papers.
+
+    An included row without a candidate is an error; each row tells why it was chosen.
+    """
+    if most < 1:
+        raise ValueError("most must be at least 1.")
+    rows = _primary(exported(candidates, screening, ordinal)).filter("_kind = 'primary'").drop("_kind")
+    said = [F.lit("Selected for collection-time contract calibration")]
+    for c in ("title_relevance_tier", "source_rank", "screening_confidence"):
+        if c in screening.columns:
+            said.append(F.when(X.text_of(F.col(c)) != "", F.concat(F.lit(f"{c}="), F.col(c).cast("string"))))
+    rows = rows.withColumn("calibration_selection_reason", F.concat_ws("; ", *said))
+    return rows.orderBy(*_calibration_order(ordinal)).limit(most)
+
+
+def _calibration_order(ordinal: str) -> list[Column]:
+    return [X.safe_int(F.col("title_relevance_tier")), X.safe_int(F.col("source_rank")), F.col(ordinal)]
+
+
+def calibration_counts(candidates: DataFrame, screening: DataFrame, ordinal: str, most: int) -> DataFrame:
+    """selected, skipped_reviews, skipped_non_primary: what was passed over until ``most`` were chosen."""
+    rows = _primary(exported(candidates, screening, ordinal)).select("_kind", F.struct(*_calibration_order(ordinal)).alias("o"))
+    chosen = rows.filter("_kind = 'primary'").orderBy("o").limit(most).agg(F.count("*").alias("n"), F.max("o").alias("last"))
+    # fewer than asked for: everything was looked at
+    seen = rows.join(F.broadcast(chosen), (F.col("n") < most) | (F.col("o") <= F.col("last")))
+    return seen.agg(F.count_if(F.col("_kind") == "primary").alias("selected"), F.count_if(F.col("_kind") == "review").alias("skipped_reviews"), F.count_if(F.col("_kind") == "non_primary").alias("skipped_non_primary"))
+
+
+def review_seeds(df: DataFrame, contract: dict, this_year: int, most: int, ordinal: str) -> DataFrame:
+    """The candidates of the best review scores, the first of equals, with their ``place`` from 1."""
+    best = scored(df, contract, this_year).orderBy(F.desc("review_score"), ordinal).limit(most)
+    return best.withColumn("place", F.row_number().over(Window.orderBy(F.desc("review_score"), ordinal)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Sequence
 from itertools import count
 
@@ -27,18 +28,32 @@ def accepted(df: DataFrame, query: str, order: Sequence[Column], remaining: int,
     return df.withColumn("accept_rank", n).filter(F.col("accept_rank") <= most)
 
 
+def held(df: DataFrame) -> DataFrame:
+    """``df`` written as a checkpoint, in the folder that all executors share: lineage ends there."""
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            folder = tempfile.mkdtemp(prefix="checkpoints-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def ranked(df: DataFrame, order: Sequence[Column], rank: str = "rank", after: int = 0) -> DataFrame:
     """Ranks 1 to n over all rows, after ``after``.
 
-    Ranges of the order are numbered in parallel; only their sizes meet.
+    The ordered ranges are written once, each row with its place in its range,
+    so that no second reading can part them otherwise; only their sizes meet.
     """
-    spread = df.repartitionByRange(*order)
-    part = F.spark_partition_id()
-    placed = spread.withColumn("_part", part)
-    placed = placed.withColumn("_own", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")
-    return placed.join(F.broadcast(before), "_part").withColumn(rank, F.col("_before") + F.col("_own") + after).drop("_part", "_own", "_before")
+    placed = held(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part, own = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.select("_part", before.alias("_before"))  # one row a range
+    return placed.withColumns({"_part": part, "_own": own + 1}).join(F.broadcast(sizes), "_part").withColumn(rank, F.col("_before") + F.col("_own") + after).drop("_part", "_own", "_before", "_at")
 
 
 def reused(new: DataFrame, done: DataFrame, keys: Sequence[str], check: Callable[[DataFrame], DataFrame], skipped: Column | None = None) -> DataFrame:
@@ -56,12 +71,6 @@ def checked_once(df: DataFrame, url: str, check: Callable[[DataFrame], DataFrame
 
 def topped_up(start: DataFrame, fetch: Callable[[int], DataFrame | None], enough: Callable[[DataFrame], bool], key: str, ordinal: str, write: Callable[[DataFrame, int], DataFrame], rounds: int | None = None) -> tuple[DataFrame, str]:
     """Fetch, keep what is unseen, write, until there is enough, nothing new, or no more to fetch; ``rounds``, if given, ends it before."""
-    # lineage ends each round: in the checkpoint folder if there is one
-    kept = start.sparkSession.sparkContext.getCheckpointDir() is not None
-
-    def held(df: DataFrame) -> DataFrame:
-        return df.checkpoint() if kept else df.localCheckpoint()
-
     rows = start
     for n in count(1) if rounds is None else range(1, rounds + 1):
         if enough(rows):

@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from biblion.functions import text as X
-from biblion.operators import audit, availability, documents, matching, model, papers, reviews, seeds, state
+from biblion.operators import audit, availability, documents, matching, model, papers, reviews, seeds, sets, state
 from biblion.operators.audit import Category, Label
 from biblion.operators.matching import Topic, TopicSpec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-INCLUDE, EXCLUDE = ["thing the", "on the ing of", "and"], ["all rights reserved", "apache license"]
+INCLUDE, EXCLUDE = ["thing the", "on the ing of", "and", "urban heat islands"], ["all rights reserved", "apache license"]
 SPEC = TopicSpec(
     [
         Topic("anchor", ["the", "de"]),
@@ -97,8 +97,7 @@ def dedupe_provenance(spark, sf_dir):
 
 @query(f"SELECT count(*) AS rows_in, count(DISTINCT {_KEY}) AS groups, count(*) - count(DISTINCT {_KEY}) AS duplicates FROM documents")
 def dedupe_stats(spark, sf_dir):
-    keys = as_papers(spark, sf_dir).groupBy(_dedupe_key().alias("k")).agg(F.count("*").alias("n"))
-    return keys.agg(F.sum("n").alias("rows_in"), F.count("*").alias("groups"), (F.sum("n") - F.count("*")).alias("duplicates"))
+    return papers.dedupe_counts(as_papers(spark, sf_dir), _dedupe_key())
 
 
 def _sql_stem(t: str) -> str:
@@ -109,37 +108,32 @@ _STOP = "[" + ", ".join(f"'{w}'" for w in X.STOPWORDS) + "]"
 _TOKENS = f"list_transform(list_filter(string_split(t, ' '), lambda x: x <> '' AND NOT list_contains({_STOP}, x)), lambda x: {_sql_stem('x')})"
 
 
-def _sql_term(term: str) -> str:
-    parts = [f"contains(' ' || t || ' ', ' {v} ')" for v in X.term_variants(term)]
-    wanted = X.term_tokens(term)
-    if len(wanted) >= 2:
-        need = 2 if len(wanted) == 2 else max(2, int(len(wanted) * 0.67))
-        parts.append("(" + " + ".join(f"list_contains(k, '{w}')::INT" for w in wanted) + f") >= {need}")
-    return f"CASE WHEN {' OR '.join(parts)} THEN '{term}' END"
-
-
-def _sql_terms(terms: list[str]) -> str:
-    return "list_filter([" + ", ".join(map(_sql_term, terms)) + "], lambda x: x IS NOT NULL)"
-
-
+# no document holds a character reference, so that texts need no unescaping here; html_unescape has its own query
 @query(f"""WITH n AS (SELECT doc_id, t, {_TOKENS} AS k FROM (SELECT doc_id, {_SCREEN} AS t FROM documents)),
-m AS (SELECT doc_id, {_sql_terms(INCLUDE)} AS i, {_sql_terms(EXCLUDE)} AS e FROM n)
+m AS (SELECT doc_id, list_filter([
+CASE WHEN contains(' ' || t || ' ', ' thing the ') THEN 'thing the' END,
+CASE WHEN contains(' ' || t || ' ', ' on the ing of ') THEN 'on the ing of' END,
+CASE WHEN contains(' ' || t || ' ', ' and ') THEN 'and' END,
+CASE WHEN contains(' ' || t || ' ', ' urban heat islands ') OR contains(' ' || t || ' ', ' uhi ') OR (list_contains(k, 'urban')::INT + list_contains(k, 'heat')::INT + list_contains(k, 'island')::INT) >= 2 THEN 'urban heat islands' END], lambda x: x IS NOT NULL) AS i,
+list_filter([
+CASE WHEN contains(' ' || t || ' ', ' all rights reserved ') OR contains(' ' || t || ' ', ' arr ') OR (list_contains(k, 'all')::INT + list_contains(k, 'right')::INT + list_contains(k, 'reserved')::INT) >= 2 THEN 'all rights reserved' END,
+CASE WHEN contains(' ' || t || ' ', ' apache license ') OR contains(' ' || t || ' ', ' al ') OR (list_contains(k, 'apache')::INT + list_contains(k, 'license')::INT) >= 2 THEN 'apache license' END], lambda x: x IS NOT NULL) AS e FROM n)
 SELECT doc_id, CASE WHEN len(e) > 0 THEN 'exclude_or_route_elsewhere' ELSE 'include' END AS scope_decision, array_to_string(i, '; ') AS included_by, array_to_string(e, '; ') AS excluded_by FROM m""")
 def scope_screen(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    out = papers.scoped(docs, INCLUDE, EXCLUDE, text=F.col("text"), unescape=False)
+    out = papers.scoped(docs, INCLUDE, EXCLUDE, text=F.col("text"))
     return out.select("doc_id", "scope_decision", F.col("scope_matched_include_terms").alias("included_by"), F.col("scope_matched_exclude_terms").alias("excluded_by"))
 
 
 @query(f"""SELECT doc_id, len({_TOKENS}) AS n_tokens, (list_contains({_TOKENS}, 'thing')::INT + list_contains({_TOKENS}, 'ion')::INT + list_contains({_TOKENS}, 'er')::INT) >= 2 AS overlaps
 FROM (SELECT doc_id, {_SCREEN} AS t FROM documents)""")
 def token_overlap(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", X.meaningful_tokens(X.screening_text(F.col("text"), False)).alias("k"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", X.meaningful_tokens(X.screening_text(F.col("text"))).alias("k"))
     return rows.select("doc_id", F.size("k").cast("long").alias("n_tokens"), X.token_overlap(F.col("k"), "things ions er").alias("overlaps"))
 
 
 def _matched(spark, sf_dir) -> DataFrame:
-    return matching.matched(as_papers(spark, sf_dir), SPEC, unescape=False)
+    return matching.matched(as_papers(spark, sf_dir), SPEC)
 
 
 def _sql_match(field: str) -> str:
@@ -147,11 +141,22 @@ def _sql_match(field: str) -> str:
     return f"regexp_replace(regexp_replace(regexp_replace({text}, '<[^>]+>', ' ', 'g'), '[‐-―]', '-', 'g'), '[‘’ʼ'']', '', 'g')"
 
 
+_B, _E = "(?i)(?:^|[^A-Za-z0-9])", "(?:$|[^A-Za-z0-9])"
 _LONG = " UNION ALL ".join(
-    f"SELECT doc_id, '{t.topic_id}' AS topic_id, '{t.kind}' AS kind, '{t.group_id}' AS group_id, '{term}' AS \"value\", '{f}' AS field FROM d WHERE regexp_matches({f}, '{X.term_pattern(term, lookaround=False)}')"
-    for t in SPEC.topics
-    for term in t.terms
-    for f in matching._fields(t)
+    f"""SELECT doc_id, '{topic}' AS topic_id, '{kind}' AS kind, '{group}' AS group_id, '{term}' AS "value", '{f}' AS field FROM d WHERE regexp_matches({f}, '{_B}{pattern}{_E}')"""
+    for topic, kind, group, term, pattern, fields in (
+        ("anchor", "main", "", "the", "thes?", ("title", "abstract")),
+        ("anchor", "main", "", "de", "de", ("title", "abstract")),
+        ("second", "main", "", "thing", "things?", ("abstract",)),
+        ("second", "main", "", "ion the", "ions?[\\s\\-]+thes?", ("abstract",)),
+        ("second", "main", "", "que", "ques?", ("abstract",)),
+        ("third", "main", "", "ering", "erings?", ("title",)),
+        ("second", "secondary", "g1", "entry", "entr(?:y|ies)", ("abstract",)),
+        ("second", "secondary", "g1", "licensed", "licenseds?", ("abstract",)),
+        ("third", "secondary", "g2", "ti", "ti", ("title", "abstract")),
+        ("third", "secondary", "g2", "ed the", "ed[\\s\\-]+thes?", ("title", "abstract")),
+    )
+    for f in fields
 )
 _MATCHED = f"""WITH d AS (SELECT doc_id, source, {_sql_match('title')} AS title, {_sql_match('abstract')} AS abstract FROM documents), l AS ({_LONG}),
 m AS (SELECT doc_id, bool_or(kind = 'main' AND topic_id = 'anchor') AS anchor, """ + ", ".join(f"bool_or(kind = '{k}' AND topic_id = '{t}') AS {k}_{t}" for k in ("main", "secondary") for t in ("second", "third")) + """,
@@ -226,7 +231,7 @@ def anti_seen(spark, sf_dir):
 @query("SELECT doc_id, source, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)")
 def semi_ids(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "source", "lang"), table(spark, sf_dir, "labels")
-    return docs.join(labels.filter("quality = 1"), "doc_id", "left_semi").join(labels.filter("toxic = 1"), "doc_id", "left_anti")
+    return sets.listed(docs, labels.filter("quality = 1"), "doc_id", without=labels.filter("toxic = 1"))
 
 
 @query("SELECT o_orderkey, c_name, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING' ORDER BY o_totalprice DESC, o_orderkey LIMIT 50")
@@ -246,8 +251,7 @@ def first_per_group_then_fill(spark, sf_dir):
 @query("SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS n FROM orders) WHERE n = 1")
 def best_per_key(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
-    best = orders.groupBy("o_custkey").agg(F.max_by(F.struct("o_orderkey", "o_totalprice"), F.struct("o_totalprice", -F.col("o_orderkey"))).alias("r"))
-    return best.select("o_custkey", "r.*")
+    return sets.best_of(orders, ["o_custkey"], "o_totalprice", "o_orderkey")
 
 
 @query("SELECT 'cell' AS label_id, v AS \"value\", 'valid' AS status, count(*) AS paper_count FROM (SELECT lang AS v FROM documents UNION ALL SELECT source FROM documents) GROUP BY v")
@@ -346,35 +350,50 @@ def global_rank(spark, sf_dir):
 @query("""SELECT key, first_source FROM (SELECT key, first_source, row_number() OVER (PARTITION BY key ORDER BY o, i) AS n FROM (
 SELECT lower(text) AS key, 'documents' AS first_source, 1 AS o, doc_id AS i FROM documents UNION ALL SELECT lower(text), 'benchmark', 2, item_id FROM benchmark)) WHERE n = 1""")
 def union_first_seen(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select(F.lower("text").alias("key"), F.lit("documents").alias("first_source"), F.struct(F.lit(1).alias("o"), F.col("doc_id").alias("i")).alias("at"))
-    bench = table(spark, sf_dir, "benchmark").select(F.lower("text").alias("key"), F.lit("benchmark").alias("first_source"), F.struct(F.lit(2).alias("o"), F.col("item_id").alias("i")).alias("at"))
-    return docs.unionByName(bench).groupBy("key").agg(F.min_by("first_source", "at").alias("first_source"))
+    docs = table(spark, sf_dir, "documents").select(F.lower("text").alias("key"), F.lit("documents").alias("first_source"), F.col("doc_id").alias("i"))
+    bench = table(spark, sf_dir, "benchmark").select(F.lower("text").alias("key"), F.lit("benchmark").alias("first_source"), F.col("item_id").alias("i"))
+    return sets.union_distinct([docs, bench], "key", "i").select("key", "first_source")
 
 
 @query("SELECT 'both' AS kind, k FROM (SELECT c_custkey AS k FROM customer INTERSECT SELECT o_custkey FROM orders) UNION ALL SELECT 'without_orders', k FROM (SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders)")
 def set_ops(spark, sf_dir):
     customers, orders = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"))
-    both, lone = customers.intersect(orders), customers.exceptAll(orders.distinct()).distinct()
+    both, lone = sets.intersection(customers, orders, "k"), sets.difference(customers, orders, "k")
     return both.select(F.lit("both").alias("kind"), "k").unionByName(lone.select(F.lit("without_orders").alias("kind"), "k"))
 
 
-@query("SELECT doc_id, array_to_string(string_split(text, ' '), ' ') AS text FROM documents")
+@query("SELECT doc_id, text FROM documents")
 def rebuild_text(spark, sf_dir):
-    words = table(spark, sf_dir, "documents").select("doc_id", F.split("text", " ").alias("w"))
-    distinct = F.array_distinct("w")
+    words = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("p", "w"))
     # word -> positions, as providers send abstracts
-    entries = F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.struct(F.lpad(i.cast("string"), 9, "0").alias("key"), F.array(i).alias("p")))
-    placed = F.transform(entries, lambda e: F.struct(e["p"].alias("p"), F.get("w", F.get(e["p"], 0)).alias("w")))
-    return words.withColumn("d", F.size(distinct)).select("doc_id", F.array_join(F.transform(F.array_sort(placed), lambda x: x["w"]), " ").alias("text"))
+    index = words.groupBy("doc_id", "w").agg(F.collect_list("p").alias("at")).groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("w", "at"))).alias("i"))
+    return index.select("doc_id", X.inverted_index_text(F.col("i")).alias("text"))
+
 
+_TITLES = "CASE doc_id % 8 WHEN 0 THEN 'A Review of ' WHEN 1 THEN 'peer reviewed ' WHEN 2 THEN 'Meta-Analyses: ' WHEN 3 THEN 'metaanalysis ' WHEN 4 THEN 'A scoping study ' WHEN 5 THEN 'Previews ' ELSE '' END || split_part(text, chr(10), 1)"
+_KINDS = "CASE doc_id % 5 WHEN 0 THEN 'article; Review' WHEN 1 THEN 'peer reviewed article' WHEN 2 THEN 'Meta-Analysis|x' ELSE '' END"
 
-@query("SELECT doc_id, regexp_matches(lower(split_part(text, chr(10), 1)), '(^|[^a-z0-9_])reviews?($|[^a-z0-9_])') AS likely_review FROM documents")
+
+def _reviewable(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.expr(_TITLES.replace("split_part(text, chr(10), 1)", "substring_index(text, '\\n', 1)")).alias("title"), F.expr(_KINDS).alias("article_type"))
+
+
+@query(f"""WITH d AS (SELECT doc_id, lower({_TITLES}) AS t, lower({_KINDS}) AS k FROM documents)
+SELECT doc_id, regexp_matches(t, '(^|[^a-z0-9_])reviews?($|[^a-z0-9_])') OR regexp_matches(t, '(^|[^a-z0-9_])meta[-\\s]?analys(is|es)($|[^a-z0-9_])')
+OR list_has_any(list_transform(regexp_split_to_array(k, '[;,|]'), lambda x: replace(replace(trim(x), '-', '_'), ' ', '_')), ['review', 'meta_analysis']) AS likely_review FROM d""")
 def review_filter(spark, sf_dir):
-    rows = as_papers(spark, sf_dir)
-    reviews, others = papers.split(rows, papers.is_review(F.col("title")))
+    rows = _reviewable(spark, sf_dir)
+    reviews, others = papers.split(rows, papers.review_papers(rows))
     return others.select("doc_id", F.lit(False).alias("likely_review")).unionByName(reviews.select("doc_id", F.lit(True).alias("likely_review")))
 
 
+@query(f"""WITH d AS (SELECT doc_id, lower({_TITLES}) AS t FROM documents)
+SELECT doc_id, contains(t, 'systematic review') OR contains(t, 'scoping review') OR contains(t, 'meta-analysis') OR contains(t, 'meta analysis') OR contains(t, 'literature review') OR doc_id % 11 = 0 AS review, contains(t, 'protocol') AS not_primary FROM d""")
+def candidate_review_filter(spark, sf_dir):
+    rows, kind = _reviewable(spark, sf_dir), F.when(F.col("doc_id") % 11 == 0, "Review").otherwise("article")
+    return rows.select("doc_id", papers.is_review_candidate(F.col("title"), kind).alias("review"), papers.is_not_primary(F.col("title")).alias("not_primary"))
+
+
 @query("SELECT c_custkey, regexp_replace(regexp_replace(lower(c_name), '[^a-z0-9]+', '_', 'g'), '^_|_$', '', 'g') AS slug, 'Smith and ' || c_mktsegment AS label, '(Smith and ' || c_mktsegment || ', 2020)' AS inline FROM customer")
 def citation_labels(spark, sf_dir):
     rows = table(spark, sf_dir, "customer").withColumn("authors", F.concat(F.lit("Smith, John; Jane "), "c_mktsegment"))
@@ -386,10 +405,12 @@ def url_functions(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", X.cache_url(F.col("url")).alias("cache_key"), X.is_http_url(F.col("url")).alias("valid"))
 
 
-@query("""SELECT doc_id, lang AS category FROM documents WHERE source IN ('src1', 'src2')""")
+@query(f"""SELECT {_TITLE} AS title, CASE source WHEN 'src1' THEN 'core_topic' ELSE 'off_topic' END AS categoric, CASE WHEN doc_id % 2 = 0 THEN 'claim ' || doc_id ELSE trim({_TITLE}) END AS semantic,
+doc_id::VARCHAR AS paper_id, '2020' AS year, '' AS doi, CASE source WHEN 'src1' THEN 'core_topic; x' ELSE 'off_topic; adjacent_but_relevant' END AS fit, lang || '; other' AS tag FROM documents WHERE source IN ('src1', 'src2')""")
 def analytics_export(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("source").isin("src1", "src2"), "core; x").otherwise("off").alias("fit"), F.concat("lang", F.lit("; other")).alias("tag"))
-    return papers.export_rows(rows, "fit", ["tag"]).select("doc_id", "category")
+    fit = F.when(F.col("provider") == "src1", "core_topic; x").when(F.col("provider") == "src2", "off_topic; adjacent_but_relevant").otherwise("off_topic")
+    rows = as_papers(spark, sf_dir).select(F.col("doc_id").cast("string").alias("paper_id"), "title", F.lit("2020").alias("year"), F.lit("").alias("doi"), F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("claim "), "doc_id")).otherwise("").alias("main_knowledge_claim"), fit.alias("fit"), F.concat("lang", F.lit("; other")).alias("tag"))
+    return papers.export_rows(rows, "fit", "tag")
 
 
 @query("""SELECT 'malformed_quote_json' AS issue, 'error' AS severity, item_id FROM benchmark WHERE item_id % 3 = 0
@@ -437,8 +458,12 @@ def _sql_list(words) -> str:
     return "[" + ", ".join(f"'{w}'" for w in words) + "]::VARCHAR[]"
 
 
+_PLAIN_STOP = """about across after also among and are based application applications been being between both can could does evidence explores for from has have how
+impact into its may methods more not outcomes research settings that the their these this through use used using what when where which with within""".split()
+
+
 def _sql_tokens(key: str) -> str:
-    return f"list_distinct(list_filter(string_split({key}, ' '), lambda w: (len(w) >= 3 OR w = 'ai') AND NOT list_contains({_sql_list(seeds.STOPWORDS)}, w)))"
+    return f"list_distinct(list_filter(string_split({key}, ' '), lambda w: (len(w) >= 3 OR w = 'ai') AND NOT list_contains({_sql_list(_PLAIN_STOP)}, w)))"
 
 
 def _sql_shared(tokens: str, words) -> str:
@@ -446,17 +471,18 @@ def _sql_shared(tokens: str, words) -> str:
 
 
 def _sql_held(terms) -> str:
-    return "(" + " + ".join(f"contains(k, '{seeds.plain(t)}')::INT" for t in terms) + ")"
+    return "(" + " + ".join(f"contains(k, '{t}')::INT" for t in terms) + ")"
 
 
 _WORDS = {"titled": ["thanea", "attion"], "wanted": ["rights", "thane"], "researched": ["thanea", "attion", "eriner", "anea", "license"], "scoped": ["version", "menu"]}
 _TERMS = ["thanea", "attion", "eriner", "anea", "license", "rights", "reserved", "thanedble", "apache", "version"]
+_PHRASES = ["thanea attion", "eriner and anea", "eriner and anea of", "and anea of the license", "anea of the license", "rights reserved", "thanedble anea", "apache license"]
 _TITLE_KEY = f"trim(regexp_replace(lower({_TITLE}), '[^a-z0-9]+', ' ', 'g'))"
 
 
 @query(f"""WITH d AS (SELECT doc_id, n_chars AS c, (1990 + doc_id % 40)::INT AS y, text, trim(regexp_replace(lower({_TITLE} || ' ' || text || ' ' || source), '[^a-z0-9]+', ' ', 'g')) AS k FROM documents),
 t AS (SELECT *, {_sql_tokens('k')} AS w FROM d),
-n AS (SELECT *, {', '.join(f"{_sql_shared('w', v)} AS {k}" for k, v in _WORDS.items())}, {_sql_held(['rights', 'thane'])} AS i, {_sql_held(['cookie'])} AS e, {_sql_held(seeds.REVIEW_EVIDENCE)} AS r, greatest(0, 2025 - y) AS age FROM t)
+n AS (SELECT *, {', '.join(f"{_sql_shared('w', v)} AS {k}" for k, v in _WORDS.items())}, {_sql_held(['rights', 'thane'])} AS i, {_sql_held(['cookie'])} AS e, {_sql_held(['systematic review', 'scoping review', 'rapid review', 'umbrella review', 'meta analysis', 'review', 'overview', 'survey'])} AS r, greatest(0, 2025 - y) AS age FROM t)
 SELECT doc_id, i > 0 OR wanted > 0 OR titled > 0 AS on_topic, round(30 * titled + 18 * wanted + 6 * researched + 2 * scoped + least(180, 60 * i) - 120 * e - CASE WHEN i > 0 OR wanted > 0 OR titled > 0 THEN 0 ELSE 120 END
 + least(8, 1.2 * ln(1 + c)) + least(6, 1.5 * ln(1 + c / greatest(1, 2025 - y + 1))) + CASE WHEN age <= 2 THEN 15 WHEN age <= 5 THEN 12 WHEN age <= 10 THEN 8 WHEN age <= 20 THEN 4 ELSE 1 END
 + CASE WHEN text <> '' THEN 5 ELSE 0 END + least(12, 4 * r), 3) AS score FROM n""")
@@ -468,20 +494,28 @@ def seed_score(spark, sf_dir):
 @query(f"""WITH d AS (SELECT doc_id, text, {_TITLE_KEY} AS tk, {_sql_tokens(_TITLE_KEY)} AS tw, {_sql_tokens(_KEY)} AS xw FROM documents),
 m AS (SELECT doc_id, text, tk, list_intersect(tw, {_sql_list(_TERMS)}) AS t, list_intersect(xw, {_sql_list(_TERMS)}) AS x FROM d)
 SELECT doc_id, CASE WHEN trim(text) = '' OR text IS NULL THEN 'no_text'
-WHEN NOT (len(t) >= 2 OR (len(t) > 0 AND ({' OR '.join(f"contains(' ' || tk || ' ', ' {p} ')" for p in seeds.phrases(CONTRACT))}))) THEN 'title_off_topic'
+WHEN NOT (len(t) >= 2 OR (len(t) > 0 AND ({' OR '.join(f"contains(' ' || tk || ' ', ' {p} ')" for p in _PHRASES)}))) THEN 'title_off_topic'
 WHEN NOT (len(x) >= 2 OR list_has_any(t, x)) THEN 'text_off_topic' ELSE '' END AS why FROM m""")
 def topic_eligibility(spark, sf_dir):
     rows = as_papers(spark, sf_dir).withColumnRenamed("abstract", "text")
     return seeds.eligible(rows, CONTRACT).select("doc_id", "why")
 
 
-@query(f"""WITH d AS (SELECT doc_id, {_TITLE} AS title, {_sql_shared(_sql_tokens(_TITLE_KEY), _TERMS)} AS t, {_sql_shared(_sql_tokens(_KEY), _TERMS)} AS x,
-row_number() OVER (PARTITION BY CASE WHEN trim({_TITLE}) <> '' THEN lower(trim({_TITLE})) ELSE 'paper_' || doc_id END ORDER BY doc_id) AS w FROM documents)
-SELECT doc_id, x AS matches, 10 * t + 5 * x AS score FROM d WHERE w = 1 AND x >= 2 AND NOT contains(lower(title), 'protocol') AND NOT regexp_matches(lower(title), '(^|[^a-z0-9_])reviews?($|[^a-z0-9_])|meta-?\\s?analys[ie]s|scoping study')
+# another list of words than that of eligibility: "platform" counts here, and "ai" doesn't
+_CHOSEN = ["thanea", "attion", "eriner", "anea", "license", "rights", "reserved", "thanedble", "apache", "version", "platform"]
+_SUBJECT = f"CASE doc_id % 9 WHEN 0 THEN 'A review of platform ai ' WHEN 1 THEN 'Systematic Review ' WHEN 2 THEN 'Study protocol ' WHEN 3 THEN 'Platform ' ELSE '' END || {_TITLE}"
+_SUBJECT_KEY = f"trim(regexp_replace(lower({_SUBJECT}), '[^a-z0-9]+', ' ', 'g'))"
+
+
+@query(f"""WITH d AS (SELECT doc_id, {_SUBJECT} AS title, {_sql_shared(_sql_tokens(_SUBJECT_KEY), _CHOSEN)} AS t, {_sql_shared(_sql_tokens(_KEY), _CHOSEN)} AS x,
+row_number() OVER (PARTITION BY CASE WHEN trim({_SUBJECT}) <> '' THEN lower(trim({_SUBJECT})) ELSE 'paper_' || doc_id END ORDER BY doc_id) AS w FROM documents WHERE lang <> 'es')
+SELECT doc_id, x AS matches, 10 * t + 5 * x AS score FROM d WHERE w = 1 AND x >= 2 AND NOT contains(lower(title), 'protocol') AND NOT contains(lower(title), 'systematic review')
 ORDER BY matches DESC, score DESC, doc_id LIMIT 20""")
 def calibration_topk(spark, sf_dir):
-    rows = as_papers(spark, sf_dir).select("doc_id", F.lit("").alias("doi"), F.lit("").alias("paper_id"), "title", "abstract", F.col("abstract").alias("text"), F.lit("").alias("scope_decision"))
-    return seeds.calibration_papers(rows, CONTRACT, 20, "doc_id").select("doc_id", F.col("matches").cast("long").alias("matches"), F.col("score").cast("long").alias("score"))
+    rows = as_papers(spark, sf_dir).withColumn("title", F.concat(F.expr("CASE doc_id % 9 WHEN 0 THEN 'A review of platform ai ' WHEN 1 THEN 'Systematic Review ' WHEN 2 THEN 'Study protocol ' WHEN 3 THEN 'Platform ' ELSE '' END"), "title"))
+    rows = rows.select("doc_id", F.lit("").alias("doi"), F.lit("").alias("paper_id"), "title", "abstract", F.col("abstract").alias("text"), F.when(F.col("lang") == "es", "").otherwise("include").alias("scope_decision"))
+    wanted = {**CONTRACT, "scope": {**CONTRACT["scope"], "include_criteria": ["version", "platform ai"]}}
+    return seeds.calibration_papers(rows, wanted, 20, "doc_id").select("doc_id", F.col("matches").cast("long").alias("matches"), F.col("score").cast("long").alias("score"))
 
 
 def _answers(urls: DataFrame) -> DataFrame:
@@ -591,23 +625,27 @@ def html_text(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", to_text("html").alias("text"))
 
 
-@query()
+@query("""SELECT page_id, regexp_replace(replace(replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g') || ' & <b>é€ ¬it; &zzz; x' AS text FROM pages""")
 def html_unescape(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", X.html_unescape("html").alias("text"))
+    more = F.lit(" &amp; &lt;b&gt;&eacute;&#x20AC; &notit; &zzz; x")
+    return table(spark, sf_dir, "pages").select("page_id", X.html_unescape(F.concat("html", more)).alias("text"))
 
 
 @query()
 def sections(spark, sf_dir):
     from biblion.sources.fulltext import prioritized, split_sections
 
-    rows = table(spark, sf_dir, "documents").select("doc_id", split_sections("text").alias("s"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", split_sections(F.col("text")).alias("s"))
     return rows.select("doc_id", F.posexplode(prioritized(F.col("s"))).alias("position", "x")).select("doc_id", "position", "x.*")
 
 
-@query()
+# one letter more in so long an id is close enough to its own only; two letters changed are too far
+@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'paper_on_' || (p_partkey % 7) || repeat('abcdefghij', 3 + (p_partkey % 7)) WHEN 1 THEN '' ELSE 'paper_on_' || (p_partkey % 7) || repeat('abcdefghij', 3 + (p_partkey % 7)) END AS resolved FROM part")
 def fuzzy_ids(spark, sf_dir):
     from biblion.operators.fuzzy import resolved
 
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    known = [r[0] for r in parts.select("p_type").distinct().collect()]  # a fixed vocabulary
-    return parts.select("p_partkey", resolved(known)(F.concat("p_type", F.lit("."))).alias("resolved"))
+    known = [f"paper_on_{k}" + "abcdefghij" * (3 + k) for k in range(7)]
+    own = F.expr("concat('paper_on_', p_partkey % 7, repeat('abcdefghij', int(3 + p_partkey % 7)))")
+    asked = F.expr("p_partkey % 3").cast("int")
+    typed = F.when(asked == 0, own).when(asked == 1, F.concat(F.lit("other "), F.reverse(own))).otherwise(F.concat(own, F.lit("x")))
+    return table(spark, sf_dir, "part").select("p_partkey", resolved(known)(typed).alias("resolved"))

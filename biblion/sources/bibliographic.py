@@ -67,75 +67,103 @@ class Ids:
         return found
 
 
+_HEAD = re.compile(r"@\s*([A-Za-z]+)\s*([{(])")
+_NAME = re.compile(r"[\s,]*(?:[^\sA-Za-z0-9_,-][\s,]*)*([\w-]+)\s*(=?)\s*", re.ASCII)
+# a backslash takes the next character with it; in quotes neither brackets nor commas count
+_TOKEN = re.compile(r'\\.?|"(?:[^"\\]|\\.)*"|[{}(),]', re.S)
+
+
 def bibtex_entries(text: str) -> Iterator[tuple[str, str, dict[str, str]]]:
-    """(kind, key, fields) of each entry; comments, preambles and strings are passed over."""
+    """(kind, key, fields) of each entry; comments, preambles and strings are passed over, what isn't an entry is an error."""
     at = 0
     while (at := text.find("@", at)) >= 0:
-        head = re.compile(r"@\s*(\w+)\s*([{(])").match(text, at)
+        head = _HEAD.match(text, at)
         if not head:
-            at += 1
-            continue
-        body, at = _group(text, head.end() - 1)
+            raise ValueError("no BibTeX entry: " + text[at : at + 60])
+        end = _close(text, head.end() - 1)
+        body, at = text[head.end() : end], end + 1
         if head[1].lower() not in ("comment", "preamble", "string"):
-            key, _, rest = body.partition(",")
-            yield head[1].lower(), key.strip(), dict(_fields(rest))
-
-
-def _group(text: str, at: int) -> tuple[str, int]:
-    """What stands between the bracket at ``at`` and its partner, and the place behind it."""
-    close = {"{": "}", "(": ")"}[text[at]]
-    depth, i = 0, at
-    while i < len(text):
-        c = text[i]
-        if c == "\\":
-            i += 2
-            continue
-        depth += (c == text[at]) - (c == close)
-        if depth == 0:
-            return text[at + 1 : i], i + 1
-        i += 1
+            key, rest = _key(body)
+            yield head[1].lower(), key, dict(_fields(rest))
+
+
+def _close(text: str, at: int) -> int:
+    """The place of the partner of the bracket at ``at``."""
+    opened, closed = text[at], {"{": "}", "(": ")"}[text[at]]
+    depth = 0
+    for token in _TOKEN.finditer(text, at):
+        depth += (token[0] == opened) - (token[0] == closed)
+        if depth == 0 and token[0] == closed:
+            return token.start()
     raise ValueError("a BibTeX entry isn't closed: " + text[at : at + 60])
 
 
+def _key(body: str) -> tuple[str, str]:
+    """What stands before the first comma outside of brackets, and what behind."""
+    depth = 0
+    for token in _TOKEN.finditer(body):
+        depth += (token[0] in "{(") - (token[0] in "})")
+        if token[0] == "," and depth == 0:
+            return body[: token.start()].strip(), body[token.end() :]
+    return body.strip(), ""
+
+
 def _fields(body: str) -> Iterator[tuple[str, str]]:
     at = 0
-    name = re.compile(r"[\s,]*([A-Za-z][\w-]*)\s*=\s*")
-    while found := name.match(body, at):
+    while found := _NAME.match(body, at):
+        if not found[2]:
+            raise ValueError(f"no value for the BibTeX field {found[1]}")
         at, parts = found.end(), []
-        while at < len(body):
+        while at < len(body) and body[at] != ",":
             if body[at] == "{":
-                value, at = _group(body, at)
-            elif body[at] == '"':
-                end = at + 1
-                depth = 0
-                while end < len(body) and (body[end] != '"' or depth):
-                    depth += (body[end] == "{") - (body[end] == "}")
-                    end += 1
+                end = _close(body, at)
                 value, at = body[at + 1 : end], end + 1
+            elif body[at] == '"':
+                quoted = re.compile(r'"((?:[^"\\]|\\.)*)"', re.S).match(body, at)
+                if not quoted:
+                    raise ValueError(f"the quotes of the BibTeX field {found[1]} aren't closed")
+                value, at = quoted[1], quoted.end()
             else:
-                bare = re.compile(r"[^\s,#]*").match(body, at)
-                value, at = bare[0], bare.end()
+                bare = re.compile("[^,#]*").match(body, at)
+                value, at = bare[0].strip(), bare.end()
             parts.append(value)
             more = re.compile(r"\s*#\s*").match(body, at)
             if not more:
                 break
             at = more.end()
-        yield found[1].lower(), "".join(parts)
+        yield found[1].lower(), untexed("".join(parts))
+        at = at + len(body[at:].partition(",")[0])
+
+
+# What stands for what in LaTeX text, replaced in this order.
+LATEX_TEXT = {r"\&": "&", r"\%": "%", r"\_": "_", r"\#": "#", r"\$": "$", r"\{": "{", r"\}": "}", "~": " ", r"\textendash": "-", r"\textemdash": "-", "--": "-"}
 
 
 def untexed(value: str) -> str:
-    value = re.sub(r"\\([&%$#_{}])", r"\1", value)
-    value = re.sub(r"\\[a-zA-Z]+\s*|\\[^a-zA-Z]", "", value)
-    return plain(re.sub("[{}]", "", value))
+    for old, new in LATEX_TEXT.items():
+        value = value.replace(old, new)
+    return plain(re.sub("[{}]", "", re.sub(r"\\[A-Za-z]+\s*", "", value)))
+
+
+def pdf_path(value: str) -> str:
+    """The first path of a ``file`` field (parts by colons, files by semicolons) that ends in .pdf."""
+    return next((x for x in re.split(r"[:;]", value) if x.strip().lower().endswith(".pdf")), "").strip()
+
+
+def own_id(value: str) -> str:
+    """An id as it stands, in lower case: letters, digits, hyphens and underscores stay, all else becomes one underscore."""
+    return re.sub("[^A-Za-z0-9_-]+", "_", value).strip("_").lower()
 
 
 def bibtex_rows(text: str) -> list[dict[str, str]]:
     ids, out = Ids(), []
-    for _, key, f in bibtex_entries(text):
-        files = re.search(r"([^:;]+\.pdf)", f.get("file", ""))
-        row = {"title": untexed(f.get("title", "")), "year": year(f.get("year", "") or f.get("date", "")), "doi": doi(untexed(f.get("doi", ""))), "abstract": untexed(f.get("abstract", ""))}
-        row |= {"authors": "; ".join(map(untexed, re.split(r"\s+and\s+", f["author"]))) if f.get("author") else "", "venue": untexed(f.get("journal") or f.get("booktitle") or ""), "url": f.get("url", "").strip(), "source": "bibtex", "full_text_path": files[1] if files else "", "notes": untexed(f.get("note", ""))}
-        out.append({"paper_id": ids.of(slug(key) or _made(row)), **row})
+    for n, (kind, key, f) in enumerate(bibtex_entries(text), 1):
+        first = lambda *names: next((f[x] for x in names if f.get(x)), "")  # noqa: B023, E731
+        row = {"title": f.get("title", ""), "year": first("year", "date"), "doi": doi(f.get("doi", "")), "abstract": f.get("abstract", "")}
+        row["authors"] = "; ".join(plain(x) for x in re.split(r"\s+and\s+", f.get("author", "")) if x.strip())
+        row["venue"] = first("journal", "journaltitle", "booktitle", "conference", "proceedings", "publisher")
+        row |= {"url": first("url", "link"), "source": f"bibtex:{kind}", "full_text_path": pdf_path(f.get("file", "")), "notes": f"bibtex_key={key}" if key else ""}
+        out.append({"paper_id": ids.of(own_id(key) or f"bibtex_{n:04d}"), **row})
     return out
 
 
@@ -144,32 +172,36 @@ def _made(row: dict[str, str]) -> str:
 
 
 def ris_records(text: str) -> Iterator[dict[str, list[str]]]:
-    """Tags of each record; a line without a tag goes on with the last."""
-    record: dict[str, list[str]] | None = None
+    """Tags of each record, which ends at ER, at the next TY or with the file; a line without a tag goes on with the last."""
+    record: dict[str, list[str]] = {}
     last = ""
-    for line in text.splitlines():
-        found = re.match(r"([A-Z][A-Z0-9])  - ?(.*)$", line.rstrip())
-        if found and found[1] == "TY":
-            record, last = {"TY": [found[2].strip()]}, "TY"
-        elif found and found[1] == "ER":
-            if record is not None:
+    for line in filter(None, map(str.strip, text.splitlines())):
+        found = re.match(r"([A-Z0-9]{2})\s*-\s*(.*)$", line)
+        if not found:
+            if last in record:
+                record[last][-1] = plain(f"{record[last][-1]} {line}")
+            continue
+        tag, value = found[1], found[2].strip()
+        if tag in ("TY", "ER"):
+            if record:
                 yield record
-            record = None
-        elif record is not None and found:
-            last = found[1]
-            record.setdefault(last, []).append(found[2].strip())
-        elif record is not None and line.strip() and record.get(last):
-            record[last][-1] += " " + line.strip()
-    if record is not None:
-        raise ValueError("a RIS record isn't closed by ER")
+            record = {}
+        if tag == "ER":
+            last = ""
+        else:
+            record.setdefault(tag, []).append(value)
+            last = tag
+    if record:
+        yield record
 
 
 def ris_rows(text: str) -> list[dict[str, str]]:
     ids, out = Ids(), []
     for r in ris_records(text):
-        row = {c: plain(next((r[t][0] for t in tags if r.get(t)), "")) for c, tags in RIS_TAGS.items()}
+        row = {c: plain(next((v for t in tags for v in r.get(t, []) if plain(v)), "")) for c, tags in RIS_TAGS.items()}
         row |= {"year": year(row["year"]), "doi": doi(row["doi"]), "authors": "; ".join(plain(a) for t in ("AU", "A1") for a in r.get(t, [])), "source": "ris"}
-        row["paper_id"] = ids.of(slug(row["paper_id"]) or _made(row))
+        words = re.findall("[a-z0-9]+", row["title"].lower())[:6]
+        row["paper_id"] = ids.of(own_id(row["doi"]) or "_".join(words) or f"ris_{len(out) + 1:04d}")
         out.append(row)
     return out
 
@@ -227,4 +259,5 @@ def read_ris(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    return _read(spark, path, lambda name, text: json_rows(text, name.endswith("l")))
+    lines = path.lower().endswith("l")
+    return _read(spark, path, lambda name, text: json_rows(text, lines))

@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from biblion.plans import catalogue
+from biblion.plans import catalogue_parts as catalogue
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()

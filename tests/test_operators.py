@@ -104,6 +104,11 @@ def test_importers(spark, tmp_path):
     bib = '@comment{x}\n@article{Key One, title = {A {Nested} \\& Title}, author = "Doe, J and Roe, R", year = 2020, month = jan # " 1", file = {:/p/a.pdf:PDF}}\n@book{Key One, title={B}}\n'
     got = bibliographic.bibtex_rows(bib)
     assert [(r["paper_id"], r["title"], r["authors"], r["year"]) for r in got] == [("key_one", "A Nested & Title", "Doe, J; Roe, R", "2020"), ("key_one_2", "B", "", "")]
+    more = bibliographic.bibtex_rows('@article{Doe-2021_x, title = "a } {b, c", year = 2021, file = {Full:/p/A.PDF:application/pdf}, journaltitle={J -- K}}')[0]
+    assert (more["paper_id"], more["title"], more["full_text_path"], more["venue"], more["source"]) == ("doe-2021_x", "a b, c", "/p/A.PDF", "J - K", "bibtex:article")
+    for wrong in ("@article{x, title}", "@ nothing", '@article{x, title="open}'):
+        with pytest.raises(ValueError):
+            bibliographic.bibtex_rows(wrong)
     with pytest.raises(ValueError):
         bibliographic.bibtex_rows("@article{x, title={open}")
     ris = "TY  - JOUR\nTI  - A long\n title\nAU  - Doe, J\nAU  - Roe, R\nPY  - 2019/01\nDO  - doi:10.1/x\nER  - \n"
@@ -126,8 +131,9 @@ def test_importers(spark, tmp_path):
 def test_full_text(spark):
     assert fulltext.page_text("<html><script>x</script><nav>n</nav><p>A &amp; B</p></html>") == "A & B"
     text = "intro line\n1. Introduction\nwe start\nMETHODS AND DATA\nwe do\nwe do more.\nI think so\nlast"
-    assert [(s["key"], s["body"]) for s in fulltext.sections_of(text)] == [("body", "intro line"), ("introduction", "we start"), ("methods", "we do we do more."), ("body", "last")]
-    df = spark.createDataFrame([("Methods\nm\nAbstract\na",)], "t string").select(fulltext.split_sections("t").alias("s"))
+    df = spark.createDataFrame([(text,)], "t string").select(fulltext.split_sections(F.col("t")).alias("s"))
+    assert [(s["key"], s["body"]) for s in df.first().s] == [("body", "intro line"), ("introduction", "we start"), ("methods", "we do we do more."), ("body", "last")]
+    df = spark.createDataFrame([("Methods\nm\nAbstract\na",)], "t string").select(fulltext.split_sections(F.col("t")).alias("s"))
     assert [x.key for x in df.select(fulltext.prioritized(F.col("s"))).first()[0]] == ["abstract", "methods"]
 
 
