@@ -13,7 +13,10 @@ row there.
 Defined cases: a null role or text counts as empty; rows without a
 conversation id belong to none and are left out; turns are ordered by number
 (nulls first), then role, then text, and repeated rows are turns of their own;
-of equal conversations the smallest id stays; other columns play no part.
+of equal conversations the smallest id stays; the head of a marker (``<|``)
+within a role or text gets a blank behind the ``<``; very long texts are taken
+whole; an empty table gives an empty table; other columns, whatever their names,
+play no part.
 """
 
 from __future__ import annotations
@@ -43,7 +46,9 @@ def maximal(rows: DataFrame) -> DataFrame:
 
 
 def block(role: Column, text: Column) -> Column:
-    return F.concat(F.lit(OPEN), role, F.lit(AFTER_ROLE), text, F.lit(CLOSE))
+    """One rendered turn; what would read as a marker within it is parted, so that no text can forge a turn."""
+    inner = lambda c: F.replace(c, F.lit("<|"), F.lit("< |"))
+    return F.concat(F.lit(OPEN), inner(role), F.lit(AFTER_ROLE), inner(text), F.lit(CLOSE))
 
 
 def formatted(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
@@ -66,6 +71,6 @@ h AS (
 whole AS (SELECT h, min(conv_id) AS conv_id, count(*) AS copies FROM h WHERE pos = n GROUP BY h),
 kept AS (SELECT conv_id, copies FROM whole WHERE h NOT IN (SELECT h FROM h WHERE pos < n))
 SELECT t.conv_id, count(*) AS n_turns, any_value(copies) AS copies,
-       string_agg('{OPEN}' || role || chr(10) || text || '<|im_end|>' || chr(10), '' ORDER BY pos) AS text
+       string_agg('{OPEN}' || replace(role, '<|', '< |') || chr(10) || replace(text, '<|', '< |') || '<|im_end|>' || chr(10), '' ORDER BY pos) AS text
 FROM t JOIN kept USING (conv_id) GROUP BY t.conv_id
 """

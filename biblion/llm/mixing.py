@@ -13,10 +13,13 @@ undecided at most; these fly again together, level by level, until one block a
 source is left, whose last two documents are decided by the landing: the choice
 that comes nearest to the words due.  All of it is fixed by ids and ``seed``.
 
-Defined cases: a null or empty text has size 0, and nothing is taken of it; a
-null source is a source of its own, last in order; repeated rows are sampled
-each; without any words all targets are 0; other columns play no part in the
-plan and are kept by ``mixed``.
+Defined cases: a null or empty text has size 0, and no words are taken of it; a
+null source is a source of its own, last in order; rows without an id are told
+apart by source and text; repeated rows are sampled each, and of equal ones it
+doesn't matter which is taken once more; ties in the landing go to the first
+choice in order; very long texts are taken whole; without any words, and in an
+empty table, all targets are 0; other columns play no part in the plan and are
+kept by ``mixed``, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ import random
 import zlib
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from biblion.llm.base import cut, fresh, word_count
@@ -34,10 +37,26 @@ BLOCK = 1024
 MOST = 3
 
 
+#: What tells rows apart: the id as text, whether it is null, a hash of source and text; equal rows besides by their number.
+IDENTITY = ["k", "none", "h"]
+
+
+def _identity(key: str, source: str, text: str) -> list[Column]:
+    own = F.col(key)
+    return [F.coalesce(own.cast("string"), F.lit("")), own.isNull(), F.xxhash64(F.lit(7), F.col(source), F.col(text))]
+
+
 def sized(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
-    """doc_id, source, size and the number (from 1) of the row among those of its id."""
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(text).alias("_h"))
-    return rows.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy("source", "_h", "size"))).drop("_h")
+    """doc_id, source, size, the identity of the row and its number (from 1) among its equals.
+
+    Rows without an id are told apart by their texts, so that they don't meet in
+    one task; rows without words need no number.
+    """
+    same = [c.alias(n) for n, c in zip(IDENTITY, _identity(key, source, text), strict=True)]
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), *same)
+    alone = F.when(F.col("size") == 0, F.monotonically_increasing_id())
+    rows = rows.withColumn("_alone", alone)
+    return rows.withColumn("nth", F.row_number().over(Window.partitionBy(*IDENTITY, "_alone").orderBy("size"))).drop("_alone")
 
 
 def targets(sizes: DataFrame, most: int = MOST) -> DataFrame:
@@ -96,9 +115,9 @@ def _fly(seed: int, level: int):
     def run(key: tuple, group: pa.Table) -> pa.Table:
         source, block = key[0].as_py(), key[1].as_py()
         rows = group.combine_chunks()
-        ids, nth = rows.column("doc_id").to_pylist(), rows.column("nth").to_pylist()
-        mixed = [zlib.crc32(f"{seed}/{i}/{n}".encode()) for i, n in zip(ids, nth, strict=True)]
-        order = sorted(range(len(ids)), key=lambda i: (mixed[i], ids[i] is None, ids[i] or 0, nth[i]))
+        own = list(zip(*(rows.column(c).to_pylist() for c in ("k", "none", "h", "nth")), strict=True))
+        mixed = [zlib.crc32(f"{seed}/{k}/{h}/{n}".encode()) for k, _, h, n in own]
+        order = sorted(range(len(own)), key=lambda i: (mixed[i], own[i]))
         rows = rows.take(pa.array(order, pa.int64()))
         p, w = rows.column("p").to_pylist(), rows.column("size").to_pylist()
         live = flight(p, w, random.Random(f"{seed}/{level}/{source}/{block}"))
@@ -110,7 +129,7 @@ def _fly(seed: int, level: int):
 
 
 def plan(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", seed: int = 0) -> DataFrame:
-    """One row a document: doc_id, nth, source, size, source_size, target, copies, taken."""
+    """One row a document: doc_id, its identity and number, source, size, source_size, target, copies, taken."""
     sizes = cut(sized(docs, key, source, text))
     goal = cut(targets(sizes))
     rows = sizes.join(goal, sizes["source"].eqNullSafe(goal["source"])).drop(goal["source"])
@@ -123,7 +142,7 @@ def plan(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     level = 0
     while True:
         # blocks of a source: as many as its undecided documents need
-        left = left.withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn("block", F.pmod(F.xxhash64("doc_id", "nth", F.lit(seed + level)), F.col("blocks"))).drop("n")
+        left = left.withColumn("blocks", F.ceil(F.col("n") / BLOCK)).withColumn("block", F.pmod(F.xxhash64(*IDENTITY, "nth", F.lit(seed + level)), F.col("blocks"))).drop("n")
         shape = left.schema
         flown = cut(left.groupBy("source", "block").applyInArrow(_fly(seed, level), shape))
         done = done.unionByName(flown.filter(~undecided).select(done.columns))
@@ -134,15 +153,24 @@ def plan(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
         left = rest.join(count, rest["source"].eqNullSafe(count["source"])).drop(count["source"])
         level += 1
     copies = (F.col("whole") + F.round("p")).cast("long")
-    return done.select("doc_id", "nth", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return done.select("doc_id", *IDENTITY, "nth", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", seed: int = 0) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it."""
-    nth, h = fresh("nth", docs.columns), fresh("h", docs.columns)
-    copies, of = fresh("copies", docs.columns), fresh("of", docs.columns)
-    taken = plan(docs, key, source, text, seed).filter("copies > 0").select(F.col("doc_id").alias(of), F.col("nth").alias(nth + "_"), F.col("copies").alias(copies))
-    order = Window.partitionBy(key).orderBy(source, h, fresh("size", docs.columns))
-    rows = docs.withColumns({h: F.xxhash64(text), fresh("size", docs.columns): word_count(F.col(text))}).withColumn(nth, F.row_number().over(order))
-    both = rows.join(taken, rows[key].eqNullSafe(taken[of]) & (rows[nth] == taken[nth + "_"]))
-    return both.withColumn(of, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(docs.columns)
+    """The rows of ``docs``, each as often as the mix takes it.
+
+    Of equal rows (one id, source and text) some are taken once more than the
+    others; which of them is told by their other columns.  Texts are shuffled
+    once: the join and the numbering need the same partitions.
+    """
+    taken = plan(docs, key, source, text, seed).groupBy(*IDENTITY).agg(F.min("copies").alias("low"), (F.sum("copies") - F.min("copies") * F.count("*")).alias("more"))
+    names = {c: fresh(c, docs.columns) for c in (*IDENTITY, "nth", "copies")}
+    own = [names[c] for c in IDENTITY]
+    rows = docs.withColumns(dict(zip(own, _identity(key, source, text), strict=True)))
+    taken = taken.filter("low + more > 0").select(*(F.col(c).alias(names[c]) for c in IDENTITY), F.struct("low", "more").alias(names["copies"]))
+    both = rows.join(taken, own)
+    told = [c for c in docs.columns if "map<" not in docs.schema[c].dataType.simpleString()]
+    number = F.row_number().over(Window.partitionBy(*own).orderBy(F.xxhash64(*told)))
+    times = F.col(names["copies"])["low"] + (F.col(names["nth"]) <= F.col(names["copies"])["more"]).cast("int")
+    out = both.withColumn(names["nth"], number).withColumn(names["copies"], times).filter(F.col(names["copies"]) > 0)
+    return out.withColumn(names["nth"], F.explode(F.sequence(F.lit(1), F.col(names["copies"]).cast("int")))).select(docs.columns)

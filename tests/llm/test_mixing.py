@@ -73,6 +73,24 @@ def test_edges(spark):
     assert {r.target for r in mixing.plan(df.filter(F.col("doc_id") < 3)).collect()} == {0.0}
 
 
+def test_rows_without_an_id(spark):
+    rnd = random.Random(8)
+    rows = [(None, rnd.choice("ab"), "w " * rnd.randint(0, 9), k) for k in range(400)] + [(k, "c", "v " * 7, k) for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string, n int").repartition(5)
+    plan = mixing.plan(df).collect()
+    assert len(plan) == len(rows)
+    check(plan)
+    out = mixing.mixed(df).collect()
+    assert sum(r.taken for r in plan) == sum(len(r.text.split()) for r in out)
+    # no row more often than its source's rate allows, in every rerun the same
+    times = defaultdict(int)
+    for r in out:
+        times[r.n, r.doc_id] += 1
+    assert max(times.values()) <= 3
+    again = mixing.mixed(df.repartition(3)).collect()
+    assert sorted(map(str, out)) == sorted(map(str, again))
+
+
 def test_flight_holds_both_totals():
     rnd = random.Random(2)
     w = [rnd.randint(1, 500) for _ in range(400)]
