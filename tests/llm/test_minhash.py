@@ -1,6 +1,6 @@
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -57,6 +57,45 @@ def test_documents(spark, words):
     assert sum(not x[3] for x in want) > 20
 
 
+def exact(rows, words, percent):
+    """Components by an exact join: two sets that are near enough share one of their rarest shingles."""
+    sets = [(i, sets_of(t, words)) for i, t in rows]
+    often = Counter(x for _, s in sets for x in s)
+    by, parent = defaultdict(list), {i: i for i, _ in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    links = 0
+    for k, (i, s) in enumerate(sets):
+        if not s:
+            continue
+        first = sorted(s, key=lambda x: (often[x], x))[: len(s) - -(-percent * len(s) // 100) + 1]
+        near = {j for x in first for j in by[x]}
+        for x in first:
+            by[x].append(k)
+        for j in near:
+            both = len(s & sets[j][1])
+            if 100 * both >= percent * (len(s) + len(sets[j][1]) - both):
+                links += 1
+                x, y = root(i), root(sets[j][0])
+                parent[max(x, y)] = min(x, y)
+    return {i: root(i) for i, _ in sets}, links
+
+
+@pytest.mark.parametrize("words", [2, 5])
+def test_recall_on_ten_thousand_documents(spark, words):
+    docs = table(spark, "/root/testdata/sf0.1", "documents").select("doc_id", "text")
+    want, links = exact([(r.doc_id, r.text) for r in docs.collect()], words, 80)
+    found = {r.doc_id: r.component_id for r in minhash.grouped(docs, words=words).collect()}
+    assert links > 500 and found.keys() == want.keys()
+    # every component found is one in truth or a part of one; nearly all are whole
+    assert all(want[found[i]] == want[i] for i in found)
+    assert sum(found[i] == want[i] for i in found) / len(found) >= 0.999
+
+
 def test_chains_stars_and_short_texts(spark):
     rnd = random.Random(9)
     rows, words = [], [f"w{i}" for i in range(60)]
