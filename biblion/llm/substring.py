@@ -53,8 +53,8 @@ BLOCKS = 32
 SPREAD = 4
 #: Partitions at most; beyond that a task takes several blocks or buckets, one after another.
 PARTITIONS = 50_000
-#: Borders are drawn among ids that count once for each so many bytes of their texts.
-UNIT = 4096
+#: Ids among which the borders of a block are drawn; a text counts once for each such part of a block.
+DRAWN = 32
 
 
 def windows(raw: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,8 +83,8 @@ def _borders(docs: DataFrame, key: str, text: str) -> tuple[list[int], int]:
     if not size.n:
         return [], 1
     # an id counts for its bytes: the fraction of a unit is rounded by chance, fixed by the id
-    unit = max(1, min(UNIT, (size.b or 0) // (64 * blocks)))
-    chance = F.pmod(F.xxhash64(key, bytes_), F.lit(1024)) / 1024
+    unit = max(1, (size.b or 0) // (DRAWN * blocks))
+    chance = F.pmod(F.xxhash64(key, bytes_), F.lit(1 << 30)) / (1 << 30)
     times = F.floor(bytes_ / unit + chance).cast("int")
     weighed = docs.filter(F.col(key).isNotNull() & (times > 0)).select(F.col(key).cast("long").alias("id"), F.explode(F.sequence(F.lit(1), times)))
     found = weighed.agg(F.percentile_approx("id", [i / blocks for i in range(1, blocks)], max(10_000, 4 * blocks))).first()[0]
