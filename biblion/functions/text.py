@@ -239,12 +239,29 @@ def term_variants(term: str) -> list[str]:
     return list(dict.fromkeys(found))
 
 
-def term_pattern(term: str, lookaround: bool = True) -> str:
-    """A case-insensitive pattern: blanks or hyphens between words, plurals allowed, no letter or digit around."""
+def _term_words(term: str) -> list[str]:
     plain = html.unescape(term.strip())
-    plain = re.sub("[‘’ʼ']", "", re.sub("[‐-―]", "-", re.sub("<[^>]+>", " ", plain)))
+    return re.sub("[‘’ʼ']", "", re.sub("[‐-―]", "-", re.sub("<[^>]+>", " ", plain))).split()
+
+
+def term_needle(term: str) -> str:
+    """In lower case, what any text that fits term_pattern() holds: its longest word, but for an ending that plurals change."""
+    words = [w.lower() for w in _term_words(term)]
+    return max((w[:-1] if w.endswith("y") and len(w) > 3 else w for w in words), key=len, default="")
+
+
+def holds_term(low: Column, term: str) -> Column:
+    """Whether a match_text() in lower case holds a term: a search for a word first, the pattern only where that is found."""
+    return low.contains(term_needle(term)) & low.rlike(term_pattern(term, folded=True))
+
+
+def term_pattern(term: str, lookaround: bool = True, folded: bool = False) -> str:
+    """A case-insensitive pattern: blanks or hyphens between words, plurals allowed, no letter or digit around.
+
+    ``folded``: for texts in lower case, which are searched faster.
+    """
     words = []
-    for word in plain.split():
+    for word in _term_words(term.lower() if folded else term):
         quoted = re.sub(r"([^A-Za-z0-9 ])", r"\\\1", word) if word.isascii() else word
         low = word.casefold()
         if not word.isalpha() or len(word) < 3 or low[-1] == "s":
@@ -255,7 +272,7 @@ def term_pattern(term: str, lookaround: bool = True) -> str:
             words.append(quoted + "s?")
     body = r"[\s\-]+".join(words)
     left, right = ("(?<![A-Za-z0-9])", "(?![A-Za-z0-9])") if lookaround else ("(?:^|[^A-Za-z0-9])", "(?:$|[^A-Za-z0-9])")
-    return "(?i)" + left * term[:1].isalnum() + body + right * term[-1:].isalnum()
+    return "(?i)" * (not folded) + left * term[:1].isalnum() + body + right * term[-1:].isalnum()
 
 
 # numbers, dates, lists, names

@@ -16,7 +16,16 @@ def closest(asked: str | None, known: Sequence[str]) -> str:
     """The id itself, else the only one at a ratio of CLOSE or more, else empty."""
     if not asked or asked in known:
         return asked or ""
-    near = [k for k in known if SequenceMatcher(None, asked, k).ratio() >= CLOSE]
+    near = []
+    told = SequenceMatcher(None, b=asked)
+    for k in known:
+        # no ratio is above what the lengths alone allow, nor above what the letters do
+        if 2 * min(len(k), len(asked)) < CLOSE * (len(k) + len(asked)):
+            continue
+        told.set_seq1(k)
+        # the ratio depends on which comes first
+        if told.quick_ratio() >= CLOSE and SequenceMatcher(None, asked, k).ratio() >= CLOSE:
+            near.append(k)
     return near[0] if len(near) == 1 else ""
 
 

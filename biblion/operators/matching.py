@@ -106,20 +106,20 @@ def _fields(topic: Topic) -> list[str]:
 
 
 def topic_hits(spec: TopicSpec) -> Column:
-    """array<struct<topic_id, kind, group_id, value, field, ordinal>> over columns _title and _abstract."""
+    """array<struct<topic_id, kind, group_id, value, field, ordinal>> over columns _title and _abstract, in lower case."""
     hits, n = [], 0
     for topic in spec.topics:
         for term in topic.terms:
             for field in _fields(topic):
                 made = F.struct(F.lit(topic.topic_id).alias("topic_id"), F.lit(topic.kind).alias("kind"), F.lit(topic.group_id).alias("group_id"), F.lit(term).alias("value"), F.lit(field).alias("field"), F.lit(n).alias("ordinal"))
-                hits.append(F.when(F.col("_" + field).rlike(X.term_pattern(term)), made))
+                hits.append(F.when(X.holds_term(F.col("_" + field), term), made))
                 n += 1
     return F.array_compact(F.array(*hits))
 
 
 def matched(df: DataFrame, spec: TopicSpec, unescape: bool = True) -> DataFrame:
     """``df`` with topic_hits, matched and missing topics, anchor_present and local_relevance_tier."""
-    rows = df.withColumns({"_title": X.match_text(F.col("title"), unescape), "_abstract": X.match_text(F.col("abstract"), unescape)})
+    rows = df.withColumns({"_title": F.lower(X.match_text(F.col("title"), unescape)), "_abstract": F.lower(X.match_text(F.col("abstract"), unescape))})
     rows = rows.withColumn("topic_hits", topic_hits(spec)).drop("_title", "_abstract")
     main = F.array(*map(F.lit, spec.main))
 

@@ -111,22 +111,28 @@ def split(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:
     return df.filter(sure), df.filter(~sure)
 
 
+def digest(key: Column) -> Column:
+    """The SHA-256 of a key in 32 bytes: equal digests are equal keys; null stays null."""
+    return F.unhex(F.sha2(key.cast("string").cast("binary"), 256))
+
+
 def deduplicated(df: DataFrame, key: Column, has_abstract: Column, rank: Column, ordinal: str, provenance: Sequence[str] = (), locations: str | None = None) -> DataFrame:
     """The best row of each key, with the size of its group, an ordered provenance and merged locations.
 
     Best is with an abstract, then by rank, then first.  One aggregation with
-    map-side combine; a key's rows come together as small structs only.
+    map-side combine, by the digest of the key, so that long keys aren't
+    shuffled with every row; a key's rows come together as small structs only.
     """
     no_abstract = F.when(F.coalesce(has_abstract, F.lit(False)), 0).otherwise(1)
     order = F.struct(no_abstract.alias("no_abstract"), F.coalesce(rank.try_cast("int"), F.lit(LAST)).alias("rank"), F.col(ordinal).alias("ordinal"))
-    rows = df.withColumns({"dedupe_key": key, "_order": order})
+    rows = df.withColumns({"dedupe_key": key, "_order": order}).withColumn("_digest", digest(F.col("dedupe_key")))
     whole = F.struct("_order", F.struct(*df.columns).alias("row"))
-    aggregates = [F.min_by(whole, "_order").alias("_best"), F.count("*").alias("duplicate_count")]
+    aggregates = [F.min("dedupe_key").alias("dedupe_key"), F.min_by(whole, "_order").alias("_best"), F.count("*").alias("duplicate_count")]
     if provenance:
         aggregates.append(F.array_sort(F.collect_list(F.struct("_order", *provenance))).alias("_all"))
     if locations:
         aggregates.append(F.array_sort(F.collect_list(F.struct("_order", F.col(locations).alias("l")))).alias("_places"))
-    best = rows.groupBy("dedupe_key").agg(*aggregates)
+    best = rows.groupBy("_digest").agg(*aggregates)
     out = best.select("dedupe_key", "duplicate_count", "_best._order", "_best.row.*", *(["_all"] if provenance else []), *(["_places"] if locations else []))
     if provenance:
         out = out.withColumn("duplicate_provenance", F.transform("_all", lambda p: F.struct(*(p[c].alias(c) for c in provenance)))).drop("_all")
@@ -137,8 +143,8 @@ def deduplicated(df: DataFrame, key: Column, has_abstract: Column, rank: Column,
 
 
 def dedupe_counts(df: DataFrame, key: Column) -> DataFrame:
-    """rows_in, groups, duplicates of a deduplication, in one row; keys meet as hashes of 128 bits."""
-    keys = df.groupBy(F.md5(key.cast("binary")).alias("k")).agg(F.count("*").alias("n"))
+    """rows_in, groups, duplicates of a deduplication, in one row; keys meet as digests."""
+    keys = df.groupBy(digest(key).alias("k")).agg(F.count("*").alias("n"))
     return keys.agg(F.sum("n").alias("rows_in"), F.count("*").alias("groups"), (F.sum("n") - F.count("*")).alias("duplicates"))
 
 
@@ -150,9 +156,11 @@ def first_seen(items: Column, by) -> Column:
 
 
 def unseen(new: DataFrame, seen: DataFrame, key: str, ordinal: str) -> DataFrame:
-    """New rows whose key isn't seen yet, the first of each key."""
-    fresh = new.join(seen.select(key).distinct(), key, "left_anti")
-    best = fresh.groupBy(key).agg(F.min_by(F.struct(*fresh.columns), ordinal).alias("r"))
+    """New rows whose key isn't seen yet, the first of each key; keys meet as digests."""
+    told = seen.select(digest(F.col(key)).alias("_digest")).distinct()
+    fresh = new.withColumn("_digest", digest(F.col(key))).join(told, "_digest", "left_anti")
+    # rows without a key were never seen, and are one
+    best = fresh.groupBy("_digest").agg(F.min_by(F.struct(*new.columns), ordinal).alias("r"))
     return best.select("r.*")
 
 

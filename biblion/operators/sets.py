@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from biblion.operators.papers import digest
+
 
 def union_all(tables: Sequence[DataFrame], ordinal: str, source: str = "source_ordinal") -> DataFrame:
     """All rows, columns by name (null where a table lacks one), with the number of their table, from 1; it and ``ordinal`` keep the order."""
@@ -21,20 +23,9 @@ def union_all(tables: Sequence[DataFrame], ordinal: str, source: str = "source_o
 
 
 def first_of(df: DataFrame, key: Column, order: Sequence[str]) -> DataFrame:
-    """The first row of each key in an order; map-side combined, so a frequent key is one row a task.
-
-    Keys are grouped by two 64-bit hashes and their length, and compared as
-    texts within the group: long keys aren't shuffled for every row.
-    """
-    text = key.cast("string")
-    marks = [F.xxhash64(text).alias("_h"), F.xxhash64(F.lit(1), text).alias("_g"), F.length(text).alias("_n")]
-    rows = df.select(*marks, F.struct(*df.columns).alias("_row"), text.alias("_key"), F.struct(*order).alias("_order"))
-    best = rows.groupBy("_h", "_g", "_n").agg(F.min_by("_row", "_order").alias("_row"), F.min("_key").alias("_a"), F.max("_key").alias("_b"))
-    mixed = best.filter(~F.col("_a").eqNullSafe(F.col("_b"))).select("_h", "_g", "_n")
-    alone = best.filter(F.col("_a").eqNullSafe(F.col("_b"))).select("_row.*")
-    # different keys under one hash: hardly ever, and then told apart by the keys
-    rest = rows.join(F.broadcast(mixed), (rows["_h"] == mixed["_h"]) & (rows["_g"] == mixed["_g"]) & rows["_n"].eqNullSafe(mixed["_n"]), "left_semi")
-    return alone.unionByName(rest.groupBy("_key").agg(F.min_by("_row", "_order").alias("_row")).select("_row.*"))
+    """The first row of each key in an order; keys meet as digests, map-side combined, so a frequent key is one row a task."""
+    rows = df.select(digest(key).alias("_digest"), F.struct(*df.columns).alias("_row"), F.struct(*order).alias("_order"))
+    return rows.groupBy("_digest").agg(F.min_by("_row", "_order").alias("_row")).select("_row.*")
 
 
 def union_distinct(tables: Sequence[DataFrame], key: str, ordinal: str) -> DataFrame:
