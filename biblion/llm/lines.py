@@ -113,7 +113,7 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", with_
     gone = repeated(parted(docs, key, text)).groupBy("doc_id", "t").agg(F.array_sort(F.collect_set(F.struct("start", "n"))).alias("gone"))
     marks = {x: fresh(x, docs.columns) for x in ("gone_id", "gone_t", "gone", "lines")}
     away, lines = F.col(marks["gone"]), F.col(marks["lines"])
-    gone = gone.select(F.col("doc_id").alias(marks["gone_id"]), F.col("t").alias(marks["gone_t"]), F.col("gone").alias(marks["gone"]))
+    gone = gone.select(F.col("doc_id").alias(marks["gone_id"]), F.col("t").alias(marks["gone_t"]), F.col("gone").alias(marks["gone"])).hint("merge")
     # of rows with one id, each loses only the chunks that it has itself
     rows = docs.join(gone, (docs[key] == gone[marks["gone_id"]]) & (F.xxhash64(docs[text]) == gone[marks["gone_t"]]), "left")
     rows = rows.withColumn(marks["lines"], F.split(text, "\n"))
