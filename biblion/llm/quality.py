@@ -13,10 +13,12 @@ The fit uses a bounded sample of labelled rows: ``FOR_DICTIONARY`` +
 shuffles nothing; the model that is sent to the executors has a fixed size.
 
 Defined cases: null and empty texts score as the text of no bytes does, by the
-curve's constant; labels that are null, not 0 or 1, or contradict one another
-for a document are not learnt from; without labels of both classes every score
-is the share of label 1 (0.5 without any); rows with equal ids are scored
-each; other columns stay as they are, but for ``score`` and ``predicted``.
+curve's constant; an empty table gives an empty table; labels that are null, not
+0 or 1, or contradict one another for a document are not learnt from, nor are
+those without a document of a fitting size; without labels of both classes every
+score is the share of label 1 (0.5 without any); a score of just 0.5 counts as
+good; rows with equal ids are scored each; very long texts are scored whole;
+other columns stay as they are, but for ``score`` and ``predicted``.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from biblion.llm.base import bounded, fresh, slices
+from biblion.llm.base import bounded, cut, dropped, fresh, slices
 
 FOR_DICTIONARY = 1000
 FOR_CURVE = 3000
@@ -135,17 +137,23 @@ def learnable(labels: DataFrame, key: str, label: str, among: Column) -> DataFra
 
 
 def fit(docs: DataFrame, labels: DataFrame, among: Column, key: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
-    """Learn from the labelled rows for which ``among`` (of ``key``) holds."""
-    known = learnable(labels, key, label, among)
+    """Learn from the labelled rows for which ``among`` (of ``key``) holds.
+
+    Only documents whose texts may be learnt from are counted and sampled, so
+    long texts and labels without a document leave the sample as large as it
+    can be.
+    """
+    texts = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).filter(F.octet_length("_text").between(1, SAMPLE_BYTES))
+    known = cut(learnable(labels, key, label, among).join(texts.select("_id"), "_id", "left_semi"))
     counts = {r.y: r.n for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     order = F.xxhash64("_id")
     rows = []
     for y in sorted(counts):
         # a bounded number of ids: broadcasting them spares shuffling the texts
         some = known.filter(F.col("y") == y).orderBy(order, "_id").limit(FOR_DICTIONARY + FOR_CURVE)
-        texts = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).filter(F.octet_length("_text").between(1, SAMPLE_BYTES))
         found = texts.join(F.broadcast(some), "_id").orderBy(order, "_id", "_text").limit(FOR_DICTIONARY + FOR_CURVE)
         rows += [(r.y, r._text) for r in found.select("y", "_text").collect()]
+    dropped(known)
     return fitted({y: [t for z, t in rows if z == y] for y in (0, 1)}, counts)
 
 

@@ -1,6 +1,8 @@
+import math
 import zlib
 
 import numpy as np
+import zstandard
 from biblion.llm import quality, queries
 from biblion.llm.base import table
 from pyspark.sql import functions as F
@@ -50,3 +52,51 @@ def test_small_model_separates():
     model = quality.fitted({1: good, 0: bad}, {1: 40, 0: 20})
     s = model.scorer().scores(["the small house stood by river number 77 and the people were kind", "BUY!! NOW!! 77!! CHEAP!! OFFER!!"])
     assert s[0] > 0.5 > s[1]
+
+
+def plain_score(model, text):
+    """The score of one text, step by step: fresh compressors, the difference by length, the curve."""
+    raw = (text or "").encode("utf-8")
+    sizes = []
+    for samples in (model.good, model.bad):
+        made = zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(samples), write_content_size=False, write_checksum=False, write_dict_id=False)
+        sizes.append(len(made.compress(raw)) if raw else 0)
+    d, r = (sizes[1] - sizes[0]) / max(1, len(raw)), min(sizes) / max(1, len(raw))
+    z = model.weights[0]
+    for x, mean, scale, w in zip((d, r, d * d, r * r, d * r), model.mean, model.scale, model.weights[1:], strict=True):
+        z += (x - mean) / scale * w
+    return 1 / (1 + math.exp(-max(-40, min(40, z))))
+
+
+def test_whole_table_against_a_plain_scorer(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = table(spark, sf, "documents")
+    model = quality.fit(docs, table(spark, sf, "labels"), ~quality.held_out(F.col("doc_id")))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = queries.op3_quality(spark, sf).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        assert abs(r.score - plain_score(model, texts[r.doc_id])) < 1e-9
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and r.predicted == int(r.score >= 0.5)
+
+
+def test_the_size_difference_alone_tells_the_classes_apart(spark):
+    docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
+    scorer = quality.fit(docs, labels, ~quality.held_out(F.col("doc_id"))).scorer()
+    held = docs.join(labels, "doc_id").filter(quality.held_out(F.col("doc_id")) & F.col("quality").isin(0, 1)).select("text", "quality").collect()
+    d = scorer.features([r.text for r in held])[:, 0]
+    assert auc(d, np.array([r.quality for r in held])) > 0.97
+
+
+def test_long_texts_and_lost_documents_leave_the_sample_whole(spark, monkeypatch):
+    monkeypatch.setattr(quality, "FOR_DICTIONARY", 4)
+    monkeypatch.setattr(quality, "FOR_CURVE", 6)
+    kinds = {0: "bad!! ", 1: "good words "}
+    rows = [(i, kinds[i % 2] * (9000 if i < 200 else 5 + i % 3)) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "fitted", lambda texts, counts: seen.append((texts, counts)))
+    quality.fit(docs, labels, F.lit(True))
+    texts, counts = seen[0]
+    assert {y: len(x) for y, x in texts.items()} == {0: 10, 1: 10} and counts == {0: 20, 1: 20}
