@@ -182,6 +182,22 @@ def token_set(normalized: Column) -> Column:
     return F.array_distinct(F.filter(F.split(normalized, " "), lambda t: ((F.length(t) >= 3) | (t == "ai")) & ~t.isin(STOPWORDS)))
 
 
+# Fixed values of the words by which topics are compared.
+TOPIC_STOPWORDS = ["and", "for", "from", "into", "the", "use", "using", "with"]
+SHORT_TOPIC_WORDS = ["ai", "ml"]
+
+
+def topic_words(c: Column) -> Column:
+    """Distinct words of three letters and more, or ai and ml, each with its singular beside it."""
+    words = F.filter(F.split(title_key(c), " "), lambda w: w.isin(SHORT_TOPIC_WORDS) | ((F.length(w) >= 3) & ~w.isin(TOPIC_STOPWORDS)))
+
+    def forms(w: Column) -> Column:
+        one = F.when((F.length(w) > 3) & w.endswith("s"), F.substr(w, F.lit(1), F.length(w) - 1))
+        return F.array_compact(F.array(w, one, F.when(w == "educational", "education")))
+
+    return F.array_distinct(F.flatten(F.transform(words, forms)))
+
+
 def ngrams(tokens: Column, low: int = 2, high: int = 4) -> Column:
     """All runs of low to high tokens, joined by blanks."""
 
@@ -349,6 +365,20 @@ def cache_url(c: Column) -> Column:
     return F.concat(F.lower(head), F.substr(plain, F.length(head) + 1))
 
 
+def safe_url(c: Column) -> Column:
+    """A URL as it is requested: what isn't ASCII, blanks and other characters that URLs lack are percent-encoded, escapes stay."""
+    plain = text_of(c)
+    odd = F.regexp_extract_all(plain, F.lit(r"[^A-Za-z0-9\-._~:/?#\[\]@!$&'()*+,;=%]"), F.lit(0))
+    between = F.split(plain, r"[^A-Za-z0-9\-._~:/?#\[\]@!$&'()*+,;=%]", -1)
+    coded = lambda x: F.regexp_replace(F.hex(F.encode(x, "UTF-8")), "(..)", "%$1")
+    return F.array_join(F.flatten(F.transform(between, lambda p, i: F.array(p, F.coalesce(coded(F.get(odd, i)), F.lit(""))))), "")
+
+
+def redacted(c: Column, name: str = "api_key") -> Column:
+    """A URL without the value of a secret parameter."""
+    return F.regexp_replace(text_of(c), rf"([?&]{name}=)[^&#]*", "$1REDACTED")
+
+
 def is_http_url(c: Column) -> Column:
     """Absolute, http or https, without blanks, control characters or placeholders."""
     return F.coalesce(c.rlike(r"^(?i:https?)://[^/\s{}<>]+[^\s{}<>]*$") & ~c.rlike(r"[\x00-\x20\x7f]"), F.lit(False))

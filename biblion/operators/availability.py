@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from http.client import HTTPException
+from urllib.parse import quote, urlsplit, urlunsplit
+from urllib.request import Request as HttpRequest
+from urllib.request import urlopen
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,6 +29,28 @@ ANSWER = "full_text_availability_status", "full_text_availability_source", "full
 Request = Callable[[str, str], tuple[int, str, str]]
 
 
+#: Seconds that a request may take, and bytes that a GET asks for.
+TIMEOUT, FIRST_BYTES = 5.0, 2048
+
+
+def http_request(timeout: float = TIMEOUT) -> Callable[[], Request]:
+    """Requests over the network: a HEAD, or a GET of the first 2 KB."""
+
+    def made() -> Request:
+        def ask(method: str, url: str) -> tuple[int, str, str]:
+            parts = urlsplit(url)
+            safe = urlunsplit((parts.scheme, parts.netloc, quote(parts.path, safe="/%:@!$&'()*+,;="), quote(parts.query, safe="=&%/:;+?,@!$'()*"), parts.fragment))
+            headers = {"User-Agent": "biblion"} | ({"Range": f"bytes=0-{FIRST_BYTES - 1}"} if method == "GET" else {})
+            with urlopen(HttpRequest(safe, headers=headers, method=method), timeout=timeout) as answer:
+                if method == "GET":
+                    answer.read(FIRST_BYTES)
+                return answer.status, answer.headers.get("Content-Type", ""), answer.geturl()
+
+        return ask
+
+    return made
+
+
 def url_check(request: Callable[[], Request]) -> Callable[[DataFrame], DataFrame]:
     """A check of a table of URLs: HEAD, then GET; a status from 200 to 399 is a success."""
 
@@ -52,6 +77,13 @@ def url_check(request: Callable[[], Request]) -> Callable[[DataFrame], DataFrame
     return lambda urls: urls.mapInPandas(run, "url string, ok boolean, content_type string, final_url string, error string")
 
 
+def check_counts(asked: DataFrame, told: DataFrame) -> DataFrame:
+    """locations, tried, checked, reused, spared: what was asked for, tried, checked once, answered from memory, and never needed."""
+    n = asked.count()
+    one = told.agg(F.count("*").alias("tried"), F.countDistinct("url").alias("checked"))
+    return one.select(F.lit(n).cast("long").alias("locations"), "tried", "checked", (F.col("tried") - F.col("checked")).alias("reused"), (F.lit(n) - F.col("tried")).alias("spared"))
+
+
 def answered(asked: DataFrame, row: str, check: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``asked`` (row, _at, url) with the answers of those locations that were tried, and ``checked``.
 

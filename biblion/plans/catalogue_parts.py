@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from biblion.functions import text as X
-from biblion.operators import audit, documents, matching, model, papers, reviews, seeds, sets, tagging
+from biblion.operators import audit, availability, documents, matching, model, papers, reviews, seeds, sets, tagging
 from biblion.operators.audit import Category, Label
 from biblion.plans import contract as contracts
-from biblion.plans import ontology, retrieval, runs
+from biblion.plans import backfill, drafting, ontology, retrieval, runs
 from biblion.plans.catalogue import _TITLE, CONTRACT, ORACLE_SQL, QUERIES, _screening_rows, as_papers, query, table
 from biblion.sources import files, fulltext, provider, tiers, works
 
@@ -687,3 +687,143 @@ def run_of_steps(spark, sf_dir):
 def selected_steps(spark, sf_dir):
     plan = runs.main_plan(extract_labels=True)
     return rows_of(spark, [(s, k) for k, s in enumerate(runs.selected(plan, last="export"), 1)], "step string, place int")
+
+
+# drafts, plans and rounds behind fixed clients
+
+
+def _says(answer) -> model.Static:
+    return model.Static(lambda prompt: json.dumps(answer(prompt) if callable(answer) else answer))
+
+
+@query("SELECT doc_id, lang, sha256('Paper ' || doc_id) AS prompt_sha256, sha256('{\"a\": ' || doc_id || '}') AS answer_sha256 FROM documents")
+def model_traces(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    told = model.per_row(rows.select("doc_id"), "doc_id", "Paper $doc_id", {}, lambda: model.Static(lambda p: json.dumps({"a": int(p.split()[1])})), trace=True)
+    return told.filter("seconds >= 0 AND prompt = concat('Paper ', doc_id)").join(rows, "doc_id").select("doc_id", "lang", "prompt_sha256", "answer_sha256")
+
+
+@query("SELECT * FROM (VALUES (1, 'a b'), (2, 'c'), (3, 'main'), (4, 'other'), (5, 'of the contract')) AS v(place, query)")
+def search_plan_queries(spark, sf_dir):
+    wanted = _with(collection={**CONTRACT["collection"], "search_queries": ["A b", {"query": "of the contract", "reason": "r"}]})
+    answer = {"recommended_provider": "recorded", "provider_specific_plan": {"provider": "recorded", "query": "C"}, "search_queries": [{"query": "a b"}, "c", " "], "main_search_string": "main", "alternate_search_strings": ["other", "MAIN"]}
+    plan, _ = drafting.search_plan(wanted, "$topic", _says(answer))
+    return rows_of(spark, [(k, q["query"]) for k, q in enumerate(plan["search_queries"], 1)], "place int, query string")
+
+
+@query("SELECT * FROM (VALUES ('has_abstract', 'true'), ('exclude_reviews', 'true'), ('has_full_text', 'none'), ('has_abstract:true', 'provider'), ('type:!review', 'provider')) AS v(name, \"value\")")
+def search_plan_filters(spark, sf_dir):
+    wanted = _with(collection={**CONTRACT["collection"], "exclude_review_type": True}, candidate_screening={**CONTRACT["candidate_screening"], "missing_abstract_policy": "exclude"})
+    answer = {"recommended_provider": "recorded", "provider_specific_plan": {"provider": "recorded", "query": "x", "filters": [{"name": "has_full_text", "value": "true"}]}, "filters": {"has_full_text": True}}
+    plan, _ = drafting.search_plan(wanted, "$topic", _says(answer), text_needed=True)
+    found = [(k, "none" if v is None else str(v).lower()) for k, v in plan["filters"].items()]
+    return rows_of(spark, found + [(f"{f['name']}:{f['value']}", "provider") for f in plan["provider_specific_plan"]["filters"]], "name string, value string")
+
+
+@query("SELECT 'Thanea attion review overview' AS query, 'has_abstract:true,open_access.is_oa:true,has_fulltext:true,type:review' AS filters")
+def review_search_plan(spark, sf_dir):
+    plan = drafting.review_plan(CONTRACT, 10)
+    return rows_of(spark, [(plan["main_search_string"], ",".join(provider.service_filters(plan)))], "query string, filters string")
+
+
+@query("SELECT 'https://x.org/works?page=2&per-page=50&filter=from_publication_date%3A2001-01-01%2Ctype%3A%21review%2Ctitle.search%3Aa+b%7Cc%2Ctitle_and_abstract.search%3Ad&mailto=m' AS url, 'https://x.org/works?a=1&api_key=REDACTED' AS shown")
+def service_urls(spark, sf_dir):
+    client = provider.Service("https://x.org/works", {"filters": {"year_from": 2001, "exclude_reviews": True}}, "m")
+    entry = {"blocks": [{"field": "title", "terms": ["a,b", "c"]}, {"field": "title_or_abstract", "terms": ["d", ""]}]}
+    return rows_of(spark, [(client.url("q", 2, 50, entry), provider.redacted("https://x.org/works?a=1&api_key=s"))], "url string, shown string")
+
+
+@query("SELECT page_id, 'http://x.org/a%20b/%C3%A9' || page_id || '?q=%7B1%7D&api_key=REDACTED&z=%25' AS safe FROM pages")
+def safe_urls(spark, sf_dir):
+    raw = F.concat(F.lit("http://x.org/a b/é"), "page_id", F.lit("?q={1}&api_key=s3cret&z=%25"))
+    return table(spark, sf_dir, "pages").select("page_id", X.safe_url(X.redacted(raw)).alias("safe"))
+
+
+@query("""SELECT c_custkey, array_to_string(list_sort(list_distinct(flatten(list_transform(list_filter(string_split(trim(regexp_replace(lower(c_mktsegment || ' Educational AI of s for ' || c_name || ' buses'), '[^a-z0-9]+', ' ', 'g')), ' '), lambda w: w IN ('ai', 'ml') OR (len(w) >= 3 AND w NOT IN ('and', 'for', 'from', 'into', 'the', 'use', 'using', 'with'))),
+lambda w: list_filter([w, CASE WHEN len(w) > 3 AND w LIKE '%s' THEN w[:-2] END, CASE WHEN w = 'educational' THEN 'education' END], lambda x: x IS NOT NULL))))), ' ') AS words FROM customer""")
+def topic_words(spark, sf_dir):
+    text = F.concat_ws(" ", "c_mktsegment", F.lit("Educational AI of s for"), "c_name", F.lit("buses"))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.array_join(F.array_sort(X.topic_words(text)), " ").alias("words"))
+
+
+@query("SELECT '20240102T030405Z-abcdef01' AS run_id, '2024-01-02T03:04:05+00:00' AS at, '/base/x/y.csv' AS path")
+def run_settings(spark, sf_dir):
+    clock = lambda: 1704164645.0
+    settings = runs.Settings("c", "/base", run_id=runs.new_run_id(clock, lambda: "abcdef0123"))
+    return rows_of(spark, [(settings.run_id, runs.utc_now(clock), settings.path("x/y.csv"))], "run_id string, at string, path string")
+
+
+@query("SELECT * FROM (VALUES ('drafted', 'lang', 'en; fr', ''), ('drafted', 'kind', 'a; b', ''), ('refined', 'lang', 'en; de', ''), ('refined', 'kind', 'a; b', ''), ('calibrated', 'lang', 'en; es', ''), ('calibrated', 'kind', 'a; b', ''), ('completed', 'lang', 'en; fr', ''), ('completed', 'new_one', 'p; q', '')) AS v(step, category_id, allowed, said)")
+def contract_drafts(spark, sf_dir):
+    cats = {"lang": {"values": ["en", "fr"]}, "kind": {"values": ["a", "b"]}}
+    asked = []
+
+    def draft(prompt):  # the first answer is no contract, the second is, with weak categories told
+        asked.append(prompt)
+        return {"tagging": {"categories": {} if len(asked) == 1 else cats, "fallback_policy": {}}}
+
+    made, _ = drafting.drafted_contract("a topic", CONTRACT, "$topic $feedback", _says(draft))
+    found = {"drafted": made, "refined": drafting.refined_contract(made, {"tagging": {"categories": {**cats, "lang": {"values": ["en", "de"]}}}})}
+    found["calibrated"] = drafting.calibration(made, [{"paper_id": "p"}], "$papers", _says({"tagging": {"categories": {**cats, "lang": {"values": ["en", "es"]}}}}))
+    found["completed"] = drafting.value_completion(made, {"categories": {"lang": ["en", "fr"], "New one": "auto"}}, [], "$requested", _says({"categories": [{"category_id": "new_one", "values": ["P", "q", "p"]}]}))
+    return rows_of(spark, [(k, c, "; ".join(v["values"]), "") for k, m in found.items() for c, v in m["tagging"]["categories"].items()], "step string, category_id string, allowed string, said string")
+
+
+@query("""WITH u AS (SELECT doc_id FROM documents WHERE doc_id % 5 > 0 AND trim(split_part(text, chr(10), 1)) <> '')
+SELECT section_id, (SELECT count(*) FROM u) AS papers, (SELECT min(doc_id)::VARCHAR FROM u) AS first_paper, 'abc' AS best FROM (SELECT unnest(['abstract', 'introduction', 'review_methodology', 'main_topic_rights', 'main_topic_license', 'conclusion']) AS section_id)""")
+def evidence_maps(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("paper_id"), F.substring_index("text", "\n", 1).alias("title"), F.lit("2020").alias("year"), F.lit("d").alias("doi"), F.lit("A").alias("authors"), F.lit("V").alias("venue"), F.when(F.col("doc_id") % 5 > 0, "abc").otherwise("unclear").alias("finding"), F.when(F.col("doc_id") % 5 > 0, "abc; x").otherwise("").alias("kind"))
+    labels = [Label("kind", "controlled_auto"), Label("finding", "free_text")]
+    made = drafting.evidence_map(rows, reviews.issues(rows, labels), labels, "doc_id", drafting.planned_sections(CONTRACT))
+    found = [(s["section_id"], s["paper_count"], s["paper_ids"][0], s["controlled_value_counts"][0]["value"]) for s in made["sections"] if len(s["text_evidence"]["finding"]) <= 50]
+    return rows_of(spark, found, "section_id string, papers long, first_paper string, best string")
+
+
+@query("SELECT 'paper_n' || n_nationkey || '_on_a_long_topic' AS paper_id, n_name || ' edited' AS body FROM nation")
+def section_drafts(spark, sf_dir):
+    nations = [(f"paper_n{r.n_nationkey}_on_a_long_topic", r.n_name) for r in table(spark, sf_dir, "nation").collect()]
+    sections = [{"section_id": f"s{k}", "paper_ids": [p], "body": n, "section_type": "main_topic_lens"} for k, (p, n) in enumerate(nations)] + [{"section_id": "empty", "paper_ids": []}]
+
+    def write(prompt):  # ids come back with a letter too many
+        s = json.loads(prompt)
+        return {"section_id": s["section_id"], "body_markdown": s["body"], "cited_paper_ids": [s["paper_ids"][0] + "s"], "quote_uses": [{"paper_id": s["paper_ids"][0]}]}
+
+    drafts, said = drafting.drafted_sections(sections, "$section", lambda: _says(write))
+    edited = drafting.edited_sections(drafts, "$sections", _says(lambda p: {"sections": [{"section_id": d["section_id"], "body_markdown": d["body_markdown"] + " edited"} for d in json.loads(p)]}))
+    return rows_of(spark, [(d["cited_paper_ids"][0], d["body_markdown"]) for d in edited if len(d["cited_paper_ids"]) == 1 and len(said) == 1], "paper_id string, body string")
+
+
+@query("SELECT * FROM (VALUES (1, 0, 20, ''), (2, 10, 20, ''), (3, 20, 10, ''), (4, 25, 0, 'enough')) AS v(round, eligible, new, ended)")
+def backfill_rounds(spark, sf_dir):
+    ids = spark.range(0, 200).select(F.col("id").alias("k"), F.col("id").alias("o"))
+    none = ids.limit(0)
+    sizes = iter([20, 20, 10])
+    begin = [0]
+
+    def fetch(wanted, have):
+        n = next(sizes)
+        at, begin[0] = begin[0], begin[0] + n
+        # some that are known already come again
+        return ids.filter((F.col("k") >= max(0, at - 5)) & (F.col("k") < at + n))
+
+    status = lambda df: df.select("k", F.when(F.col("k") % 2 == 0, "verified").otherwise("unverified").alias("full_text_availability_status"))
+    screened = lambda df: df.select("k", F.lit("pending").alias("screening_decision"))
+    steps = backfill.Backfill(fetch, screened, status, lambda s, a: s.withColumn("screening_decision", F.lit("include")))
+    _, told = steps.run(none, none.select("k", F.lit("").alias("screening_decision")), none.select("k", F.lit("").alias("full_text_availability_status")), 25, "k", "o")
+    return rows_of(spark, [(t["round"], t["eligible"], t["new"], t["ended"]) for t in told], "round int, eligible long, new long, ended string")
+
+
+@query("SELECT 2 * count(*) AS locations, count(*) + count_if(p_partkey % 3 > 0) AS tried, count_if(p_partkey % 3 = 0) AS spared FROM part")
+def url_check_counts(spark, sf_dir):
+    asked = table(spark, sf_dir, "part").select("p_partkey", F.posexplode(F.array(F.concat(F.lit("http://a/"), "p_partkey"), F.concat(F.lit("http://b/"), (F.col("p_partkey") % 2).cast("string")))).alias("_at", "url"))
+    check = lambda urls: urls.select("url", (F.regexp_extract("url", "a/([0-9]+)", 1).try_cast("int") % 3 == 0).alias("ok"), F.lit("").alias("content_type"), F.col("url").alias("final_url"), F.lit("").alias("error"))
+    told = availability.answered(asked, "p_partkey", check)
+    return availability.check_counts(asked, told).select("locations", "tried", "spared")
+
+
+@query("SELECT n_nationkey, n_name AS name, n_regionkey AS region FROM nation WHERE n_regionkey >= 2")
+def provider_scan(spark, sf_dir):
+    pages = [{"id": str(r.n_nationkey), "display_name": r.n_name, "publication_year": int(r.n_regionkey)} for r in table(spark, sf_dir, "nation").collect()]
+    spark.dataSource.register(provider.Provider)
+    read = spark.read.format("scholarly").option("queries", json.dumps(["q"])).option("per_page", 7).option("recorded", json.dumps({"q": pages})).load()
+    return read.filter("year >= 2").select(F.col("provider_id").cast("int").alias("n_nationkey"), F.col("title").alias("name"), F.col("year").alias("region"))

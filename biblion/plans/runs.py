@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
 import hashlib
 import json
 import os
 import time
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -14,6 +16,33 @@ class Pause(Exception):
     """A run stops for a review of the named file; it goes on once that is approved."""
 
 
+def utc_now(clock: Callable[[], float] = time.time) -> str:
+    """The time of a clock in UTC, as ISO 8601."""
+    return datetime.datetime.fromtimestamp(clock(), datetime.UTC).isoformat()
+
+
+def new_run_id(clock: Callable[[], float] = time.time, chance: Callable[[], str] = lambda: uuid.uuid4().hex) -> str:
+    """A short id: the second in UTC and eight digits of chance."""
+    return datetime.datetime.fromtimestamp(clock(), datetime.UTC).strftime("%Y%m%dT%H%M%SZ") + "-" + chance()[:8]
+
+
+@dataclass(frozen=True)
+class Settings:
+    """What the steps of a run share; paths are taken from its folder."""
+
+    collection: str
+    folder: str = "."
+    run_id: str = field(default_factory=new_run_id)
+    model: str | None = None
+    contract: str | None = None
+
+    def path(self, name: str, make: bool = False) -> str:
+        found = name if os.path.isabs(name) else os.path.join(self.folder, name)
+        if make:
+            os.makedirs(os.path.dirname(found) or ".", exist_ok=True)
+        return found
+
+
 @dataclass
 class StepResult:
     status: str = "succeeded"
