@@ -827,3 +827,16 @@ def provider_scan(spark, sf_dir):
     spark.dataSource.register(provider.Provider)
     read = spark.read.format("scholarly").option("queries", json.dumps(["q"])).option("per_page", 7).option("recorded", json.dumps({"q": pages})).load()
     return read.filter("year >= 2").select(F.col("provider_id").cast("int").alias("n_nationkey"), F.col("title").alias("name"), F.col("year").alias("region"))
+
+
+@query("""SELECT * FROM (VALUES ('methodology', 'controlled_auto', 'multi', false, 0, 9), ('study_design', 'controlled_fixed', 'single', false, 18, 9), ('dataset_or_sample', 'free_text', 'multi', false, 0, 10), ('key_finding', 'free_text', 'multi', true, 0, 4),
+('paper_limitation', 'free_text', 'multi', false, 0, 4), ('direct_quote', 'evidence_quote', 'multi', false, 0, 5), ('future_work_or_gap', 'free_text', 'multi', false, 0, 4)) AS v(label_id, value_mode, selection, required, n_values, n_sections)""")
+def review_defaults(spark, sf_dir):
+    made = contracts.review_config(CONTRACT)
+    return rows_of(spark, [(x["label_id"], x["value_mode"], x["selection"], x["required"], len(x["allowed_values"]), len(x["evidence_sections"])) for x in made["labels"] if made["review_type"] == "narrative"], "label_id string, value_mode string, selection string, required boolean, n_values int, n_sections int")
+
+
+@query("SELECT * FROM (VALUES ('tier_0_all_main', 'tier_0_all_main_fallback_1', 'rights reserved apache license'), ('tier_0_all_main', 'tier_0_all_main_fallback_2', 'thanedble anea apache license')) AS v(logical_query_id, query_id, query)")
+def plain_provider_queries(spark, sf_dir):
+    entry = retrieval.query_groups(CONTRACT)["query_groups"][1]["queries"][0]
+    return rows_of(spark, [(q["logical_query_id"], q["query_id"], q["query"]) for q in tiers.executed(entry, blocks=False)], "logical_query_id string, query_id string, query string")

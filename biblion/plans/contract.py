@@ -269,3 +269,62 @@ def review_labels(contract: dict) -> list[Label]:
             raise ValueError(f"{at} has no such mode or selection, or is fixed without values.")
         found[name] = Label(name, mode, tuple(values), selection=selection, required=bool(told.get("required")))
     return list(found.values())
+
+
+# The labels of a review that a contract doesn't configure, their caps and the sections that tell of them.
+DEFAULT_STUDY_DESIGNS = [
+    "observational_study",
+    "experimental_study",
+    "randomized_controlled_trial",
+    "quasi_experimental_study",
+    "cohort_study",
+    "case_control_study",
+    "cross_sectional_study",
+    "longitudinal_study",
+    "qualitative_study",
+    "survey_study",
+    "case_study",
+    "mixed_methods_study",
+    "validation_study",
+    "simulation_study",
+    "benchmark_study",
+    "model_development_study",
+    "secondary_data_analysis",
+    "unclear",
+]
+DEFAULT_LABELS = {
+    "methodology": {"value_mode": "controlled_auto", "selection": "multi", "values": "auto", "max_values_per_paper": 2, "max_words_per_value": 5, "evidence_sections": ["title", "abstract", "methods", "methodology", "materials_and_methods", "study_design", "procedure", "approach", "analysis"]},
+    "study_design": {"value_mode": "controlled_fixed", "selection": "single", "values": DEFAULT_STUDY_DESIGNS, "max_values_per_paper": 1, "max_words_per_value": 4, "evidence_sections": ["title", "abstract", "introduction", "methods", "methodology", "materials_and_methods", "study_design", "procedure", "approach"]},
+    "dataset_or_sample": {"value_mode": "free_text", "max_items_per_paper": 2, "max_words_per_item": 18, "evidence_sections": ["abstract", "methods", "methodology", "materials_and_methods", "study_design", "data", "sample", "participants", "population", "cohort"]},
+    "key_finding": {"value_mode": "free_text", "required": True, "max_items_per_paper": 1, "max_words_per_item": 35, "evidence_sections": ["results", "findings", "discussion", "conclusion"]},
+    "paper_limitation": {"value_mode": "free_text", "max_items_per_paper": 2, "max_words_per_item": 25, "evidence_sections": ["limitations", "discussion", "conclusion", "abstract"]},
+    "direct_quote": {"value_mode": "evidence_quote", "evidence_sections": ["introduction", "results", "findings", "discussion", "conclusion"]},
+    "future_work_or_gap": {"value_mode": "free_text", "max_items_per_paper": 2, "max_words_per_item": 25, "evidence_sections": ["future_work", "discussion", "conclusion", "limitations"]},
+}
+DEFAULT_REVIEW = {"enabled": True, "review_type": "narrative", "output": {"formats": ["markdown"], "citation_style": "harvard", "max_quote_words": 40}}
+DEFAULT_SECTIONS = ["abstract", "results", "discussion", "conclusion"]
+
+
+def review_config(contract: dict) -> dict:
+    """A contract's review with its defaults: type, output, and each label's mode, values, caps and sections.
+
+    A contract without a review is given all defaults; labels that it lists
+    take the place of the default ones.
+    """
+    given = contract.get("review")
+    if given is not None and not isinstance(given, dict):
+        raise ValueError("review must be a mapping.")
+    given = given or {}
+    labels = given.get("labels", DEFAULT_LABELS)
+    if not isinstance(labels, dict) or not labels:
+        raise ValueError("review.labels must name a label.")
+    told = {label_of(k): v for k, v in labels.items()}
+    found = []
+    for x in review_labels({**contract, "review": {"labels": labels}}):
+        sections = told[x.label_id].get("evidence_sections", DEFAULT_SECTIONS)
+        if not sections:
+            raise ValueError(f"review.labels.{x.label_id}.evidence_sections must name a section.")
+        caps = {c: told[x.label_id].get(c) for c in CAPS}
+        found.append({"label_id": x.label_id, "value_mode": x.mode, "selection": x.selection, "required": x.required, "allowed_values": list(x.allowed), "evidence_sections": list(sections), **caps})
+    output = {**DEFAULT_REVIEW["output"], **(given.get("output") or {})}
+    return {"enabled": bool(given.get("enabled", True)), "review_type": label_of(given.get("review_type")) or DEFAULT_REVIEW["review_type"], "output": output, "label_count": len(found), "labels": found}

@@ -14,6 +14,8 @@ from biblion.operators.matching import field_of, secondary_groups, unique_terms
 from biblion.plans.contract import MOST_RETRIEVAL_TERMS
 from biblion.sources.provider import query_text
 
+#: What a tier is for.
+GOAL = "fill what is still wanted before the next tier is asked"
 # They must be these for the results to be right.
 REVIEW_WORDS = ["review", "overview", "survey", "meta-analysis"]
 
@@ -29,7 +31,7 @@ def plain_queries(query_id: str, blocks: Sequence[dict]) -> list[dict]:
     found: dict[str, dict] = {}
     for n in range(max(map(len, cycles), default=0)):
         text = " ".join(c[n % len(c)] for c in cycles)
-        found.setdefault(text.casefold(), {"query_id": f"{query_id}_fallback_{n + 1}", "logical_query_id": query_id, "query": text})
+        found.setdefault(text.casefold(), {"query_id": f"{query_id}_fallback_{n + 1}", "logical_query_id": query_id, "query": text, "reason": f"one term of each topic of {query_id}"})
     return list(found.values())
 
 
@@ -43,6 +45,7 @@ def _query(tier: int, name: str, phase: str, screen: bool, blocks: list[dict], r
         "query_id": name,
         "tier": tier,
         "query": query_text([b["terms"] for b in blocks]),
+        "reason": "all main topics" if not replaced else "instead of " + ", ".join(f"{g['main_topic_id']}: {g['label']}" for g in replaced),
         "requires_title_screening": screen,
         "retrieval_phase": phase,
         "blocks": blocks,
@@ -75,7 +78,7 @@ def query_groups(contract: dict, most: int | None = None, rounds: int = 2) -> di
 
     groups = []
     if relaxed and (b := blocks({}, "title")):
-        groups.append({"group_id": "tier_0_title", "tier": 0, "priority": 0, "queries": [_query(0, "tier_0_all_main_title", "strict_title", False, b)]})
+        groups.append({"group_id": "tier_0_title", "tier": 0, "priority": 0, "goal": GOAL, "queries": [_query(0, "tier_0_all_main_title", "strict_title", False, b)]})
     for tier in range(len(options) + 1):
         queries = []
         for topics in combinations(options, tier):
@@ -85,7 +88,7 @@ def query_groups(contract: dict, most: int | None = None, rounds: int = 2) -> di
                     name = f"tier_{tier}_replace_{parts}" if tier else "tier_0_all_main"
                     queries.append(_query(tier, name, "secondary" if tier else "field_relaxed", bool(tier) or relaxed, b, chosen))
         if queries:
-            groups.append({"group_id": f"tier_{tier}", "tier": tier, "priority": tier + relaxed, "queries": queries})
+            groups.append({"group_id": f"tier_{tier}", "tier": tier, "priority": tier + relaxed, "goal": GOAL, "queries": queries})
     if not groups:
         return {}
     return {"mode": "tiered_topic_blocks", "target_max_results": most, "iterations_per_group": rounds, "retrieval_terms_per_topic_limit": MOST_RETRIEVAL_TERMS, "query_groups": groups}
