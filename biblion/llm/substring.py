@@ -48,7 +48,7 @@ LENGTH = 50
 #: Bytes of text that a block holds on average.
 BLOCK_BYTES = 8_000_000
 #: Blocks at least: they and their buckets part the work of small tables, too.
-BLOCKS = 32
+BLOCKS = 16
 #: Buckets for each block; more blocks, more buckets.
 SPREAD = 4
 #: Partitions at most; beyond that a task takes several blocks or buckets, one after another.
