@@ -18,7 +18,7 @@ from biblion.functions import text as X
 from biblion.operators import audit, availability, documents, matching, model, papers, reviews, seeds, sets, tagging
 from biblion.operators.audit import Category, Label
 from biblion.plans import contract as contracts
-from biblion.plans import backfill, drafting, ontology, retrieval, runs
+from biblion.plans import backfill, drafting, ontology, retrieval, runs, structure
 from biblion.plans.catalogue import _TITLE, CONTRACT, ORACLE_SQL, QUERIES, _screening_rows, as_papers, query, table
 from biblion.sources import files, fulltext, provider, tiers, works
 
@@ -840,3 +840,34 @@ def review_defaults(spark, sf_dir):
 def plain_provider_queries(spark, sf_dir):
     entry = retrieval.query_groups(CONTRACT)["query_groups"][1]["queries"][0]
     return rows_of(spark, [(q["logical_query_id"], q["query_id"], q["query"]) for q in tiers.executed(entry, blocks=False)], "logical_query_id string, query_id string, query string")
+
+
+def _structure(anchor: str, mains: list, secondary: dict) -> dict:
+    return {"topic_structure": {"anchor_topic_id": anchor, "main_topics": [{"topic_id": i, "label": label, **told} for i, label, told in mains], "secondary_topics": secondary}}
+
+
+@query("""SELECT * FROM (VALUES ('source_anchor_expected', 'building_materials', 'mycelium', true), ('too_few_main_topic_terms', 'mycelium', '2', false), ('anchor_field_not_title', 'building_materials', 'title_or_abstract', true),
+('application_topic_criterion_term', 'building_materials', 'sustainable building materials', true), ('application_topic_generic_term', 'building_materials', 'innovative products', false), ('application_topic_process_or_property_term', 'building_materials', 'construction efficiency', false),
+('merged_topic_id', 'replacement_in_concrete', 'replacement_in_concrete', true), ('merged_topic_label', 'replacement_in_concrete', 'Concrete replacement and more', true), ('replacement_topic_criterion_term', 'replacement_in_concrete', 'green concrete', true),
+('replacement_topic_application_term', 'replacement_in_concrete', 'school settings', true), ('replacement_topic_foreign_component_term', 'replacement_in_concrete', 'mycelium bricks', true),
+('application_secondary_material_family_term', 'building_materials', 'bio-based composites', false), ('missing_secondary_topic', 'replacement_in_concrete', '', true)) AS v(code, topic_id, "value", crucial)""")
+def topic_structure_issues(spark, sf_dir):
+    mains = [
+        ("mycelium", "Mycelium", {"terms": ["mycelium", "fungal biomaterials"]}),
+        ("building_materials", "Building materials", {"terms": ["sustainable building materials", "innovative products", "construction efficiency"], "field": "title_or_abstract"}),
+        ("replacement_in_concrete", "Concrete replacement and more", {"terms": ["concrete alternative", "green concrete", "school settings", "mycelium bricks"]}),
+    ]
+    made = _structure("building_materials", mains, {"mycelium": ["bacteria"], "building_materials": ["bio-based composites"]})
+    found = structure.issues(made, "Could sustainable mycelium be used to replace concrete in building materials?")
+    return rows_of(spark, [(i.code, i.topic_id, i.value, i.crucial) for i in found], "code string, topic_id string, value string, crucial boolean")
+
+
+@query("""SELECT * FROM (VALUES ('disease_research_anchor_expected', 'computational_methods', 'alzheimers_disease'), ('missing_common_surface_form', 'alzheimers_disease', 'Alzheimer''s disease'), ('main_topic_non_family_term', 'alzheimers_disease', 'tau tangles'),
+('generic_topic_term', 'alzheimers_disease', 'students'), ('missing_common_surface_form', 'computational_methods', 'artificial intelligence'), ('method_topic_bare_domain_term', 'computational_methods', 'genomics'), ('broad_umbrella_topic_term', 'computational_methods', 'analysis'),
+('cross_topic_retrieval_term', 'computational_methods', 'computational alzheimers'), ('generic_secondary_topic_bucket', 'alzheimers_disease', 'Other diseases'), ('secondary_topic_non_family_term', 'alzheimers_disease', 'movement disorder'),
+('generic_secondary_topic_term', 'alzheimers_disease', 'diseases'), ('secondary_topic_disease_family_variant', 'alzheimers_disease', 'parkinsons_disease'), ('secondary_topic_internal_subtype', 'computational_methods', 'computational_methods_secondary_1')) AS v(code, topic_id, "value")""")
+def disease_structure_issues(spark, sf_dir):
+    mains = [("alzheimers_disease", "Alzheimer's disease", {"terms": ["AD", "tau tangles", "students"]}), ("computational_methods", "Computational methods", {"terms": ["AI", "genomics", "analysis"], "retrieval_terms": ["computational alzheimers"]})]
+    group = {"topic_id": "parkinsons_disease", "label": "Other diseases", "terms": ["movement disorder", "dementia", "diseases"]}
+    made = _structure("computational_methods", mains, {"alzheimers_disease": [group], "computational_methods": ["machine learning"]})
+    return rows_of(spark, [(i.code, i.topic_id, i.value) for i in structure.issues(made)], "code string, topic_id string, value string")

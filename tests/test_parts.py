@@ -6,7 +6,7 @@ import pytest
 from biblion.operators import audit, model, sets, tagging
 from biblion.operators.audit import Category, Label
 from biblion.plans import contract as contracts
-from biblion.plans import drafting, runs
+from biblion.plans import drafting, runs, structure
 from biblion.plans.catalogue import CONTRACT
 from biblion.sources import files, fulltext, provider, tiers, works, yaml_lines
 from pyspark.sql import functions as F
@@ -201,3 +201,33 @@ def test_missing_and_invalid_values(spark):
     df = spark.createDataFrame([("x; z", ""), ("z", "")], "a string, b string")
     got = {(r.field, r["value"], r.issue, r.severity, r.detail) for r in audit.missingness_issues(df, [Label("a", "controlled_fixed", ["x"]), Label("b", "free_text")]).collect()}
     assert got == {("a", "z", "observed_invalid_value_summary", "error", "count=2"), ("b", "", "high_missingness", "warning", "2_of_2_rows_empty")}
+
+
+def test_descriptions():
+    assert structure.pairs("memory and attention in the aging and in the young") == [("memory", "attention"), ("aging", "young")]
+    assert structure.replaced("a substitute for the cement paste, instead of steel") == ["cement", "steel"]
+    assert [k for k, _ in structure.uses("Use in building materials and school lessons")] == ["building_materials", "school_lessons"]
+    assert structure.sources("Can green algae be used to feed fish?") == [{"algae"}]
+    assert structure.words("Educational AI uses of buses") == {"educational", "education", "ai", "uses", "use", "buses", "buse"} and structure.words(None) == set()
+
+
+def test_weak_structures():
+    def made(*topics, anchor="a", secondary=None):
+        return {"topic_structure": {"anchor_topic_id": anchor, "main_topics": list(topics), "secondary_topics": secondary or {}}}
+
+    buried = made({"topic_id": "cognitive_function", "terms": ["memory", "attention"]})
+    assert ("explicit_pair_buried_in_umbrella_topic", "cognitive_function", "memory and attention") in [(i.code, i.topic_id, i.value) for i in structure.issues(buried, "memory and attention")]
+    criterion = structure.issues(made({"topic_id": "sustainability", "terms": ["x"]}), "sustainability of materials")
+    assert "criterion_topic_instead_of_comparator" in [i.code for i in criterion]
+    targets = [(i.code, i.value) for i in structure.issues(made({"topic_id": "a", "terms": ["x"]}), "replace cement in building products")]
+    assert ("replacement_target_not_main_topic", "cement") in targets and ("replacement_application_not_main_topic", "building_products") in targets
+    fields = made({"topic_id": "a", "terms": ["x"]}, {"topic_id": "school", "field": "abstract", "terms": ["schools for x"]}, secondary={"a": ["y"], "school": ["z"]})
+    assert [i.code for i in structure.issues(fields)] == ["abstract_only_main_topic_field", "context_topic_field_not_title"]
+    overlap = made({"topic_id": "a", "terms": ["x"]}, secondary={"a": ["X"]})
+    assert [i.code for i in structure.issues(overlap)] == ["parent_secondary_term_overlap"]
+    crossed = made({"topic_id": "alpha", "terms": ["x"]}, {"topic_id": "beta", "terms": ["beta in alpha"]}, anchor="alpha", secondary={"alpha": ["y"], "beta": ["z"]})
+    assert [i.code for i in structure.issues(crossed)] == ["cross_topic_term"]
+    with pytest.raises(ValueError):
+        structure.checked(overlap)
+    fine = made({"topic_id": "alpha", "terms": ["x"]}, anchor="alpha", secondary={"alpha": ["y"]})
+    assert structure.checked(fine) is fine
