@@ -871,3 +871,12 @@ def disease_structure_issues(spark, sf_dir):
     group = {"topic_id": "parkinsons_disease", "label": "Other diseases", "terms": ["movement disorder", "dementia", "diseases"]}
     made = _structure("computational_methods", mains, {"alzheimers_disease": [group], "computational_methods": ["machine learning"]})
     return rows_of(spark, [(i.code, i.topic_id, i.value) for i in structure.issues(made)], "code string, topic_id string, value string")
+
+
+# the same sections, of the documents as they are
+ORACLE_SQL["sections"] = ORACLE_SQL["prioritized_sections"].replace(f"SELECT doc_id, {_FULL} AS f FROM documents", "SELECT doc_id, text AS f FROM documents")
+_BLOCKS = "html"
+for _tag in ("script", "style", "nav", "footer", "header"):
+    _BLOCKS = f"regexp_replace({_BLOCKS}, '<{_tag}[ >].*?</{_tag}>', '<x>', 'gis')"
+_PIECES = f"list_transform(regexp_split_to_array({_BLOCKS}, '<[^>]*>'), lambda x: trim(replace(replace(replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), chr(160), ' '), ' ' || chr(10) || chr(9) || chr(13)))"
+ORACLE_SQL["html_text"] = f"SELECT page_id, array_to_string(list_filter({_PIECES}, lambda x: x <> ''), chr(10)) AS text FROM pages"
