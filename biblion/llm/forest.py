@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from biblion.llm.base import bounded, cut
+from biblion.llm.base import bounded, cut, dropped
 from biblion.llm.graph import components
 
 TREES = 8
@@ -236,8 +236,9 @@ def grouped(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label
     found = cut(found)
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     own = cut(of)
-    edges = found.select(F.col("rep").alias("a"), F.col("root").alias("b")).unionByName(own.select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))).filter("a <> b").distinct()
+    edges = cut(found.select(F.col("rep").alias("a"), F.col("root").alias("b")).unionByName(own.select(F.col("vec_id").alias("a"), F.col("rep").alias("b"))).filter("a <> b").distinct())
     labels = components(edges).select(F.col("id").alias("vec_id"), F.col("component"))
+    dropped(edges)
     told = own.join(links, "rep", "left").select("vec_id", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     # one row for each row of the table, also where ids repeat
     bad = df.filter(F.col(key).isNull() | F.col(label).isNull() | ~usable(F.col(vector).cast(components_type(df, vector)))).select(F.col(key).cast("long").alias("vec_id"), F.lit(0).cast("long").alias("n_links"))

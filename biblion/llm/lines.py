@@ -95,17 +95,15 @@ def repeated(rows: DataFrame) -> DataFrame:
     # a merge at every size: it is split where a hash is frequent, and its cost grows evenly
     places = cut(told.join(often.hint("merge"), "h"))
     # rows with one id may both be at the first place: one row for each text there
-    first = cut(places.filter(place == F.col("first")).select("h", F.col("chunk").alias("one")).distinct())
-    single = cut(first.groupBy("h").agg(F.min("one").alias("one")))
+    single = cut(places.filter(place == F.col("first")).groupBy("h").agg(F.min("chunk").alias("one")))
     same = cut(places.join(single, "h").select("doc_id", "t", "start", "n", "h", "first", (F.col("chunk") == F.col("one")).alias("same"), F.when(F.col("chunk") != F.col("one"), F.col("chunk")).alias("other")))
     gone = same.filter(F.col("same") & (place != F.col("first"))).select("doc_id", "t", "start", "n")
     # one hash, another text: hardly ever, and then told apart by the text itself
     rest = same.filter(~F.col("same"))
     own = rest.groupBy("h", "other").agg(F.min(place).alias("first"))
     more = rest.drop("first").join(own, ["h", "other"]).filter(place != F.col("first"))
-    out = cut(gone.unionByName(more.select("doc_id", "t", "start", "n")))
-    dropped(often, places, first, single, same)
-    return out
+    dropped(often, places, single)
+    return gone.unionByName(more.select("doc_id", "t", "start", "n"))
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:

@@ -213,7 +213,7 @@ def unsettled(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     # pairs within the largest component are linked already: its blocks (numbers from "rest" on) meet those of the rest only
     shape = total.filter("components > 1 AND n > 2").join(same, "bucket")
-    shape = cut(shape.select("bucket", F.col("most.component").alias("largest"), blocks(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("rest"), blocks(F.col("most.n"), F.col("most.bytes")).alias("large")))
+    shape = shape.select("bucket", F.col("most.component").alias("largest"), blocks(F.col("n") - F.col("most.n"), F.col("bytes") - F.col("most.bytes")).alias("rest"), blocks(F.col("most.n"), F.col("most.bytes")).alias("large"))
     told = each.join(shape, "bucket")
     inside, chance = F.col("component") == F.col("largest"), F.xxhash64("doc_id", "bucket")
     told = told.withColumn("own", F.when(inside, F.col("rest") + F.pmod(chance, F.col("large"))).otherwise(F.pmod(chance, F.col("rest"))).cast("int"))
@@ -258,7 +258,9 @@ def merged(labels: DataFrame | None, edges: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         own = labels.select(F.col("id").alias(side), F.col("component").alias("to"))
         edges = edges.join(own, side, "left").withColumn(side, F.coalesce("to", side)).drop("to")
+    edges = cut(edges)
     moved = components(edges).withColumnRenamed("component", "to")
+    dropped(edges)
     old = labels.join(moved.withColumnRenamed("id", "component"), "component", "left").select("id", F.coalesce("to", "component").alias("component"))
     return cut(old.unionByName(moved.join(labels, "id", "left_anti").select("id", F.col("to").alias("component"))))
 
@@ -275,10 +277,11 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int
     labels = labelled(docs, classes, words, percent)
     classes = classes.drop("bands")
     # rows with one id link the classes that they belong to
-    twins = cut(full.groupBy("doc_id").agg(F.min(F.struct(sets)).alias("x"), F.max(F.struct(sets)).alias("y")).filter("x <> y").select("doc_id"))
+    twins = full.groupBy("doc_id").agg(F.min(F.struct(sets)).alias("x"), F.max(F.struct(sets)).alias("y")).filter("x <> y").select("doc_id")
     if not twins.isEmpty():
-        same = full.join(twins, "doc_id").join(classes, sets).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+        same = cut(full.join(twins, "doc_id").join(classes, sets).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
         labels = merged(labels, same)
+        dropped(same)
     own = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
     if labels is None:
         told = classes.withColumn("component", F.col("rep"))
