@@ -124,22 +124,32 @@ def html_unescape(c: Column) -> Column:
             .otherwise(_character(n))
         )
 
+    def named(found: Column, name: Column) -> Column:
+        def bare_name(short: Column) -> Column:
+            return F.when(short != "", F.concat(F.try_element_at(names, short), F.substr(name, F.length(short) + 1))).otherwise(found)
+
+        return once(F.try_element_at(names, name), lambda known: F.when(known.isNotNull(), known).otherwise(once(F.regexp_extract(name, head, 0), bare_name)))
+
     def replaced(found: Column) -> Column:
         name = F.substr(found, F.lit(2))
         digits = F.regexp_extract(name, "^#0*([0-9]{1,9});?$", 1)
         hexed = F.regexp_extract(name, "^#[xX]0*([0-9a-fA-F]{1,8});?$", 1)
         zero = name.rlike("^#[xX]?0+;?$")
         number = F.when(zero, 0).when(digits != "", digits.cast("bigint")).when(hexed != "", F.conv(hexed, 16, 10).cast("bigint"))
-        short = F.regexp_extract(name, head, 0)
-        known = F.try_element_at(names, name)
-        named = F.when(known.isNotNull(), known).when(short != "", F.concat(F.try_element_at(names, short), F.substr(name, F.length(short) + 1))).otherwise(found)
-        return F.when(name.startswith("#"), numbered(number)).otherwise(named)
+        common = F.when(found == "&amp;", "&").when(found == "&lt;", "<").when(found == "&gt;", ">").when(found == "&quot;", '"')
+        return common.when(name.startswith("#"), once(number, numbered)).otherwise(named(found, name))
 
     # a text is its pieces between references and the references, one after another
-    found = F.regexp_extract_all(c, F.lit(REFERENCE), F.lit(0))
-    between = F.split(c, REFERENCE, -1)
-    joined = F.array_join(F.flatten(F.transform(between, lambda part, i: F.array(part, F.coalesce(replaced(F.get(found, i)), F.lit(""))))), "")
-    return F.when(c.contains("&"), joined).otherwise(c)
+    def joined(found: Column) -> Column:
+        between = F.split(c, REFERENCE, -1)
+        return F.array_join(F.flatten(F.transform(between, lambda part, i: F.array(part, F.coalesce(once(F.get(found, i), replaced), F.lit(""))))), "")
+
+    return F.when(c.contains("&"), once(F.regexp_extract_all(c, F.lit(REFERENCE), F.lit(0)), joined)).otherwise(c)
+
+
+def once(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, as the only element of an array."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def _character(n: Column) -> Column:
@@ -368,10 +378,13 @@ def cache_url(c: Column) -> Column:
 def safe_url(c: Column) -> Column:
     """A URL as it is requested: what isn't ASCII, blanks and other characters that URLs lack are percent-encoded, escapes stay."""
     plain = text_of(c)
-    odd = F.regexp_extract_all(plain, F.lit(r"[^A-Za-z0-9\-._~:/?#\[\]@!$&'()*+,;=%]"), F.lit(0))
-    between = F.split(plain, r"[^A-Za-z0-9\-._~:/?#\[\]@!$&'()*+,;=%]", -1)
+    odd = r"[^A-Za-z0-9\-._~:/?#\[\]@!$&'()*+,;=%]"
     coded = lambda x: F.regexp_replace(F.hex(F.encode(x, "UTF-8")), "(..)", "%$1")
-    return F.array_join(F.flatten(F.transform(between, lambda p, i: F.array(p, F.coalesce(coded(F.get(odd, i)), F.lit(""))))), "")
+
+    def joined(found: Column) -> Column:
+        return F.array_join(F.flatten(F.transform(F.split(plain, odd, -1), lambda p, i: F.array(p, F.coalesce(coded(F.get(found, i)), F.lit(""))))), "")
+
+    return once(F.regexp_extract_all(plain, F.lit(odd), F.lit(0)), joined)
 
 
 def redacted(c: Column, name: str = "api_key") -> Column:

@@ -89,9 +89,8 @@ def flat_labels(df: DataFrame, labels: Sequence[Label], values: str = "values",
 # review labels
 
 
-def packet(text: Column, words: Sequence[str], most: int = LABEL_EVIDENCE) -> Column:
-    """The evidence for one label: sections that hold a word of it come first, then all by their order of use."""
-    sections = fulltext.prioritized(fulltext.split_sections(text), text)
+def packet(sections: Column, words: Sequence[str], most: int = LABEL_EVIDENCE) -> Column:
+    """The evidence for one label, of prioritized sections: those that hold a word of it come first."""
     asked = [w for w in (x.lower() for x in words) if len(w) > 2]
     if not asked:
         return fulltext.evidence(sections, most)
@@ -126,9 +125,12 @@ def extracted(df: DataFrame, labels: Sequence[Label], template: str, client: Cal
     Papers without a text are in neither.
     """
     asked = df.filter(F.trim(X.text_of(F.col(text))) != "")
-    packets = [packet(F.col(text), x.label_id.split("_")).alias(f"evidence_{x.label_id}") for x in labels]
+    # texts are parted once, for all labels
+    told = fulltext.prioritized(fulltext.split_sections(F.col(text)), F.col(text))
+    parted = asked.withColumn("_sections", told)
+    packets = [packet(F.col("_sections"), x.label_id.split("_")).alias(f"evidence_{x.label_id}") for x in labels]
     schema = {"type": "object", "required": [x.label_id for x in labels], "additionalProperties": False}
-    prompts = asked.select(key, *(X.text_of(F.col(c)).alias(c) for c in METADATA if c in df.columns and c != key), *packets)
+    prompts = parted.select(key, *(X.text_of(F.col(c)).alias(c) for c in METADATA if c in df.columns and c != key), *packets)
     told = model.per_row(prompts, key, template, schema, client)
     rows = asked.join(told.withColumnsRenamed({"answer": "_answer", "error": "_error"}), key)
     cells = [normalized_label(F.col("_answer"), x).alias(x.label_id) for x in labels]
