@@ -124,7 +124,7 @@ def deduplicated(df: DataFrame, key: Column, has_abstract: Column, rank: Column,
     shuffled with every row; a key's rows come together as small structs only.
     """
     no_abstract = F.when(F.coalesce(has_abstract, F.lit(False)), 0).otherwise(1)
-    order = F.struct(no_abstract.alias("no_abstract"), F.coalesce(rank.try_cast("int"), F.lit(LAST)).alias("rank"), F.col(ordinal).alias("ordinal"))
+    order = F.struct(no_abstract.alias("no_abstract"), F.coalesce(rank.try_cast("bigint"), F.lit(LAST)).alias("rank"), F.col(ordinal).alias("ordinal"))
     rows = df.withColumns({"dedupe_key": key, "_order": order}).withColumn("_digest", digest(F.col("dedupe_key")))
     whole = F.struct("_order", F.struct(*df.columns).alias("row"))
     aggregates = [F.min("dedupe_key").alias("dedupe_key"), F.min_by(whole, "_order").alias("_best"), F.count("*").alias("duplicate_count")]

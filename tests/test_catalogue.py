@@ -45,3 +45,20 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(catalogue.QUERIES) <= set(__spark_entry__.queries())
+
+
+WIDE_IDS = [(4_000_000_000, "same text"), (3_000_000_000, "Same text."), (1_500_000, "same text"), (5_000_000_000, "alone")]
+
+
+def over_documents(spark, folder, name, texts):
+    """Rows of a query and of its SQL over documents of these ids and texts."""
+    data = [(i, t, "en", f"src{n % 2}", len(t)) for n, (i, t) in enumerate(texts)]
+    spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    return sorted(map(tuple, catalogue.QUERIES[name](spark, str(folder)).collect())), sorted(con.execute(catalogue.ORACLE_SQL[name]).fetchall())
+
+
+def test_dedupe_documents_of_wide_ids(spark, tmp_path):
+    got, told = over_documents(spark, tmp_path, "dedupe_documents", WIDE_IDS)
+    assert got == told == [(1_500_000, "src0", 3), (5_000_000_000, "src1", 1)]

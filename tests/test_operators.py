@@ -37,6 +37,14 @@ def test_deduplicated_merges(spark):
     assert [tuple(p) for p in out[0].places] == [("u2", "b"), ("u1", "c")]
 
 
+def test_deduplicated_by_ranks_beyond_32_bits(spark):
+    ranks = ["4000000000", "3000000000", "1500000", "x", None]
+    df = spark.createDataFrame([(n, "k", r) for n, r in enumerate(ranks)], "o int, k string, rank string")
+    out = papers.deduplicated(df, F.col("k"), F.lit(True), F.col("rank"), "o", ["o"]).first()
+    # a rank that is no number is 999,999
+    assert (out.o, out.duplicate_count, [p.o for p in out.duplicate_provenance]) == (3, 5, [3, 4, 2, 1, 0])
+
+
 def test_export_joins(spark):
     cands = spark.createDataFrame([(1, "10.1/A", "p1", "old"), (2, "10.1/a ", "p1", "new"), (3, "", "p2", "c")], "ordinal int, doi string, provider_id string, title string")
     screen = spark.createDataFrame([(1, "10.1/a", "p1", "include", "1", "5"), (2, "", "p2", "include", "0", "x"), (3, "", "p9", "exclude", "", "")], "ordinal int, doi string, provider_id string, screening_decision string, title_relevance_tier string, source_rank string")
