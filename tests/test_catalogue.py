@@ -62,3 +62,8 @@ def over_documents(spark, folder, name, texts):
 def test_dedupe_documents_of_wide_ids(spark, tmp_path):
     got, told = over_documents(spark, tmp_path, "dedupe_documents", WIDE_IDS)
     assert got == told == [(1_500_000, "src0", 3), (5_000_000_000, "src1", 1)]
+
+
+def test_dedupe_provenance_of_wide_ids(spark, tmp_path):
+    got, told = over_documents(spark, tmp_path, "dedupe_provenance", WIDE_IDS)
+    assert got == told == [(1_500_000, 3, "src0/1500000|src1/3000000000|src0/4000000000")]
