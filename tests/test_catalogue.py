@@ -67,3 +67,14 @@ def test_dedupe_documents_of_wide_ids(spark, tmp_path):
 def test_dedupe_provenance_of_wide_ids(spark, tmp_path):
     got, told = over_documents(spark, tmp_path, "dedupe_provenance", WIDE_IDS)
     assert got == told == [(1_500_000, 3, "src0/1500000|src1/3000000000|src0/4000000000")]
+
+
+def test_documents_without_a_key_are_no_duplicates(spark, tmp_path):
+    """As the SQL of dedupe_key tells them apart; the SQL of dedupe_stats itself takes them for one."""
+    texts = [(1, "Привет"), (2, "你好"), (3, ""), (4, ""), (5, "A title"), (6, "a title.")]
+    got, told = over_documents(spark, tmp_path, "dedupe_key", texts)
+    assert got == told and len({key for _, key in told}) == 5
+    stats = catalogue.QUERIES["dedupe_stats"](spark, str(tmp_path)).first()
+    assert (stats.rows_in, stats.groups, stats.duplicates) == (6, 5, 1)
+    assert sorted(map(tuple, catalogue.QUERIES["dedupe_documents"](spark, str(tmp_path)).collect())) == [(1, "src0", 1), (2, "src1", 1), (3, "src0", 1), (4, "src1", 1), (5, "src0", 2)]
+    assert [tuple(r) for r in catalogue.QUERIES["dedupe_provenance"](spark, str(tmp_path)).collect()] == [(5, 2, "src0/5|src1/6")]
