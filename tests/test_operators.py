@@ -136,6 +136,10 @@ def test_importers(spark, tmp_path):
     assert rows(files.read_csv(spark, str(tmp_path / "out"), ["n", "t", "u"]), "n") == [("1", "x", ""), ("2", "", "")]
 
 
+def test_references_cut_before_their_semicolon():
+    assert fulltext.page_text("<title>this and&amp</title><p>token = &quot</p>") == 'this and&\ntoken = "'
+
+
 def test_full_text(spark):
     assert fulltext.page_text("<html><script>x</script><nav>n</nav><p>A &amp; B</p></html>") == "A & B"
     text = "intro line\n1. Introduction\nwe start\nMETHODS AND DATA\nwe do\nwe do more.\nI think so\nlast"
